@@ -513,8 +513,193 @@ SELECT CAST(SUM(b) AS BIGINT) AS test_rows, CAST(SUM(c) AS BIGINT) AS test_posit
     }
 
 
+_LEVELS = {
+    "home_ownership": ["F", "O", "P"],
+    "purpose": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
+    "channel": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+}
+
+
+def _level_name(column: str, level: str) -> str:
+    return f"{column}_" + level.replace("-", "_").replace(" ", "_")
+
+
+def _prepared(table: str, fit: str, keep: str, flags: bool, rates: bool) -> str:
+    """Fill, encode and scale ``table`` with statistics of ``fit``."""
+    ctes, fills = [], []
+    for c in APPS.numeric:
+        fills.append(f"(SELECT QUANTILE_CONT(CAST({c} AS DOUBLE), 0.5) FROM {fit}) AS fill_{c}")
+    for c in APPS.categorical:
+        fills.append(f"(SELECT {c} FROM {fit} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY COUNT(*) DESC, {c} LIMIT 1) AS fill_{c}")
+    ctes.append("fills AS MATERIALIZED (SELECT " + ", ".join(fills) + f", (SELECT AVG(default_12m) FROM {fit}) AS base_rate)")
+    if rates:
+        ctes += [f"rate_{c} AS (SELECT {c}, AVG(default_12m) AS r FROM {fit} GROUP BY {c})" for c in APPS.categorical]
+    cols, names, plain = [], [], []
+    for c in APPS.numeric:
+        cols.append(f"COALESCE(CAST(t.{c} AS DOUBLE), fill_{c}) AS v_{c}")
+        names.append(c)
+    for c in ("income", "credit_score") if flags else ():
+        cols.append(f"CASE WHEN t.{c} IS NULL THEN 1e0 ELSE 0e0 END AS v_{c}_missing")
+        names.append(f"{c}_missing")
+    for c in APPS.categorical:
+        if rates:
+            cols.append(f"COALESCE(rate_{c}.r, base_rate) AS v_{c}_target_rate")
+            names.append(f"{c}_target_rate")
+        for level in _LEVELS[c][1:] if rates else _LEVELS[c]:
+            name = _level_name(c, level)
+            cols.append(f"CASE WHEN COALESCE(t.{c}, fill_{c}) = '{level}' THEN 1e0 ELSE 0e0 END AS v_{name}")
+            (names if rates else plain).append(name)
+    joins = "".join(f" LEFT JOIN rate_{c} ON rate_{c}.{c} = t.{c}" for c in APPS.categorical) if rates else ""
+    ctes.append(f"made AS MATERIALIZED (SELECT t.app_id, {keep} AS part, " + ", ".join(cols) + f" FROM {table} t CROSS JOIN fills{joins})")
+    of_fit = "WHERE part = 'development'" if fit != table else ""
+    ctes.append("scales AS MATERIALIZED (SELECT " + ", ".join(
+        f"AVG(v_{n}) AS m_{n}, CASE WHEN STDDEV_POP(v_{n}) = 0 THEN 1 ELSE STDDEV_POP(v_{n}) END AS s_{n}" for n in names
+    ) + f" FROM made {of_fit})")
+    shown = [f"ROUND((v_{n} - m_{n}) / s_{n}, 6) AS {n}" for n in names] + [f"v_{n} AS {n}" for n in plain]
+    lead = "app_id, part AS split, " if flags else "app_id, "
+    return ", " + ", ".join(ctes) + f"\nSELECT {lead}" + ", ".join(shown) + " FROM made CROSS JOIN scales"
+
+
+def _preparation() -> dict[str, str]:
+    dev = ", development AS MATERIALIZED (SELECT * FROM split WHERE split = 'development')\n"
+    dummies = [f"CAST(purpose = '{v}' AS INT) AS {_level_name('purpose', v)}" for v in _LEVELS["purpose"]]
+    mi = []
+    for c in APPS.numeric:
+        edges = " + ".join(
+            f"CASE WHEN {c} > (SELECT QUANTILE_CONT(CAST({c} AS DOUBLE), 0.{i}) FROM eligible) THEN 1 ELSE 0 END" for i in range(1, 10)
+        )
+        # Equal edges count more than once here, which renames bins but does not merge or split them.
+        mi.append(f"SELECT '{c}' AS feature, CASE WHEN {c} IS NOT NULL THEN {edges} END AS bin, default_12m AS y FROM eligible")
+    relevance = f"""
+, long AS MATERIALIZED ({_union(mi)}),
+cells AS (SELECT feature, bin, y, COUNT(*) AS n FROM long GROUP BY 1, 2, 3),
+margins AS (SELECT *, SUM(n) OVER (PARTITION BY feature) AS t, SUM(n) OVER (PARTITION BY feature, bin) AS b,
+                   SUM(n) OVER (PARTITION BY feature, y) AS k FROM cells),
+relevance AS (SELECT feature, ROUND(SUM(n / t * LN(n * t / (b * CAST(k AS DOUBLE)))), 6) AS mutual_information FROM margins GROUP BY feature)"""
+    attribution = """
+SELECT app_id, default_12m, age, state, ROUND(income, 6) AS income, ROUND(employment_years, 6) AS employment_years,
+       credit_score, loan_amount, ROUND(interest_rate, 6) AS interest_rate, term_months, home_ownership, purpose, channel,
+       num_open_accounts, debt_to_income, ROUND(credit_utilization, 6) AS credit_utilization,
+       CAST(customer_id AS DOUBLE) AS customer_number, CAST(YEAR(application_date) AS INT) AS application_year,
+       CAST(MONTH(application_date) AS INT) AS application_month, CAST(DAY(application_date) AS INT) AS application_day,
+       CAST((DAYOFWEEK(application_date) + 6) % 7 AS INT) AS application_dayofweek,
+       ROUND(loan_amount / NULLIF(income, 0), 6) AS loan_to_income
+FROM apps WHERE default_12m IS NOT NULL"""
+    return {
+        "target_encode_full": _apps("""
+SELECT app_id, ROUND(AVG(COALESCE(default_12m, 0)) OVER (PARTITION BY purpose), 6) AS purpose_target_rate FROM apps"""),
+        "target_encode_train": _split(dev + """
+, rates AS (SELECT customer_id, AVG(default_12m) AS r FROM development GROUP BY customer_id)
+SELECT app_id, ROUND(COALESCE(r, (SELECT AVG(default_12m) FROM development)), 6) AS customer_id_target_rate
+FROM split LEFT JOIN rates USING (customer_id)"""),
+        "train_only_preprocess": _split(dev + _prepared("split", "development", "t.split", True, False)),
+        "whole_sample_preprocess": _eligible(_prepared("eligible", "eligible", "'all'", False, True)),
+        "train_only_encode": _split(dev + _prepared("split", "development", "t.split", False, True)),
+        "one_hot": _eligible("SELECT app_id, " + ", ".join(dummies) + " FROM eligible"),
+        "dummies_drop_first": _eligible("SELECT app_id, " + ", ".join(dummies[1:]) + " FROM eligible"),
+        "class_weights": _eligible("""
+SELECT default_12m, COUNT(*) AS rows, ROUND((SELECT COUNT(*) FROM eligible) / (2e0 * COUNT(*)), 6) AS weight FROM eligible GROUP BY default_12m"""),
+        "mutual_information": _eligible(relevance + "\nSELECT * FROM relevance"),
+        "top_features": _eligible(relevance + """
+SELECT * FROM (SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY mutual_information DESC, feature) AS INT) AS place FROM relevance) WHERE place <= 3"""),
+        "attribution_frame": _apps(attribution),
+        "order_by_time": _eligible("SELECT app_id, CAST(application_date AS VARCHAR) AS application_date FROM eligible"),
+        "stable_date_sort": _apps("SELECT app_id, ROW_NUMBER() OVER (ORDER BY application_date, app_id) - 1 AS ordinal FROM apps"),
+    }
+
+
+def _selection() -> dict[str, str]:
+    cards = _union(
+        f"SELECT {a}e0 AS c, block AS fold, default_12m, "
+        f"ROUND(1e0 / (1e0 + EXP(1.5e0 + {a}e0 * num_open_accounts - 4e0 * debt_to_income)), 6) AS score FROM blocked WHERE block >= 1"
+        for a in (0.2, 0.35, 0.5, 0.7)
+    )
+    cells = "cells AS (SELECT c, fold, score, SUM(default_12m) AS pos, SUM(1 - default_12m) AS neg FROM cards GROUP BY 1, 2, 3)"
+    folds = _GROUP_METRICS.format(g="c, fold", t="0.5e0")
+    base = (_DEDUP, _ELIGIBLE, _PLACED, f"cards AS MATERIALIZED ({cards})", cells, folds)
+    summary = """summary AS MATERIALIZED (
+  SELECT c AS C, AVG(pr_auc) AS mean_pr_auc, STDDEV_SAMP(pr_auc) AS std_pr_auc, AVG(roc_auc) AS mean_roc_auc,
+         AVG(brier_score) AS mean_brier_score FROM metrics GROUP BY c)"""
+    segments = "SELECT home_ownership, score, default_12m FROM scored"
+    cuts = _union(
+        f"SELECT home_ownership, {i} AS place, 'cut {t}' AS model, default_12m AS y, CAST(score >= {t}e0 AS INT) AS d FROM scored"
+        for i, t in enumerate((0.3, 0.1, 0.2))
+    )
+    return {
+        "cv_summary": _with("""
+SELECT C, 'None' AS class_weight, ROUND(mean_pr_auc, 6) AS mean_pr_auc, ROUND(std_pr_auc, 6) AS std_pr_auc,
+       ROUND(mean_roc_auc, 6) AS mean_roc_auc, ROUND(mean_brier_score, 6) AS mean_brier_score, 3 AS fold_detail FROM summary""", *base, summary),
+        "tolerance_select": _with("""
+, near AS (SELECT *, mean_pr_auc >= (SELECT MAX(mean_pr_auc) FROM summary) - 0.01e0 AS near FROM summary)
+SELECT C, ROUND(mean_pr_auc, 6) AS mean_pr_auc, ROUND(mean_brier_score, 6) AS mean_brier_score,
+       CAST(near AND ROW_NUMBER() OVER (PARTITION BY near ORDER BY mean_brier_score, C) = 1 AS INT) AS selected FROM near""", *base, summary),
+        "seed_summary": _with("""
+SELECT home_ownership, ROUND(AVG(auc), 6) AS mean_roc_auc, ROUND(MIN(auc), 6) AS seed_minimum, ROUND(MAX(auc), 6) AS seed_maximum,
+       COUNT(auc) AS seeds FROM runs GROUP BY home_ownership""", _SCORED, """
+cells AS (SELECT home_ownership, seed, score, SUM(default_12m) AS pos, SUM(1 - default_12m) AS neg
+          FROM scored, (VALUES (7), (8), (9), (10), (11)) s(seed)
+          WHERE CAST('0x' || SUBSTR(MD5(seed || ':' || app_id), 1, 15) AS BIGINT) < (1::BIGINT << 58) GROUP BY 1, 2, 3),
+ranked AS (SELECT *, SUM(pos) OVER (PARTITION BY home_ownership, seed ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp FROM cells),
+runs AS (SELECT home_ownership, seed, SUM(neg * (tp - pos / 2e0)) / NULLIF(CAST(SUM(pos) AS DOUBLE) * SUM(neg), 0) AS auc FROM ranked GROUP BY 1, 2)"""),
+        "champion_select": _with("""
+SELECT home_ownership, place, model, accuracy, roc_auc_of_decisions FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY home_ownership ORDER BY accuracy DESC, roc_auc_of_decisions DESC, place) AS rn FROM scores) WHERE rn = 1""",
+                                 _SCORED, f"""cuts AS ({cuts}),
+scores AS (SELECT home_ownership, place, model, ROUND(AVG(CASE WHEN y = d THEN 1e0 ELSE 0e0 END), 6) AS accuracy,
+   ROUND((AVG(CASE WHEN y = 1 THEN CAST(d AS DOUBLE) END) + AVG(CASE WHEN y = 0 THEN 1e0 - d END)) / 2, 6) AS roc_auc_of_decisions
+   FROM cuts GROUP BY 1, 2, 3)"""),
+        "best_threshold": _with("""
+SELECT home_ownership, threshold, accuracy, f1 FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY home_ownership ORDER BY accuracy DESC, f1 DESC, threshold) AS rn FROM sweep) WHERE rn = 1""",
+                                _SCORED, f"""segments AS ({segments}),
+t AS (SELECT i / 100e0 AS threshold FROM RANGE(5, 96) r(i)),
+m AS (SELECT home_ownership, threshold, COUNT(*) AS n, SUM(CASE WHEN score >= threshold THEN default_12m ELSE 0 END) AS tp,
+             SUM(CASE WHEN score >= threshold THEN 1 - default_12m ELSE 0 END) AS fp, SUM(default_12m) AS p
+      FROM segments, t GROUP BY 1, 2),
+sweep AS (SELECT home_ownership, threshold, ROUND((tp + (n - p) - fp) / n, 6) AS accuracy,
+                 ROUND(CASE WHEN tp + fp + p = 0 THEN 0 ELSE 2 * tp / (tp + fp + p) END, 6) AS f1 FROM m)"""),
+        "recall_threshold": _scored("SELECT home_ownership, MIN(score) AS threshold FROM scored WHERE default_12m = 1 GROUP BY home_ownership"),
+    }
+
+
+def _near() -> dict[str, str]:
+    cols = APPS.near_duplicate
+    fills = ", ".join(f"(SELECT QUANTILE_CONT(CAST({c} AS DOUBLE), 0.5) FROM apps) AS fill_{c}" for c in cols)
+    filled = ", ".join(f"COALESCE(CAST({c} AS DOUBLE), fill_{c}) AS v{i}" for i, c in enumerate(cols))
+
+    def scaled(table: str) -> str:
+        parts = ", ".join(f"(v{i} - AVG(v{i}) OVER ()) / STDDEV_POP(v{i}) OVER () AS x{i}" for i in range(len(cols)))
+        return f"SELECT app_id, {parts} FROM {table}"
+
+    square = " + ".join(f"(a.x{i} - b.x{i}) * (a.x{i} - b.x{i})" for i in range(len(cols)))
+
+    def nearest(table: str) -> str:
+        return f"SELECT a.app_id, SQRT(MIN({square})) AS d FROM {table} a JOIN {table} b ON a.app_id <> b.app_id GROUP BY a.app_id"
+
+    within = _union(
+        f"SELECT 'rows_within_{f'{c:.2f}'.replace('.', '_')}', CAST(COUNT(CASE WHEN d < {c}e0 THEN 1 END) AS DOUBLE) FROM near_all" for c in (0.01, 0.05, 0.10, 0.25)
+    )
+    squares = " + ".join(f"(a.embedding[{i}]::DOUBLE - b.embedding[{i}]::DOUBLE) * (a.embedding[{i}]::DOUBLE - b.embedding[{i}]::DOUBLE)" for i in range(1, 65))
+    return {
+        "near_duplicate_screen": _with(f"""
+SELECT 'exact_duplicate_pairs' AS "check", CAST(SUM(n) // 2 AS DOUBLE) AS value
+FROM (SELECT COUNT(*) AS n FROM apps GROUP BY {_SIG} HAVING COUNT(*) > 1)
+UNION ALL SELECT 'median_nearest_distance', ROUND(QUANTILE_CONT(d, 0.5), 6) FROM near_all
+UNION ALL {within}
+UNION ALL SELECT 'rows_within_0_10_after_removal', CAST(COUNT(CASE WHEN d < 0.10e0 THEN 1 END) AS DOUBLE) FROM near_left""",
+                                       _DEDUP, f"""fills AS MATERIALIZED (SELECT {fills}),
+filled AS MATERIALIZED (SELECT app_id, {filled} FROM apps CROSS JOIN fills),
+filled_left AS MATERIALIZED (SELECT * FROM filled SEMI JOIN dedup USING (app_id)),
+all_points AS MATERIALIZED ({scaled("filled")}), left_points AS MATERIALIZED ({scaled("filled_left")}),
+near_all AS MATERIALIZED ({nearest("all_points")}), near_left AS MATERIALIZED ({nearest("left_points")})"""),
+        "embedding_neighbours": f"""
+SELECT a.vec_id, 1 AS copies, ROUND(SQRT(MIN({squares})), 5) AS distance
+FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id GROUP BY a.vec_id""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for part in (_sources, _projections, _sets, _aggregates, _ranks, _sampling):
+    for part in (_sources, _projections, _sets, _aggregates, _ranks, _sampling, _preparation, _selection, _near):
         out.update(part())
     return out

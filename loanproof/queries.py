@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanproof.functions import columns as fx
-from loanproof.operators import audit, metrics, ordering, population, sampling
+from loanproof.operators import audit, metrics, models, neighbours, ordering, population, prep, sampling
+from loanproof.plans import attribution, validation
 from loanproof.schema import APPS
 from loanproof.session import materialize, shared_dir
 from loanproof.sources import applications as src
@@ -210,6 +211,254 @@ def _parted(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.oversample_then_split(thin, APPS, SEED)
 
 
+# --- preparation and models ---------------------------------------------------------
+
+# Tree counts of the registered runs; the operators default to the full sizes.
+BUDGET = attribution.TreeBudget(forest=20, tuned_forest=20, rounds=10, tuned_rounds=10, study_rounds=10)
+SLOPES = (0.2, 0.35, 0.5, 0.7)
+
+
+def _written_split(spark: SparkSession, folder: str) -> DataFrame:
+    """The split eligible rows, written once for fits that read them many times."""
+    eligible = materialize(_eligible(spark, folder))
+    return population.chronological_split(eligible, APPS)
+
+
+def target_encode_full(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _apps(spark, folder).select("app_id", "purpose", F.coalesce(APPS.target, F.lit(0)).alias("y"))
+    return _rounded(prep.target_encode(rows, "purpose", "y").select("app_id", "purpose_target_rate"))
+
+
+def target_encode_train(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _written_split(spark, folder).select("app_id", "customer_id", APPS.target, "split")
+    train = rows.filter(F.col("split") == population.DEVELOPMENT)
+    encoded = prep.target_encode(rows, "customer_id", APPS.target, train)
+    return _rounded(encoded.select("app_id", "customer_id_target_rate"))
+
+
+def train_only_preprocess(spark: SparkSession, folder: str) -> DataFrame:
+    split = _written_split(spark, folder)
+    learned = prep.train_only_preparation(
+        validation.part(split, population.DEVELOPMENT), APPS.numeric, APPS.categorical
+    )
+    return _rounded(learned.transform(split, ["app_id", "split"]))
+
+
+def whole_sample_preprocess(spark: SparkSession, folder: str) -> DataFrame:
+    rows = materialize(_eligible(spark, folder))
+    learned = prep.whole_sample_preparation(rows, APPS.numeric, APPS.categorical, APPS.target)
+    return _rounded(learned.transform(rows, ["app_id"]))
+
+
+def train_only_encode(spark: SparkSession, folder: str) -> DataFrame:
+    split = _written_split(spark, folder)
+    train = validation.part(split, population.DEVELOPMENT)
+    learned = prep.train_only_encoding(train, split, APPS.numeric, APPS.categorical, APPS.target)
+    return _rounded(learned.transform(split, ["app_id"]))
+
+
+def _purpose_columns(spark: SparkSession, folder: str, drop_first: bool) -> DataFrame:
+    rows = _eligible(spark, folder).select("app_id", "purpose")
+    levels = prep.fill_values(rows, [], ["purpose"])[2]["purpose"]
+    return prep.one_hot(rows, "purpose", levels, drop_first).drop("purpose")
+
+
+def one_hot(spark: SparkSession, folder: str) -> DataFrame:
+    return _purpose_columns(spark, folder, False)
+
+
+def dummies_drop_first(spark: SparkSession, folder: str) -> DataFrame:
+    return _purpose_columns(spark, folder, True)
+
+
+def _fold_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Metrics per validation fold of a family of fixed scorecards."""
+    rows = materialize(_eligible(spark, folder).select("app_id", "application_date", APPS.target, "num_open_accounts", "debt_to_income"))
+    blocked = population.fold_block(rows, APPS).filter("block >= 1")
+    cards = F.array(*[
+        F.struct(
+            F.lit(a).alias("C"),
+            F.round(1.0 / (1.0 + F.exp(1.5 + F.lit(a) * F.col("num_open_accounts") - 4.0 * F.col("debt_to_income"))), 6).alias("score"),
+        )
+        for a in SLOPES
+    ])
+    long = blocked.select(F.col("block").alias("fold"), APPS.target, F.explode(cards).alias("x")).select("fold", APPS.target, "x.*")
+    found = metrics.binary_metrics(long, "score", APPS.target, None, ["C", "fold"])
+    return found.select("C", "fold", F.lit("None").alias("class_weight"), "pr_auc", "roc_auc", "brier_score")
+
+
+def cv_summary(spark: SparkSession, folder: str) -> DataFrame:
+    table = metrics.cv_summary(_fold_scores(spark, folder), ["C", "class_weight"])
+    return _rounded(table.withColumn("fold_detail", F.size("fold_detail")))
+
+
+def tolerance_select(spark: SparkSession, folder: str) -> DataFrame:
+    table = metrics.cv_summary(_fold_scores(spark, folder), ["C", "class_weight"])
+    marked = metrics.tolerance_select(table)
+    return _rounded(marked.select("C", "mean_pr_auc", "mean_brier_score", F.col("selected").cast("int").alias("selected")))
+
+
+def seed_summary(spark: SparkSession, folder: str) -> DataFrame:
+    scored = _scored(spark, folder).select("app_id", "home_ownership", APPS.target, "score")
+    seeds = F.array(*[F.lit(s) for s in (7, 8, 9, 10, 11)])
+    spread = scored.withColumn("seed", F.explode(seeds))
+    test = spread.filter(fx.hash_number("seed", "app_id") < (1 << 58))
+    runs = metrics.roc_auc(test, "score", APPS.target, ["home_ownership", "seed"])
+    return _rounded(metrics.seed_summary(runs, ["home_ownership"], "roc_auc"))
+
+
+def champion_select(spark: SparkSession, folder: str) -> DataFrame:
+    scored = _scored(spark, folder)
+    decisions = F.array(*[
+        F.struct(F.lit(i).alias("place"), F.lit(f"cut {t}").alias("model"), fx.above_threshold("score", t).alias("decision"))
+        for i, t in enumerate((0.3, 0.1, 0.2))
+    ])
+    long = scored.select("home_ownership", APPS.target, F.explode(decisions).alias("x")).select("home_ownership", APPS.target, "x.*")
+    found = metrics.binary_metrics(long, "decision", APPS.target, 1, ["home_ownership", "place", "model"])
+    table = found.select(
+        "home_ownership", "place", "model", F.round("accuracy", 6).alias("accuracy"),
+        F.round("roc_auc", 6).alias("roc_auc_of_decisions"),
+    )
+    return metrics.champion_select(table, ["home_ownership"], "place")
+
+
+def best_threshold(spark: SparkSession, folder: str) -> DataFrame:
+    sweep = metrics.threshold_sweep(_scored(spark, folder), "score", APPS.target, groups=["home_ownership"])
+    return metrics.best_threshold(_rounded(sweep), ["home_ownership"])
+
+
+def mutual_information(spark: SparkSession, folder: str) -> DataFrame:
+    rows = materialize(_eligible(spark, folder).select(APPS.target, *APPS.numeric))
+    return _rounded(prep.mutual_information(rows, APPS.numeric, APPS.target))
+
+
+def top_features(spark: SparkSession, folder: str) -> DataFrame:
+    return metrics.top_features(mutual_information(spark, folder), keep=3)
+
+
+def _fitted_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Prepared development and final rows for one fit, and the feature names."""
+    split = _written_split(spark, folder)
+    development, final = (validation.part(split, n) for n in (population.DEVELOPMENT, population.FINAL))
+    learned = prep.train_only_preparation(development, APPS.numeric, APPS.categorical)
+    keep = ["app_id", APPS.target]
+    return materialize(learned.transform(development, keep)), materialize(learned.transform(final, keep)), learned.names
+
+
+def logistic_l2(spark: SparkSession, folder: str) -> DataFrame:
+    train, _, names = _fitted_parts(spark, folder)
+    model = models.logistic_l2(train, names, APPS.target, "app_id", 1.0)
+    pairs = [*zip(names, model.coefficients), ("intercept", model.intercept)]
+    return _rounded(spark.createDataFrame(pairs, "feature string, coefficient double"))
+
+
+def logistic_grid(spark: SparkSession, folder: str) -> DataFrame:
+    train, test, names = _fitted_parts(spark, folder)
+    points = F.array(*[
+        F.struct(F.lit(float(c)).alias("C"), models.unpenalized_intercept_logistic(train, names, APPS.target, c).model.probability().alias("score"))
+        for c in (0.01, 0.1, 1, 10, 100)
+    ])
+    long = test.select(APPS.target, F.explode(points).alias("x")).select(APPS.target, "x.*")
+    return _rounded(metrics.binary_metrics(long, "score", APPS.target, 0.5, ["C"]))
+
+
+def _tree_metrics(spark: SparkSession, folder: str, fit) -> DataFrame:
+    train, test, names = _fitted_parts(spark, folder)
+    return _rounded(metrics.binary_metrics(fit(train, names).score(test), "score", APPS.target, 0.5))
+
+
+def forest_model(spark: SparkSession, folder: str) -> DataFrame:
+    return _tree_metrics(spark, folder, lambda d, names: models.forest_model(d, names, APPS.target, BUDGET.forest, 8))
+
+
+def boosted_model(spark: SparkSession, folder: str) -> DataFrame:
+    return _tree_metrics(spark, folder, lambda d, names: models.boosted_model(d, names, APPS.target, BUDGET.rounds))
+
+
+def calibration_fit(spark: SparkSession, folder: str) -> DataFrame:
+    intercept, slope = models.calibration_fit(_scored(spark, folder), "score", APPS.target)
+    return spark.createDataFrame([(intercept, slope)], "calibration_intercept double, calibration_slope double")
+
+
+def calibration_summary(spark: SparkSession, folder: str) -> DataFrame:
+    split = src.scored_applications(_written_split(spark, folder))
+    samples = {n: validation.part(split, n) for n in (population.VALIDATION, population.FINAL)}
+    return _rounded(models.calibration_summary(samples, "score", APPS.target))
+
+
+def temporal_grid_search(spark: SparkSession, folder: str) -> DataFrame:
+    split = _written_split(spark, folder)
+    return _rounded(models.temporal_grid_search(validation.part(split, population.DEVELOPMENT), APPS))
+
+
+def fit_freeze_score(spark: SparkSession, folder: str) -> DataFrame:
+    # Customers repeat on purpose in these tables, so the overlap check is left out.
+    split = validation.split_population(_apps(spark, folder), APPS, customers=False)
+    _, scored = validation.fit_freeze_score(split, APPS, 1.0)
+    return _rounded(scored.select("app_id", "application_date", "age", "state", APPS.target, "score", "threshold", "predicted"))
+
+
+def challengers(spark: SparkSession, folder: str) -> DataFrame:
+    split = validation.split_population(_apps(spark, folder), APPS, customers=False)
+    return _rounded(validation.challengers(split, APPS, 1.0))
+
+
+def attribution_frame(spark: SparkSession, folder: str) -> DataFrame:
+    frame, numeric, categorical = attribution.attribution_frame(_apps(spark, folder), APPS, True, True)
+    return _rounded(frame.select("app_id", APPS.target, *numeric, *categorical))
+
+
+def _replay(spark: SparkSession, folder: str) -> dict:
+    raw = materialize(_apps(spark, folder))
+    return attribution.faulty_pipeline_replay(raw, APPS, SEED, BUDGET)
+
+
+def faulty_pipeline_replay(spark: SparkSession, folder: str) -> DataFrame:
+    found = _replay(spark, folder)
+    row = found["metrics"].withColumn("champion", F.lit(found["champion"])).withColumn("threshold", F.lit(found["threshold"]))
+    return _rounded(row.withColumn("one", F.lit(1)).join(found["contamination"].withColumn("one", F.lit(1)), "one").drop("one"))
+
+
+def leakage_2x2(spark: SparkSession, folder: str) -> DataFrame:
+    raw = materialize(_apps(spark, folder))
+    return _rounded(attribution.leakage_2x2(raw, APPS, (7, 8), BUDGET.study_rounds))
+
+
+def repair_ladder(spark: SparkSession, folder: str) -> DataFrame:
+    raw = materialize(_apps(spark, folder))
+    return _rounded(attribution.repair_ladder(raw, APPS, SEED, BUDGET.study_rounds))
+
+
+def results_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    raw = materialize(_apps(spark, folder))
+    bad = attribution.faulty_pipeline_replay(raw, APPS, SEED, BUDGET)
+    faulty = validation.faulty_row(
+        bad["metrics"], raw.count(), len(bad["features"]), bad["threshold"],
+        bad["reported_auc"].first()[0], bad["contamination"].first()["contaminated_rows"],
+    )
+    split = validation.split_population(raw, APPS, customers=False)
+    model = validation.fit_freeze(split, APPS, 1.0)
+    corrected = validation.corrected_row(split, APPS, model, repetitions=200, mode="poisson")
+    return _rounded(src.stack_frames(faulty, corrected))
+
+
+def near_duplicate_screen(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["app_id", *[c for c in APPS.names if c != "app_id"]]
+    raw = materialize(_apps(spark, folder).select(*columns))
+    survivors = population.dedup_keep_first(raw, APPS.signature, APPS.row_id)
+    pairs = population.duplicate_pairs(raw, APPS.signature)
+    return _rounded(neighbours.near_duplicate_screen(raw, survivors, APPS.near_duplicate, APPS.row_id, pairs))
+
+
+def embedding_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Distance of each embedding to the nearest other one."""
+    (vectors,) = src.tables(spark, folder, "embeddings")
+    size = 64
+    points = vectors.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(size)])
+    found = neighbours.nearest_other_distance(points, "vec_id", box_points=200)
+    return found.select(F.col("point").alias("vec_id"), "copies", F.round("distance", 5).alias("distance"))
+
+
 def queries() -> dict[str, Query]:
     target = APPS.target
     dims = ["home_ownership", "channel", "state"]
@@ -284,4 +533,41 @@ def queries() -> dict[str, Query]:
         "random_split_approximate": on(_apps, lambda d: sampling.random_split_approximate(d, SEED, "app_id").select("app_id", "part")),
         "train_test_contamination": on(_parted, lambda d: population.train_test_contamination(d, "source_row_id", "part", target)),
         "bootstrap_ci": on(_scored, lambda d: sampling.bootstrap_ci(d, "score", target, "app_id", 20, 42)),
+        "order_by_time": order_by_time,
+        "stable_date_sort": on(_apps, lambda d: ordering.row_ordinal(
+            d.select("application_date", "app_id"), ["application_date", "app_id"]).select("app_id", "ordinal")),
+        "target_encode_full": target_encode_full,
+        "target_encode_train": target_encode_train,
+        "impute_stats": on(_development, lambda d: prep.impute_stats(d, APPS.numeric, APPS.categorical)),
+        "scale_stats": on(_development, lambda d: prep.scale_stats(d, APPS.numeric)),
+        "train_only_preprocess": train_only_preprocess,
+        "whole_sample_preprocess": whole_sample_preprocess,
+        "train_only_encode": train_only_encode,
+        "one_hot": one_hot,
+        "dummies_drop_first": dummies_drop_first,
+        "class_weights": on(_eligible, lambda d: models.class_weights(d, target)),
+        "cv_summary": cv_summary,
+        "tolerance_select": tolerance_select,
+        "seed_summary": seed_summary,
+        "champion_select": champion_select,
+        "best_threshold": best_threshold,
+        "recall_threshold": on(_scored, lambda d: metrics.recall_threshold(d, "score", target, ["home_ownership"])),
+        "mutual_information": mutual_information,
+        "top_features": top_features,
+        "logistic_l2": logistic_l2,
+        "logistic_grid": logistic_grid,
+        "forest_model": forest_model,
+        "boosted_model": boosted_model,
+        "calibration_fit": calibration_fit,
+        "calibration_summary": calibration_summary,
+        "temporal_grid_search": temporal_grid_search,
+        "fit_freeze_score": fit_freeze_score,
+        "challengers": challengers,
+        "attribution_frame": attribution_frame,
+        "near_duplicate_screen": near_duplicate_screen,
+        "embedding_neighbours": embedding_neighbours,
+        "faulty_pipeline_replay": faulty_pipeline_replay,
+        "leakage_2x2": leakage_2x2,
+        "repair_ladder": repair_ladder,
+        "results_comparison": results_comparison,
     }
