@@ -71,23 +71,23 @@ def small_cell(rows: ColumnLike, positives: ColumnLike) -> Column:
     return F.when(few, "no, cell too small").otherwise("yes")
 
 
-def bin_number(c: ColumnLike, edges: Sequence[float], closed: str = "left") -> Column:
-    """How many sorted edges lie at or below the value (``left``) or strictly below (``right``).
+def bin_number(name: str, edges: Sequence[float], closed: str = "left") -> Column:
+    """How many edges lie at or below the value (``left``) or strictly below it (``right``).
 
-    Built as a balanced tree of comparisons, so the depth is the logarithm of the number
+    Written as a balanced tree of comparisons, so the depth is the logarithm of the number
     of edges and the whole tree is compiled with the rest of the stage.
     """
-    x = _col(c)
+    x, sign = f"CAST(`{name}` AS DOUBLE)", ">=" if closed == "left" else ">"
     cuts = sorted(edges)
 
-    def tree(lo: int, hi: int) -> Column:
+    def tree(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        passed = x >= cuts[mid] if closed == "left" else x > cuts[mid]
-        return F.when(passed, tree(mid + 1, hi)).otherwise(tree(lo, mid))
+        cut = f"CAST('{float(cuts[mid])!r}' AS DOUBLE)"
+        return f"CASE WHEN {x} {sign} {cut} THEN {tree(mid + 1, hi)} ELSE {tree(lo, mid)} END"
 
-    return F.when(x.isNotNull(), tree(0, len(cuts)))
+    return F.expr(f"CASE WHEN {x} IS NOT NULL THEN {tree(0, len(cuts))} END")
 
 
 def hash_number(*parts: ColumnLike | int) -> Column:

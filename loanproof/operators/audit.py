@@ -20,6 +20,7 @@ from loanproof.operators.population import (
     repeated_ids,
 )
 from loanproof.schema import ApplicationSchema
+from loanproof.session import small_table
 
 
 def missing_profile(df: DataFrame) -> DataFrame:
@@ -130,14 +131,16 @@ def outlier_screen(raw: DataFrame, schema: ApplicationSchema) -> DataFrame:
 
 def field_dictionary(df: DataFrame, schema: ApplicationSchema) -> DataFrame:
     """The declared dictionary joined with what the table holds: missing cells and levels."""
-    declared = df.sparkSession.createDataFrame(
+    declared = small_table(
+        df.sparkSession,
+        {"field": "string", "tags": "string", "used_in_corrected_model": "boolean",
+         "corrected_model_role": "string", "rationale": "string"},
         [
-            (f.name, list(f.tags), f.name in schema.features, schema.role(f.name), f.rationale)
+            (f.name, "; ".join(f.tags), f.name in schema.features, schema.role(f.name), f.rationale)
             for f in schema.fields
         ],
-        "field string, classification array<string>, used_in_corrected_model boolean, "
-        "corrected_model_role string, rationale string",
     )
+    declared = declared.withColumn("classification", F.split("tags", "; ")).drop("tags")
     profile = missing_profile(df).drop("missing_rate")
     levels = cardinality(df, df.columns)
     return declared.join(profile, "field", "left").join(levels, "field", "left")

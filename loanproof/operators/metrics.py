@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from loanproof.functions.columns import age_band, bin_number, small_cell
 from loanproof.operators.ordering import quantile_map, running_totals
+from loanproof.session import small_table
 
 SWEEP = [j / 100 for j in range(5, 96)]
 AGE_BANDS = (("19-34", 18, 35), ("35-49", 35, 50), ("50+", 50, 101))
@@ -173,7 +174,7 @@ def score_histogram(df: DataFrame, score: str, bins: int = 14) -> DataFrame:
     span = df.agg(F.min(score).alias("a"), F.max(score).alias("b")).first()
     low, high = span["a"], span["b"]
     if low is None:
-        return df.sparkSession.createDataFrame([], "bin int, low double, high double, rows bigint")
+        return small_table(df.sparkSession, {"bin": "int", "low": "double", "high": "double", "rows": "bigint"}, [])
     if low == high:
         low, high = low - 0.5, high + 0.5
     width = (high - low) / bins
@@ -202,8 +203,10 @@ def threshold_sweep(
         .groupBy(*groups, bin_number(score, thresholds).alias("step"))
         .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
     )
-    cuts = df.sparkSession.createDataFrame(
-        [(i + 1, float(t)) for i, t in enumerate(sorted(thresholds))], "cut int, threshold double"
+    cuts = small_table(
+        df.sparkSession,
+        {"cut": "int", "threshold": "double"},
+        [(i + 1, float(t)) for i, t in enumerate(sorted(thresholds))],
     )
     # A threshold flags the steps at or above its own number: at most 92 x 91 small pairs.
     flagged = F.col("step") >= F.col("cut")
@@ -244,7 +247,7 @@ def subgroup_age(
     """Metrics per age band; a band without rows keeps its row with missing metrics."""
     banded = df.withColumn("age_band", age_band(age, bands)).filter(F.col("age_band").isNotNull())
     found = binary_metrics(banded, score, target, threshold, ["age_band"])
-    every = df.sparkSession.createDataFrame([(b[0],) for b in bands], "age_band string")
+    every = small_table(df.sparkSession, {"age_band": "string"}, [(b[0],) for b in bands])
     out = every.join(found, "age_band", "left")
     for c in ("rows", "positives", "true_negative", "false_positive", "false_negative", "true_positive"):
         out = out.withColumn(c, F.coalesce(c, F.lit(0)))

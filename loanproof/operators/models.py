@@ -9,7 +9,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loanproof.functions.columns import clipped_logit, is_odd_hash
@@ -79,7 +79,7 @@ def fit_logistic_vectors(
     c_value: float = 1.0,
     class_weight: str | None = None,
     max_iter: int = 500,
-    tol: float = 1e-9,
+    tol: float = 1e-7,
 ) -> LogisticModel:
     """L2 logistic regression: minimizes b.b / 2 + C * sum of weighted losses, intercept included."""
     negatives, positives = sizes
@@ -105,10 +105,11 @@ def logistic_l2(
     return fit_logistic_vectors(vectors, columns, class_sizes(vectors, "y"), c_value, class_weight)
 
 
-def run_together(jobs: Sequence[Callable]) -> list:
+def run_together(spark: SparkSession, jobs: Sequence[Callable]) -> list:
     """Run independent Spark jobs from a few threads, results in order."""
+    bound = inheritable_thread_target(spark)
     with ThreadPool(min(CONCURRENT_FITS, len(jobs))) as pool:
-        return pool.map(lambda job: inheritable_thread_target(job)(), jobs)
+        return pool.map(lambda job: bound(job)(), jobs)
 
 
 @dataclass(frozen=True)
@@ -156,9 +157,10 @@ def temporal_grid_search(
     """
     keep = [schema.row_id, schema.date, schema.target, *schema.features]
     blocked = materialize(fold_block(materialize(development.select(*keep)), schema, folds))
+    spark = development.sparkSession
     grid = [(w, c) for w in weights for c in c_grid]
-    scored = []
-    for fold in range(1, folds + 1):
+
+    def fold_scores(fold: int) -> DataFrame:
         train = blocked.filter(F.col("block") < fold)
         valid = blocked.filter(F.col("block") == fold)
         if 0 in class_sizes(valid, schema.target) + class_sizes(train, schema.target):
@@ -168,7 +170,7 @@ def temporal_grid_search(
         vectors = training_vectors(wide, prep.names, schema.target, schema.row_id)
         sizes = class_sizes(vectors, "y")
         models = run_together(
-            [lambda w=w, c=c: fit_logistic_vectors(vectors, prep.names, sizes, c, w) for w, c in grid]
+            spark, [lambda w=w, c=c: fit_logistic_vectors(vectors, prep.names, sizes, c, w) for w, c in grid]
         )
         made = prep.transform(valid, [schema.target])
         points = F.array(
@@ -184,7 +186,9 @@ def temporal_grid_search(
                 for (w, c), m in zip(grid, models)
             ]
         )
-        scored.append(made.select(schema.target, F.explode(points).alias("x")).select(schema.target, "x.*"))
+        return made.select(schema.target, F.explode(points).alias("x")).select(schema.target, "x.*")
+
+    scored = run_together(spark, [lambda f=f: fold_scores(f) for f in range(1, folds + 1)])
     rows = scored[0]
     for part in scored[1:]:
         rows = rows.unionByName(part)

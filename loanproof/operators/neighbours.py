@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from loanproof.operators.ordering import quantile_map
 from loanproof.operators.prep import scale_values
-from loanproof.session import materialize
+from loanproof.session import materialize, small_table
 
 # Points one box may hold, boxes one split makes, and visits one task answers at a time.
 BOX_POINTS = 2_000
@@ -211,8 +211,9 @@ def near_duplicate_screen(
     def long(df: DataFrame) -> DataFrame:
         return df.unpivot([], df.columns, "check", "value")
 
-    spark = raw.sparkSession
-    middle = spark.createDataFrame([("median_nearest_distance", median)], "check string, value double")
+    middle = small_table(
+        raw.sparkSession, {"check": "string", "value": "double"}, [("median_nearest_distance", median)]
+    )
     exact = pairs.select(F.lit("exact_duplicate_pairs").alias("check"), F.col("pairs").cast("double").alias("value"))
     return exact.unionByName(middle).unionByName(long(counts)).unionByName(long(left))
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanproof.functions.columns import ColumnLike, _col
-from loanproof.session import collect_bounded, materialize
+from loanproof.session import collect_bounded, materialize, small_table
 
 # Rows one window task may hold.
 WINDOW_ROWS = 1_000_000
@@ -197,7 +197,7 @@ def exact_quantiles(
         targets += _brackets(df, values, wide_steps)
 
     if not targets:
-        return spark.createDataFrame([], "field string, prob double, value double")
+        return small_table(spark, {"field": "string", "prob": "double", "value": "double"}, [])
     picks = []
     for t, target in enumerate(targets):
         v = values[target["field"]]
@@ -215,13 +215,14 @@ def exact_quantiles(
     else:
         by_value = Window.partitionBy("t").orderBy("v").rowsBetween(*_UP_TO_HERE)
         placed = cells.withColumn("cum", F.sum("n").over(by_value))
-    wanted = spark.createDataFrame(
+    wanted = small_table(
+        spark,
+        {"t": "int", "field": "string", "prob": "double", "k_low": "bigint", "k_high": "bigint", "part": "double"},
         [
             (t, target["field"], float(p), math.floor(s) - target["below"], math.ceil(s) - target["below"], s - math.floor(s))
             for t, target in enumerate(targets)
             for p, s in target["spots"]
         ],
-        "t int, field string, prob double, k_low bigint, k_high bigint, part double",
     )
     return (
         placed.join(F.broadcast(wanted), "t")

@@ -245,7 +245,7 @@ def mutual_information(df: DataFrame, columns: Sequence[str], target: str, bins:
     picks = []
     for c in columns:
         cuts = sorted({edges[c][p] for p in probs if edges[c][p] is not None})
-        picks.append(F.struct(F.lit(c).alias("feature"), bin_number(F.col(c).cast("double"), cuts, "right").alias("bin")))
+        picks.append(F.struct(F.lit(c).alias("feature"), bin_number(c, cuts, "right").alias("bin")))
     y = F.col(target)
     cells = (
         df.filter(y.isNotNull())

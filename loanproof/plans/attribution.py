@@ -18,7 +18,7 @@ from loanproof.operators.metrics import (
     threshold_sweep,
     top_features,
 )
-from loanproof.operators.models import boosted_model, forest_model, unpenalized_intercept_logistic
+from loanproof.operators.models import boosted_model, forest_model, run_together, unpenalized_intercept_logistic
 from loanproof.operators.population import chronological_cut, train_test_contamination
 from loanproof.operators.prep import (
     Preparation,
@@ -110,21 +110,29 @@ def faulty_pipeline_replay(
     train = materialize(_train(rows).select(target, *features))
     test = materialize(_test(rows).select("source_row_id", target, *features))
 
+    spark = raw.sparkSession
     families: list[tuple[str, Callable]] = [
         ("logistic", lambda: unpenalized_intercept_logistic(train, features, target, 1.0)),
         ("random_forest", lambda: forest_model(train, features, target, budget.forest, seed=seed)),
         ("gradient_boosting", lambda: boosted_model(train, features, target, budget.rounds, seed=seed)),
     ]
-    compared = _compare(test, target, [(name, fit()) for name, fit in families])
+    compared = _compare(test, target, _fit_all(spark, families))
     champion = champion_select(compared, [], "place").first()["model"]
-    if champion == "random_forest":
-        options = [
-            (str(d), forest_model(train, features, target, budget.tuned_forest, d, seed)) for d in (3, 5, 8, 12, None)
-        ]
-    elif champion == "logistic":
-        options = [(str(c), unpenalized_intercept_logistic(train, features, target, c)) for c in (0.01, 0.1, 1, 10, 100)]
-    else:
-        options = [(str(d), boosted_model(train, features, target, budget.tuned_rounds, depth=d, seed=seed)) for d in (1, 2, 3, 4)]
+    choices: dict[str, list[tuple[str, Callable]]] = {
+        "random_forest": [
+            (str(d), lambda d=d: forest_model(train, features, target, budget.tuned_forest, d, seed))
+            for d in (3, 5, 8, 12, None)
+        ],
+        "logistic": [
+            (str(c), lambda c=c: unpenalized_intercept_logistic(train, features, target, c))
+            for c in (0.01, 0.1, 1, 10, 100)
+        ],
+        "gradient_boosting": [
+            (str(d), lambda d=d: boosted_model(train, features, target, budget.tuned_rounds, depth=d, seed=seed))
+            for d in (1, 2, 3, 4)
+        ],
+    }
+    options = _fit_all(spark, choices[champion])
     tuned = _compare(test, target, options)
     # The first option with the best accuracy wins; the AUC plays no part here.
     chosen = tuned.withColumn("roc_auc_of_decisions", F.lit(0.0))
@@ -147,6 +155,11 @@ def faulty_pipeline_replay(
     }
 
 
+def _fit_all(spark, named: Sequence[tuple[str, Callable]]) -> list[tuple[str, object]]:
+    fitted = run_together(spark, [fit for _, fit in named])
+    return [(name, model) for (name, _), model in zip(named, fitted)]
+
+
 def _compare(test: DataFrame, target: str, fitted: Sequence[tuple[str, object]]) -> DataFrame:
     """Accuracy and AUC of the decisions at 0.5 of each model, in input order."""
     parts = None
@@ -194,52 +207,62 @@ def leakage_2x2(
 
     The prepared table does not depend on the seed and is written once per field choice.
     """
-    runs = []
-    for kept in (True, False):
+
+    def prepared_rows(kept: bool):
         frame, numeric, categorical = attribution_frame(raw, schema, drop_leaked=not kept, drop_censored=False)
         prep = whole_sample_preparation(frame, numeric, categorical, schema.target)
-        prepared = _prepared(frame, prep, schema)
-        for first in (True, False):
-            step = f"leaked fields {'kept' if kept else 'removed'}; oversampling {'before' if first else 'after'} the split"
-            for seed in seeds:
-                if first:
-                    rows, features = _early(prepared, prep.names, schema, seed)
-                else:
-                    parted = random_split_exact(prepared, seed, schema.row_id)
-                    rows, features = _late(parted, prep.names, schema, seed)
-                runs.append(_run(rows, features, schema, rounds).select(F.lit(step).alias("step"), F.col("roc_auc").alias("test_roc_auc")))
+        return _prepared(frame, prep, schema), prep.names
+
+    def variant(prepared: DataFrame, names: Sequence[str], kept: bool, first: bool, seed: int) -> DataFrame:
+        step = f"leaked fields {'kept' if kept else 'removed'}; oversampling {'before' if first else 'after'} the split"
+        if first:
+            rows, features = _early(prepared, names, schema, seed)
+        else:
+            rows, features = _late(random_split_exact(prepared, seed, schema.row_id), names, schema, seed)
+        found = _run(rows, features, schema, rounds)
+        return found.select(F.lit(step).alias("step"), F.col("roc_auc").alias("test_roc_auc"))
+
+    spark = raw.sparkSession
+    made = dict(zip((True, False), run_together(spark, [lambda k=k: prepared_rows(k) for k in (True, False)])))
+    variants = [(k, first, seed) for k in (True, False) for first in (True, False) for seed in seeds]
+    runs = run_together(spark, [lambda k=k, f=f, s=s: variant(*made[k], k, f, s) for k, f, s in variants])
     return seed_summary(_union(runs), ["step"], "test_roc_auc")
 
 
 def repair_ladder(raw: DataFrame, schema: ApplicationSchema, seed: int = 7, rounds: int = 250) -> DataFrame:
-    """One repair added at a time, with the model family held fixed."""
+    """One repair added at a time, with the model family held fixed. The rungs run together."""
     target = schema.target
-    rungs: list[tuple[str, DataFrame]] = []
 
-    frame, numeric, categorical = attribution_frame(raw, schema, False, False)
-    prep = whole_sample_preparation(frame, numeric, categorical, target)
-    rows, features = _early(_prepared(frame, prep, schema), prep.names, schema, seed)
-    rungs.append(("R0 as submitted", _run(rows, features, schema, rounds)))
+    def whole(drop_leaked: bool):
+        frame, numeric, categorical = attribution_frame(raw, schema, drop_leaked, False)
+        prep = whole_sample_preparation(frame, numeric, categorical, target)
+        return _prepared(frame, prep, schema), prep.names
 
-    frame, numeric, categorical = attribution_frame(raw, schema, True, False)
-    prep = whole_sample_preparation(frame, numeric, categorical, target)
-    prepared = _prepared(frame, prep, schema)
-    rows, features = _early(prepared, prep.names, schema, seed)
-    rungs.append(("R1 drop leaked and post-decision fields", _run(rows, features, schema, rounds)))
+    def as_submitted(drop_leaked: bool) -> DataFrame:
+        prepared, names = whole(drop_leaked)
+        rows, features = _early(prepared, names, schema, seed)
+        return _run(rows, features, schema, rounds)
 
-    rows, features = _late(random_split_exact(prepared, seed, schema.row_id), prep.names, schema, seed)
-    rungs.append(("R2 oversample after the split", _run(rows, features, schema, rounds)))
+    def oversample_later() -> DataFrame:
+        prepared, names = whole(True)
+        rows, features = _late(random_split_exact(prepared, seed, schema.row_id), names, schema, seed)
+        return _run(rows, features, schema, rounds)
 
-    later = (
-        ("R3 fit preprocessing and screening on training rows only", False, False),
-        ("R4 drop the censored rows instead of relabeling them", True, False),
-        ("R5 split chronologically instead of at random", True, True),
-    )
-    for label, drop_censored, in_time in later:
+    def train_only(drop_censored: bool, in_time: bool) -> DataFrame:
         frame, numeric, categorical = attribution_frame(raw, schema, True, drop_censored)
         frame = materialize(frame)
         parted = chronological_cut(frame, schema) if in_time else random_split_exact(frame, seed, schema.row_id)
         prep = train_only_encoding(_train(parted), parted, numeric, categorical, target)
         rows, features = _late(_prepared(parted, prep, schema, "part"), prep.names, schema, seed)
-        rungs.append((label, _run(rows, features, schema, rounds)))
-    return _union([found.select(F.lit(label).alias("step"), "*") for label, found in rungs])
+        return _run(rows, features, schema, rounds)
+
+    rungs: list[tuple[str, Callable]] = [
+        ("R0 as submitted", lambda: as_submitted(False)),
+        ("R1 drop leaked and post-decision fields", lambda: as_submitted(True)),
+        ("R2 oversample after the split", oversample_later),
+        ("R3 fit preprocessing and screening on training rows only", lambda: train_only(False, False)),
+        ("R4 drop the censored rows instead of relabeling them", lambda: train_only(True, False)),
+        ("R5 split chronologically instead of at random", lambda: train_only(True, True)),
+    ]
+    found = run_together(raw.sparkSession, [job for _, job in rungs])
+    return _union([row.select(F.lit(label).alias("step"), "*") for (label, _), row in zip(rungs, found)])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loanproof.functions.columns import above_threshold
 from loanproof.operators.metrics import binary_metrics, recall_threshold
-from loanproof.operators.models import ScoringPipeline, calibration_summary, fit_pipeline, tune
+from loanproof.operators.models import ScoringPipeline, calibration_summary, fit_pipeline, run_together, tune
 from loanproof.operators.population import (
     DEVELOPMENT,
     FINAL,
@@ -92,22 +92,27 @@ def challengers(
     development, final = part(split, DEVELOPMENT), part(split, FINAL)
     single = fit_preparation(development, [schema.score], [], indicators=False)
     wider = [*schema.numeric, *schema.withheld]
-    fits = [
-        ("Champion", len(schema.features),
-         champion.pipeline if champion else fit_pipeline(development, schema, c_value, class_weight)),
-        (f"Challenger: {schema.score} alone", 1,
-         fit_pipeline(development, schema, c_value, class_weight, preparation=single)),
-        (f"Sensitivity: champion plus {' and '.join(schema.withheld)}", len(wider) + len(schema.categorical),
-         fit_pipeline(development, schema, c_value, class_weight, numeric=wider)),
+    names = [
+        ("Champion", len(schema.features)),
+        (f"Challenger: {schema.score} alone", 1),
+        (f"Sensitivity: champion plus {' and '.join(schema.withheld)}", len(wider) + len(schema.categorical)),
     ]
+    fitted = run_together(
+        split.sparkSession,
+        [
+            lambda: champion.pipeline if champion else fit_pipeline(development, schema, c_value, class_weight),
+            lambda: fit_pipeline(development, schema, c_value, class_weight, preparation=single),
+            lambda: fit_pipeline(development, schema, c_value, class_weight, numeric=wider),
+        ],
+    )
     points = F.array(
         *[
             F.struct(
                 F.lit(name).alias("model"),
                 F.lit(features).alias("features"),
-                fitted.model.probability(fitted.preparation.columns()).alias("score"),
+                one.model.probability(one.preparation.columns()).alias("score"),
             )
-            for name, features, fitted in fits
+            for (name, features), one in zip(names, fitted)
         ]
     )
     scored = final.select(schema.target, F.explode(points).alias("x")).select(schema.target, "x.*")

@@ -12,7 +12,7 @@ from loanproof.functions import columns as fx
 from loanproof.operators import audit, metrics, models, neighbours, ordering, population, prep, sampling
 from loanproof.plans import attribution, validation
 from loanproof.schema import APPS
-from loanproof.session import materialize, shared_dir
+from loanproof.session import materialize, shared_dir, small_table
 from loanproof.sources import applications as src
 from loanproof.sources import sinks
 
@@ -349,7 +349,7 @@ def logistic_l2(spark: SparkSession, folder: str) -> DataFrame:
     train, _, names = _fitted_parts(spark, folder)
     model = models.logistic_l2(train, names, APPS.target, "app_id", 1.0)
     pairs = [*zip(names, model.coefficients), ("intercept", model.intercept)]
-    return _rounded(spark.createDataFrame(pairs, "feature string, coefficient double"))
+    return _rounded(small_table(spark, {"feature": "string", "coefficient": "double"}, pairs))
 
 
 def logistic_grid(spark: SparkSession, folder: str) -> DataFrame:
@@ -377,7 +377,9 @@ def boosted_model(spark: SparkSession, folder: str) -> DataFrame:
 
 def calibration_fit(spark: SparkSession, folder: str) -> DataFrame:
     intercept, slope = models.calibration_fit(_scored(spark, folder), "score", APPS.target)
-    return spark.createDataFrame([(intercept, slope)], "calibration_intercept double, calibration_slope double")
+    return small_table(
+        spark, {"calibration_intercept": "double", "calibration_slope": "double"}, [(intercept, slope)]
+    )
 
 
 def calibration_summary(spark: SparkSession, folder: str) -> DataFrame:

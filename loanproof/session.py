@@ -59,3 +59,20 @@ def collect_bounded(df: DataFrame, limit: int, what: str) -> list:
     if len(rows) > limit:
         raise ValueError(f"{what}: more than {limit} rows, too many for the driver")
     return rows
+
+
+def small_table(spark: SparkSession, names: dict[str, str], rows: list[tuple]) -> DataFrame:
+    """A table from a few driver values, as literals of the plan: its size is known to the planner."""
+
+    def literal(value, kind: str) -> str:
+        if value is None:
+            return f"CAST(NULL AS {kind})"
+        if isinstance(value, str):
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return f"CAST('{value!r}' AS {kind})"
+
+    if not rows:
+        return spark.createDataFrame([], ", ".join(f"{n} {k}" for n, k in names.items()))
+    kinds = list(names.values())
+    values = ", ".join("(" + ", ".join(literal(v, k) for v, k in zip(row, kinds)) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(f'`{n}`' for n in names)})")

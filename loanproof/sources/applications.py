@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanproof.schema import APPS, ApplicationSchema
+from loanproof.session import small_table
 
 
 class SchemaMismatch(ValueError):
@@ -68,8 +69,10 @@ def schema_contract(df: DataFrame, expected: dict[str, str]) -> DataFrame:
     counted = df.agg(*checks)
     listed = [(c, k, c in found, False) for c, k in expected.items()]
     listed += [(c, None, True, True) for c in df.columns if c not in expected]
-    columns = df.sparkSession.createDataFrame(
-        listed, "field string, expected_type string, present boolean, extra boolean"
+    columns = small_table(
+        df.sparkSession,
+        {"field": "string", "expected_type": "string", "present": "boolean", "extra": "boolean"},
+        listed,
     )
     bad = counted.unpivot([], counted.columns, "field", "bad_cells")
     return columns.join(F.broadcast(bad), "field", "left").select(
