@@ -67,7 +67,7 @@ def _split_round(points: DataFrame, dims: Sequence[str], limit: int) -> DataFram
             for i, d in enumerate(dims)
         ],
     )
-    widest = F.greatest(*[F.col(f"s_{d}") for d in dims])
+    widest = F.array_max(F.array(*[F.col(f"s_{d}") for d in dims]))
     large = sized.filter(F.col("n") > limit).select("box", widest.alias("s"))
     inner = F.array_sort(F.array_distinct(F.filter("s.edges", lambda e: e > F.col("s.low"))))
     edges = F.when(F.size(inner) > 0, inner).otherwise(F.array("s.high"))

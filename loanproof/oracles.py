@@ -333,8 +333,8 @@ def _aggregates() -> dict[str, str]:
         for c in APPS.categorical
     )
     scale = _union(
-        f"SELECT '{c}' AS field, ROUND(AVG({c}), 6) AS mean, "
-        f"ROUND(CASE WHEN STDDEV_POP({c}) = 0 THEN 1 ELSE STDDEV_POP({c}) END, 6) AS std FROM split WHERE split = 'development'"
+        f"SELECT '{c}' AS field, ROUND(AVG({c}), 3) AS mean, "
+        f"ROUND(CASE WHEN STDDEV_POP({c}) = 0 THEN 1 ELSE STDDEV_POP({c}) END, 3) AS std FROM split WHERE split = 'development'"
         for c in APPS.numeric
     )
     age = """SELECT CASE WHEN age >= 18 AND age < 35 THEN '19-34' WHEN age >= 35 AND age < 50 THEN '35-49'

@@ -541,7 +541,8 @@ def queries() -> dict[str, Query]:
         "target_encode_full": target_encode_full,
         "target_encode_train": target_encode_train,
         "impute_stats": on(_development, lambda d: prep.impute_stats(d, APPS.numeric, APPS.categorical)),
-        "scale_stats": on(_development, lambda d: prep.scale_stats(d, APPS.numeric)),
+        "scale_stats": on(_development, lambda d: prep.scale_stats(d, APPS.numeric).select(
+            "field", F.round("mean", 3).alias("mean"), F.round("std", 3).alias("std"))),
         "train_only_preprocess": train_only_preprocess,
         "whole_sample_preprocess": whole_sample_preprocess,
         "train_only_encode": train_only_encode,
