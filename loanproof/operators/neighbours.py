@@ -21,10 +21,12 @@ from loanproof.operators.ordering import quantile_map
 from loanproof.operators.prep import scale_values
 from loanproof.session import materialize, small_table
 
-# Points one box may hold, boxes one split makes, and visits one task answers at a time.
-BOX_POINTS = 2_000
-FAN_OUT = 16
+# Points one box may hold, and visits one task answers at a time.
+BOX_POINTS = 1_000
 VISITS = 20_000
+# Dimensions cut in one round (2 ** CUTS boxes each), and dimensions looked at in one round.
+CUTS = 3
+LOOK = 12
 # Split tables up to this many boxes are broadcast (some 200 bytes each); beyond, joined by key.
 BROADCAST_BOXES = 50_000
 # Points that give a first bound to a point alone in its box.
@@ -47,99 +49,128 @@ def _dims(points: DataFrame) -> list[str]:
     return [c for c in points.columns if c.startswith("x")]
 
 
-def _split_round(points: DataFrame, dims: Sequence[str], limit: int) -> DataFrame | None:
-    """Split values for every box above the limit: (box, dim, edges), or None if there is none.
+def _split_round(points: DataFrame, dims: Sequence[str], looked: Sequence[int], limit: int) -> DataFrame | None:
+    """Cuts for every box above the limit: (box, d0, c0, d1, c1, ..), or None if there is none.
 
-    The widest dimension of a box is cut. An edge at the smallest value would cut nothing
-    off, so it gives way to the largest value; two distinct points always part.
+    The widest dimensions of a box are cut in half. A cut must lie above the smallest value,
+    or it would part nothing: where the median does not, a higher quantile or the largest
+    value does, so two points that differ in a looked-at dimension always part.
     """
-    probs = [i / FAN_OUT for i in range(1, FAN_OUT)]
-    sized = points.groupBy("box").agg(
-        F.count("*").alias("n"),
-        *[
-            F.struct(
-                (F.max(d) - F.min(d)).alias("width"),
-                F.lit(i).alias("dim"),
-                F.min(d).alias("low"),
-                F.max(d).alias("high"),
-                F.percentile_approx(d, probs, 1_000).alias("edges"),
-            ).alias(f"s_{d}")
-            for i, d in enumerate(dims)
-        ],
-    )
-    widest = F.array_max(F.array(*[F.col(f"s_{d}") for d in dims]))
-    large = sized.filter(F.col("n") > limit).select("box", widest.alias("s"))
-    inner = F.array_sort(F.array_distinct(F.filter("s.edges", lambda e: e > F.col("s.low"))))
-    edges = F.when(F.size(inner) > 0, inner).otherwise(F.array("s.high"))
-    splits = materialize(large.filter("s.width > 0").select("box", F.col("s.dim").alias("dim"), edges.alias("edges")))
+    probs = [0.5, 0.75, 0.9, 1.0]
+
+    def side(i: int) -> Column:
+        d = dims[i]
+        high = F.filter(F.percentile_approx(d, probs, 1_000), lambda e: e > F.min(d))
+        return F.struct(
+            (F.max(d) - F.min(d)).alias("width"),
+            F.lit(i).alias("dim"),
+            F.coalesce(F.try_element_at(high, F.lit(1)), F.max(d)).alias("cut"),
+        )
+
+    sized = points.groupBy("box").agg(F.count("*").alias("n"), *[side(i).alias(f"s{i}") for i in looked])
+    widest = F.sort_array(F.array(*[F.col(f"s{i}") for i in looked]), asc=False)
+    large = sized.filter(F.col("n") > limit).select("box", F.filter(widest, lambda s: s["width"] > 0).alias("s"))
+    pick = []
+    for k in range(min(CUTS, len(looked))):
+        one = F.try_element_at("s", F.lit(k + 1))
+        pick += [one["dim"].alias(f"d{k}"), one["cut"].alias(f"c{k}")]
+    splits = materialize(large.filter(F.size("s") > 0).select("box", *pick))
     boxes = splits.count()
     if boxes == 0:
         return None
     return F.broadcast(splits) if boxes <= BROADCAST_BOXES else splits
 
 
-def _at(dims: Sequence[str], index: Column) -> Column:
-    return F.element_at(F.array(*dims), index + 1)
-
-
-def _descend(points: DataFrame, splits: DataFrame, dims: Sequence[str], radius: Column | None) -> DataFrame:
-    """One level down: the box of each point or, with a radius, all boxes within reach."""
-    x = _at(dims, F.col("dim"))
-    low, high = (x, x) if radius is None else (x - radius, x + radius)
-
-    def slab(v: Column) -> Column:
-        return F.size(F.filter("edges", lambda e: e <= v))
+def _descend(points: DataFrame, splits: DataFrame, dims: Sequence[str], radius: str | None) -> DataFrame:
+    """One level down: the box of each point or, with a radius, all boxes within reach.
 
+    The path to a box adds one 0/1 sign per cut. With a radius, columns g0, g1, .. hold how
+    far the point lies outside the box along each dimension; a box is within reach while the
+    root of their squares is.
+    """
+    cuts = [c for c in splits.columns if c.startswith("c")]
     joined = points.join(splits, "box", "left")
+    for k in range(len(cuts)):
+        at = F.element_at(F.array(*dims), F.col(f"d{k}") + 1)
+        joined = joined.withColumn(f"a{k}", F.when(F.col(f"d{k}").isNotNull(), at - F.col(f"c{k}")))
+    own = [F.when(F.col(f"a{k}").isNotNull(), (F.col(f"a{k}") >= 0).cast("int")) for k in range(len(cuts))]
+    drop = [f"{p}{k}" for p in "adc" for k in range(len(cuts))]
     if radius is None:
-        child = F.when(F.col("dim").isNull(), F.col("box")).otherwise(F.concat_ws(".", "box", slab(low)))
-        return joined.withColumn("box", child).drop("dim", "edges")
-    reach = F.when(F.col("dim").isNull(), F.array("box")).otherwise(
-        F.transform(F.sequence(slab(low), slab(high)), lambda s: F.concat_ws(".", F.col("box"), s.cast("string")))
+        signs = F.concat(*[F.coalesce(bit.cast("string"), F.lit("")) for bit in own])
+        return joined.withColumn("box", F.concat("box", signs)).drop(*drop)
+    for k, bit in enumerate(own):
+        # Both sides of a cut, unless the other side is out of reach along this dimension alone.
+        near = F.abs(F.col(f"a{k}")) <= F.col(radius)
+        sides = F.when(bit.isNull(), F.array(F.lit(-1))).when(near, F.array(bit, 1 - bit)).otherwise(F.array(bit))
+        joined = joined.withColumn(f"b{k}", F.explode(sides))
+        gap = F.when(F.col(f"b{k}") == bit, 0.0).otherwise(F.abs(F.col(f"a{k}")))
+        joined = joined.withColumns(
+            {f"g{i}": F.when(F.col(f"d{k}") == i, F.greatest(f"g{i}", gap)).otherwise(F.col(f"g{i}")) for i in range(len(dims))}
+        )
+    square = sum((F.col(f"g{i}") * F.col(f"g{i}") for i in range(1, len(dims))), F.col("g0") * F.col("g0"))
+    signs = F.concat(
+        *[F.when(F.col(f"b{k}") >= 0, F.col(f"b{k}").cast("string")).otherwise("") for k in range(len(cuts))]
     )
-    return joined.withColumn("box", F.explode(reach)).drop("dim", "edges")
+    reached = joined.filter(square <= F.col(radius) * F.col(radius))
+    return reached.withColumn("box", F.concat("box", signs)).drop(*drop, *[f"b{k}" for k in range(len(cuts))])
 
 
 def _nearest(targets: np.ndarray, queries: np.ndarray, skip_same: bool) -> np.ndarray:
-    """Distance of each query to its nearest target, a block of queries at a time."""
+    """Distance of each query to its nearest target, a block of queries at a time.
+
+    Matrix products find the nearest target around a common centre; its distance is then
+    computed from the differences, which loses no digits for close points.
+    """
     out = np.full(len(queries), np.inf)
-    if len(targets) == 0:
+    if len(targets) == 0 or (skip_same and len(targets) < 2):
         return out
-    step = max(1, 2_000_000 // len(targets))
-    for start in range(0, len(queries), step):
-        block = queries[start : start + step]
-        sq = np.zeros((len(block), len(targets)))
-        for d in range(targets.shape[1]):
-            sq += (block[:, d, None] - targets[None, :, d]) ** 2
+    centre = targets.mean(axis=0)
+    t, q = targets - centre, queries - centre
+    t_sq = (t * t).sum(axis=1)
+    step = max(1, 4_000_000 // len(t))
+    for start in range(0, len(q), step):
+        block = q[start : start + step]
+        sq = t_sq[None, :] - 2.0 * (block @ t.T)
         if skip_same:
             sq[np.arange(len(block)), start + np.arange(len(block))] = np.inf
-        out[start : start + step] = sq.min(axis=1)
-    return np.sqrt(out)
+        best = sq.argmin(axis=1)
+        out[start : start + step] = np.sqrt(((block - t[best]) ** 2).sum(axis=1))
+    return out
 
 
 def nearest_other_distance(
-    points: DataFrame, row_id: str, box_points: int = BOX_POINTS, visits: int = VISITS
+    points: DataFrame,
+    row_id: str,
+    reach: float | str | None = None,
+    box_points: int = BOX_POINTS,
+    visits: int = VISITS,
 ) -> DataFrame:
-    """(copies, distance) per distinct point: Euclidean distance to the nearest other row.
+    """(point, copies, distance) per distinct point: Euclidean distance to the nearest other row.
 
     ``points`` holds the id and the coordinates x0, x1, .. A point with copies has distance
-    0; a table with a single row gives NULL.
+    0; a table with a single row gives NULL. With ``reach`` only distances up to it are
+    exact, and a larger one is known to be larger: that is all a count below a cutoff needs.
+    ``reach='median'`` takes the median of the first bounds (at least 0.25), which the true
+    median cannot exceed.
     """
     dims = _dims(points)
     distinct = points.groupBy(*dims).agg(F.count("*").alias("copies"), F.min(row_id).alias("point"))
     boxed = materialize(distinct.withColumn("box", F.lit("b")))
+    groups = [range(i, min(i + LOOK, len(dims))) for i in range(0, len(dims), LOOK)]
     rounds: list[DataFrame] = []
-    while True:
-        splits = _split_round(boxed, dims, box_points)
+    idle = turn = 0
+    while idle < len(groups):
+        splits = _split_round(boxed, dims, groups[turn % len(groups)], box_points)
+        turn += 1
         if splits is None:
-            break
+            idle += 1
+            continue
+        idle = 0
         rounds.append(splits)
         boxed = materialize(_descend(boxed, splits, dims, None))
 
     anchors = np.array([list(r) for r in boxed.select(*dims).limit(ANCHORS).collect()], dtype=float)
-    own_type = T.StructType(
-        [*[f for f in boxed.schema.fields], T.StructField("bound", T.DoubleType(), True)]
-    )
+    own_type = T.StructType([*boxed.schema.fields, T.StructField("bound", T.DoubleType(), True)])
 
     def own_box(pdf: pd.DataFrame) -> pd.DataFrame:
         x = pdf[dims].to_numpy(dtype=float)
@@ -150,11 +181,20 @@ def nearest_other_distance(
 
     # Copies are at distance 0 already, but they stay as targets for other points.
     local = materialize(boxed.groupBy("box").applyInPandas(own_box, own_type))
-    asking = local.filter("copies = 1").withColumnRenamed("box", "home")
-    margin = F.col("bound") * (1 + 1e-9) + 1e-12
-    visiting = asking.withColumn("box", F.lit("b"))
+    own = local.select("point", F.when(F.col("copies") > 1, 0.0).otherwise(F.col("bound")).alias("distance"), "copies")
+    if reach == "median":
+        reach = max(_median_ends(own)[1] or math.inf, max(CUTOFFS))
+    bound = F.col("bound") if reach is None else F.least("bound", F.lit(float(reach)))
+    visiting = local.filter("copies = 1").select(
+        F.lit("b").alias("box"),
+        F.col("box").alias("home"),
+        "point",
+        *dims,
+        (bound * (1 + 1e-9) + 1e-9).alias("radius"),
+        *[F.lit(0.0).alias(f"g{i}") for i in range(len(dims))],
+    )
     for splits in rounds:
-        visiting = _descend(visiting, splits, dims, margin)
+        visiting = _descend(visiting, splits, dims, "radius")
     visiting = materialize(visiting.filter("box <> home").select("box", "point", *dims))
 
     # A box that many points visit answers them in shares; its own points go to each share.
@@ -175,12 +215,9 @@ def nearest_other_distance(
         .cogroup(members.groupBy("box", "share"))
         .applyInPandas(answer, f"point {id_type}, distance double")
     )
-    own = local.select("point", F.when(F.col("copies") > 1, 0.0).otherwise(F.col("bound")).alias("distance"), "copies")
     both = own.unionByName(answers.withColumn("copies", F.lit(None).cast("bigint")))
     best = both.groupBy("point").agg(F.min("distance").alias("d"), F.max("copies").alias("copies"))
-    return best.select(
-        "point", "copies", F.when(F.col("d") < math.inf, F.col("d")).alias("distance")
-    )
+    return best.select("point", "copies", F.when(F.col("d") < math.inf, F.col("d")).alias("distance"))
 
 
 def near_duplicate_screen(
@@ -190,17 +227,16 @@ def near_duplicate_screen(
     """The screen: exact pairs, median distance, rows with a neighbour within each cutoff,
     and the rows within 0.10 once exact copies are removed.
 
-    The second pass fills with the medians of the first and scales anew. Distances are
-    counted per point with its number of copies.
+    The second pass fills with the medians of the first and scales anew, and looks no
+    farther than its cutoff. Distances are counted per point with its number of copies.
     """
     points, medians = standardized(raw, columns, row_id)
-    first = materialize(nearest_other_distance(points, row_id, **limits))
+    first = materialize(nearest_other_distance(points, row_id, "median", **limits))
     after, _ = standardized(survivors, columns, row_id, medians)
-    second = materialize(nearest_other_distance(after, row_id, **limits))
+    second = materialize(nearest_other_distance(after, row_id, 0.10, **limits))
 
-    repeated = first.filter(F.col("distance").isNotNull())
-    rows = repeated.agg(F.sum("copies")).first()[0] or 0
-    median = _weighted_median(repeated, rows)
+    low, high = _median_ends(first)
+    median = None if low is None else (low + high) / 2
     counts = first.agg(
         *[F.coalesce(F.sum(F.when(F.col("distance") < c, F.col("copies"))), F.lit(0)).cast("double").alias(_within(c)) for c in cutoffs]
     )
@@ -222,20 +258,20 @@ def _within(cutoff: float) -> str:
     return f"rows_within_{cutoff:.2f}".replace(".", "_")
 
 
-def _weighted_median(distances: DataFrame, rows: int) -> float | None:
-    """Median over rows: the zeros of copies are counted, the rest is an exact quantile."""
-    if not rows:
-        return None
-    zeros = distances.filter("copies > 1").agg(F.sum("copies")).first()[0] or 0
-    singles = distances.filter("copies = 1").select("distance")
-    rest = rows - zeros
-    out = []
-    for k in (math.floor((rows - 1) / 2), math.ceil((rows - 1) / 2)):
-        if k < zeros:
-            out.append(0.0)
-        else:
-            prob = (k - zeros) / (rest - 1) if rest > 1 else 0.0
-            out.append(quantile_map(singles, ["distance"], [prob])["distance"][prob])
-    return sum(out) / 2
-
-
+def _median_ends(distances: DataFrame) -> tuple[float | None, float | None]:
+    """The two middle distances over rows: zeros of copies are counted, the rest ranked."""
+    seen = distances.filter(F.col("distance").isNotNull())
+    row = seen.agg(
+        F.sum(F.when(F.col("copies") > 1, F.col("copies"))).alias("zeros"), F.count_if(F.col("copies") == 1).alias("rest")
+    ).first()
+    zeros, rest = row["zeros"] or 0, row["rest"] or 0
+    if not zeros + rest:
+        return None, None
+    spots = [math.floor((zeros + rest - 1) / 2), math.ceil((zeros + rest - 1) / 2)]
+    probs = {k: (k - zeros) / max(rest - 1, 1) for k in spots if k >= zeros}
+    found = {}
+    if probs:
+        singles = seen.filter("copies = 1").select("distance")
+        found = quantile_map(singles, ["distance"], sorted(set(probs.values())))["distance"]
+    low, high = (found[probs[k]] if k in probs else 0.0 for k in spots)
+    return low, high
