@@ -8,19 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanproof.functions.columns import quarter_bucket
-from loanproof.operators.ordering import exact_quantiles, running_totals, weighted_quantile
+from loanproof.operators.ordering import date_at_quantiles, exact_quantiles, running_totals, weighted_quantile
 from loanproof.operators.population import (
+    SPLIT_AT,
     cardinality,
     chronological_split,
     dedup_keep_first,
     duplicate_counts,
     eligible_filter,
     full_row_duplicates,
-    partition_summary,
     repeated_ids,
 )
 from loanproof.schema import ApplicationSchema
-from loanproof.session import small_table
+from loanproof.session import materialize, small_table
 
 
 def missing_profile(df: DataFrame) -> DataFrame:
@@ -158,10 +158,20 @@ def audit_table(
     ``contamination`` is the one-row result of ``train_test_contamination`` on a design
     under study.
     """
-    deduplicated = dedup_keep_first(raw, schema.signature, schema.row_id)
-    eligible = eligible_filter(deduplicated, schema)
-    split = chronological_split(eligible, schema)
     target = F.col(schema.target)
+    day = F.col(schema.date)
+    blank = F.col("credit_utilization").isNull()
+    # One pass of deduplication: all eligible figures and the split come from sums per day.
+    eligible = eligible_filter(dedup_keep_first(raw, schema.signature, schema.row_id), schema)
+    days = materialize(
+        eligible.groupBy(schema.date).agg(
+            F.count("*").alias("n"),
+            F.sum(target).alias("p"),
+            F.count_if((target == 1) & blank).alias("blank_p"),
+            F.count_if((target == 0) & blank).alias("blank_n"),
+        )
+    )
+    split = chronological_split(days, schema, date_at_quantiles(days, schema.date, SPLIT_AT, "n"))
 
     def long(df: DataFrame, population: str, prefix: str = "") -> DataFrame:
         cols = [F.col(c).cast("double").alias(prefix + c) for c in df.columns]
@@ -169,7 +179,6 @@ def audit_table(
         return wide.unpivot([], wide.columns, "audit_item", "result").withColumn("population", F.lit(population))
 
     late = (F.col(schema.label_flag) == 0) & (F.col(schema.months) >= 12)
-    day = F.col(schema.date)
     raw_sums = raw.agg(
         F.count("*").alias("rows"),
         F.count(target).alias("observed_targets"),
@@ -188,24 +197,20 @@ def audit_table(
             f"label_availability_{label_year}"
         ),
     )
-    eligible_sums = eligible.agg(
-        F.count("*").alias("rows"),
-        F.sum(target).alias("positives"),
-        F.avg(target).alias("prevalence"),
-        F.avg(F.when(target == 1, F.col("credit_utilization").isNull().cast("double"))).alias(
-            "missing_utilization_rate_among_defaults"
-        ),
-        F.avg(F.when(target == 0, F.col("credit_utilization").isNull().cast("double"))).alias(
-            "missing_utilization_rate_among_non_defaults"
-        ),
+    rows, positives = F.sum("n"), F.sum("p")
+    eligible_sums = days.agg(
+        rows.alias("rows"),
+        positives.alias("positives"),
+        (positives / rows).alias("prevalence"),
+        (F.sum("blank_p") / F.nullif(positives, F.lit(0))).alias("missing_utilization_rate_among_defaults"),
+        (F.sum("blank_n") / F.nullif(rows - positives, F.lit(0))).alias("missing_utilization_rate_among_non_defaults"),
     )
     distinct = cardinality(raw, ["state", schema.customer, schema.row_id]).select(
         F.concat(F.lit("distinct_"), F.col("field")).alias("audit_item"),
         F.col("distinct_values").cast("double").alias("result"),
         F.lit("raw").alias("population"),
     )
-    parts = partition_summary(split, schema).select("split", "rows", "positives")
-    parts = parts.withColumn("rows", F.col("rows").cast("double")).withColumn("positives", F.col("positives").cast("double"))
+    parts = split.groupBy("split").agg(rows.cast("double").alias("rows"), positives.cast("double").alias("positives"))
     part_rows = parts.unpivot(["split"], ["rows", "positives"], "audit_item", "result").select(
         "audit_item", "result", F.col("split").alias("population")
     )

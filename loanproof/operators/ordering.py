@@ -148,12 +148,14 @@ def at_or_after(order: Sequence[str], key: tuple) -> Column:
     return left >= right
 
 
-def date_at_quantiles(df: DataFrame, date: str, probs: Sequence[float]) -> list:
+def date_at_quantiles(df: DataFrame, date: str, probs: Sequence[float], weight: str | None = None) -> list:
     """Dates at the quantiles, always an existing date: position ceil((n - 1) * q).
 
-    Needs only the number of rows per day, a table as long as the calendar.
+    Needs only the number of rows per day, a table as long as the calendar. ``weight``
+    names a column of row counts when the input already holds sums.
     """
-    days = df.filter(F.col(date).isNotNull()).groupBy(date).agg(F.count("*").alias("n"))
+    size = F.count("*") if weight is None else F.sum(weight)
+    days = df.filter(F.col(date).isNotNull()).groupBy(date).agg(size.alias("n"))
     counts = sorted(tuple(r) for r in collect_bounded(days, COARSE_CELLS, "calendar"))
     total = sum(n for _, n in counts)
     out = []
@@ -175,51 +177,83 @@ def exact_quantiles(
 
     Spark's ``percentile`` merges all distinct values in one task. Here a small table is
     counted per distinct value directly. A large one is first narrowed: an approximate
-    quantile with known rank error brackets each wanted position, and only the rows inside
-    the brackets, some ten-thousandth of the table, are counted per value. What lies below
-    each bracket is one more counted column of the same pass.
+    quantile with known rank error brackets each wanted position, and only the values inside
+    the brackets, about a thousandth of the table, are counted one by one; all that lies
+    below a bracket is one cell. A position outside its bracket would show as a missing or
+    infinite value and is then taken from the full column.
     """
-    spark = df.sparkSession
     values = {c: F.col(c).cast("double") for c in columns}
     counts = df.agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(values.values())]).first()
-    targets = []
-    wide_steps = []
-    for i, c in enumerate(columns):
-        n = counts[i]
-        if n == 0:
-            continue
-        spots = [(p, (n - 1) * p) for p in probs]
-        if n <= direct_rows:
-            targets.append({"field": c, "spots": spots, "low": None, "high": None, "below": 0})
-        else:
-            wide_steps += [{"field": c, "spots": [s], "n": n} for s in spots]
-    if wide_steps:
-        targets += _brackets(df, values, wide_steps)
+    direct, narrowed = [], []
+    for c, n in zip(columns, counts):
+        spots = [(float(p), (n - 1) * p) for p in probs]
+        if n > direct_rows:
+            narrowed += [{"field": c, "spots": [s], "low": None, "high": None} for s in spots]
+        elif n:
+            direct.append({"field": c, "spots": spots, "low": None, "high": None})
+    out = _pick_quantiles(df, values, direct, small=True)
+    if narrowed:
+        _narrow(df, values, narrowed)
+        found = materialize(_pick_quantiles(df, values, narrowed, small=False))
+        missed = {
+            (r["field"], r["prob"])
+            for r in found.filter(F.col("value").isNull() | (F.abs("value") == math.inf)).collect()
+        }
+        if missed:
+            again = [
+                {**t, "low": None, "high": None} for t in narrowed if (t["field"], t["spots"][0][0]) in missed
+            ]
+            lost = F.struct("field", "prob").isin(*[F.struct(F.lit(f), F.lit(p)) for f, p in missed])
+            found = found.filter(~lost).unionByName(_pick_quantiles(df, values, again, small=False))
+        out = found if not direct else out.unionByName(found)
+    return out
+
 
+def _narrow(df: DataFrame, values: dict[str, Column], targets: list[dict]) -> None:
+    """Set value brackets around the wanted positions, wider than the sketch's rank error."""
+    accuracy = 10_000
+    margin = 4.0 / accuracy
+    ends = []
+    for i, target in enumerate(targets):
+        prob = target["spots"][0][0]
+        around = [max(prob - margin, 0.0), min(prob + margin, 1.0)]
+        ends.append(F.percentile_approx(values[target["field"]], around, accuracy).alias(f"e{i}"))
+    for target, edge in zip(targets, df.agg(*ends).first()):
+        target["low"], target["high"] = edge
+
+
+def _pick_quantiles(df: DataFrame, values: dict[str, Column], targets: list[dict], small: bool) -> DataFrame:
+    """The quantiles of the targets from counted values.
+
+    Values below a bracket count as one cell at minus infinity, so the running counts stay
+    those of the whole column; values above it are left out.
+    """
+    spark = df.sparkSession
     if not targets:
         return small_table(spark, {"field": "string", "prob": "double", "value": "double"}, [])
     picks = []
     for t, target in enumerate(targets):
-        v = values[target["field"]]
+        v = shown = values[target["field"]]
         inside = v.isNotNull()
         if target["low"] is not None:
-            inside = v.between(target["low"], target["high"])
-        picks.append(F.when(inside, F.struct(F.lit(t).alias("t"), v.alias("v"))))
+            inside = v <= target["high"]
+            shown = F.when(v < target["low"], F.lit(float("-inf"))).otherwise(v)
+        picks.append(F.when(inside, F.struct(F.lit(t).alias("t"), shown.alias("v"))))
     cells = (
         df.select(F.explode(F.array_compact(F.array(*picks))).alias("x"))
         .groupBy(F.col("x.t").alias("t"), F.col("x.v").alias("v"))
         .agg(F.count("*").alias("n"))
     )
-    if wide_steps:
-        placed = running_totals(cells, "v", {"cum": "n"}, ["t"])
-    else:
+    if small:
         by_value = Window.partitionBy("t").orderBy("v").rowsBetween(*_UP_TO_HERE)
         placed = cells.withColumn("cum", F.sum("n").over(by_value))
+    else:
+        placed = running_totals(cells, "v", {"cum": "n"}, ["t"])
     wanted = small_table(
         spark,
         {"t": "int", "field": "string", "prob": "double", "k_low": "bigint", "k_high": "bigint", "part": "double"},
         [
-            (t, target["field"], float(p), math.floor(s) - target["below"], math.ceil(s) - target["below"], s - math.floor(s))
+            (t, target["field"], p, math.floor(s), math.ceil(s), s - math.floor(s))
             for t, target in enumerate(targets)
             for p, s in target["spots"]
         ],
@@ -235,35 +269,6 @@ def exact_quantiles(
     )
 
 
-def _brackets(df: DataFrame, values: dict[str, Column], steps: list[dict]) -> list[dict]:
-    """Value brackets that surely hold the wanted positions, and the rows below each."""
-    accuracy = 10_000
-    margin = 2.0 / accuracy
-    ends = []
-    for i, step in enumerate(steps):
-        prob = step["spots"][0][0]
-        low, high = max(prob - margin, 0.0), min(prob + margin, 1.0)
-        v = values[step["field"]]
-        ends.append(F.percentile_approx(v, [low, high], accuracy).alias(f"e{i}"))
-    edges = df.agg(*ends).first()
-    checks = []
-    for i, step in enumerate(steps):
-        v = values[step["field"]]
-        step["low"], step["high"] = edges[i]
-        checks.append(F.count_if(v < step["low"]).alias(f"below{i}"))
-        checks.append(F.count_if(v <= step["high"]).alias(f"through{i}"))
-    held = df.agg(*checks).first()
-    for i, step in enumerate(steps):
-        below, through = held[2 * i], held[2 * i + 1]
-        spot = step["spots"][0][1]
-        if below > math.floor(spot):
-            step["low"], below = float("-inf"), 0
-        if through <= math.ceil(spot):
-            step["high"] = float("inf")
-        step["below"] = below
-    return steps
-
-
 def quantile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float], **kw) -> dict:
     """The quantiles as driver values: {field: {prob: value}}; a few numbers per column."""
     out: dict[str, dict[float, float | None]] = {c: {float(p): None for p in probs} for c in columns}

@@ -95,7 +95,10 @@ def eligible_population(df: DataFrame, schema: ApplicationSchema) -> DataFrame:
     return eligible_filter(dedup_keep_first(df, schema.signature, schema.row_id), schema)
 
 
-def split_dates(eligible: DataFrame, schema: ApplicationSchema, probs=(0.60, 0.80)) -> list:
+SPLIT_AT = (0.60, 0.80)
+
+
+def split_dates(eligible: DataFrame, schema: ApplicationSchema, probs=SPLIT_AT) -> list:
     return date_at_quantiles(eligible, schema.date, probs)
 
 

@@ -77,40 +77,59 @@ def level_column(column: str, level: str) -> str:
     return f"{column}_" + re.sub(r"\W+", "_", str(level))
 
 
-def fill_values(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> tuple[dict, dict, dict]:
-    """Medians, modes (smallest level on ties) and level lists of a set of rows."""
-    medians = {}
-    if numeric:
-        clean = df.select(*[finite(c).alias(c) for c in numeric])
-        medians = {c: q[0.5] for c, q in quantile_map(clean, numeric, [0.5]).items()}
-    modes, levels = {}, {c: [] for c in categorical}
-    if categorical:
-        rows = collect_bounded(level_counts(df, categorical), MAX_LEVELS * len(categorical), "levels")
-        counted: dict[str, list[tuple[int, str]]] = {}
-        for r in rows:
-            counted.setdefault(r["field"], []).append((-r["n"], r["level"]))
-        for c in categorical:
-            found = sorted(counted.get(c, []))
-            if len(found) > MAX_LEVELS:
-                raise ValueError(f"{c} has more than {MAX_LEVELS} levels")
-            modes[c] = found[0][1] if found else None
-            levels[c] = sorted(level for _, level in found)
-    return medians, modes, levels
-
-
-def level_counts(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
-    cells = F.array(
+@dataclass(frozen=True)
+class Levels:
+    """Rows and target sum per level of each categorical field, of one set of rows."""
+
+    cells: dict[str, dict[str | None, tuple[int, float]]]
+
+    def of(self, column: str) -> list[str]:
+        return sorted(level for level in self.cells[column] if level is not None)
+
+    def mode(self, column: str) -> str | None:
+        """The most frequent level; the smallest one on ties."""
+        return min(self.of(column), key=lambda level: -self.cells[column][level][0], default=None)
+
+    def rates(self, column: str) -> dict[str, float]:
+        """Mean target per level, rows without a level counted at the mode."""
+        blank = self.cells[column].get(None, (0, 0.0))
+        out = {}
+        for level in self.of(column):
+            n, total = self.cells[column][level]
+            if level == self.mode(column):
+                n, total = n + blank[0], total + blank[1]
+            out[level] = total / n
+        return out
+
+
+def level_cells(df: DataFrame, categorical: Sequence[str], target: str | None = None) -> DataFrame:
+    """Rows (and target sums) per level of several fields, in one pass."""
+    y = F.lit(None).cast("double") if target is None else F.col(target).cast("double")
+    pairs = F.array(
         *[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("level")) for c in categorical]
     )
-    long = df.select(F.explode(cells).alias("x")).select("x.*").filter(F.col("level").isNotNull())
-    return long.groupBy("field", "level").agg(F.count("*").alias("n"))
+    long = df.select(y.alias("y"), F.explode(pairs).alias("x"))
+    return long.groupBy("x.field", "x.level").agg(F.count("*").alias("n"), F.sum("y").alias("total"))
+
+
+def read_levels(df: DataFrame, categorical: Sequence[str], target: str | None = None) -> Levels:
+    cells: dict[str, dict] = {c: {} for c in categorical}
+    if categorical:
+        limit = (MAX_LEVELS + 1) * len(categorical)
+        for r in collect_bounded(level_cells(df, categorical, target), limit, "levels"):
+            cells[r["field"]][r["level"]] = (r["n"], r["total"] or 0.0)
+    for c, found in cells.items():
+        if len(found) > MAX_LEVELS + 1:
+            raise ValueError(f"{c} has more than {MAX_LEVELS} levels")
+    return Levels(cells)
 
 
 def impute_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
     """Median per numeric field and most frequent level per categorical field."""
     medians = exact_quantiles(df, numeric, [0.5]).select("field", F.col("value").alias("median"))
     first = F.min(F.struct((-F.col("n")).alias("k"), F.col("level").alias("level")))
-    modes = level_counts(df, categorical).groupBy("field").agg(first.alias("m")).select("field", F.col("m.level").alias("mode"))
+    levels = level_cells(df, categorical).filter(F.col("level").isNotNull())
+    modes = levels.groupBy("field").agg(first.alias("m")).select("field", F.col("m.level").alias("mode"))
     return medians.withColumn("mode", F.lit(None).cast("string")).unionByName(
         modes.withColumn("median", F.lit(None).cast("double"))
     )
@@ -148,28 +167,26 @@ def fit_preparation(
     ``target`` each categorical also gets the mean target of its level. ``levels_df`` may
     name the rows whose levels get a column, when they are more than the fitted ones.
     """
-    medians, modes, levels = fill_values(fit_df, numeric, categorical)
-    if levels_df is not None and categorical:
-        levels = fill_values(levels_df, [], categorical)[2]
-    if drop_first:
-        levels = {c: found[1:] for c, found in levels.items()}
-    flagged: list[str] = []
-    if indicators and numeric:
-        gaps = fit_df.agg(*[F.max(finite(c).isNull()).alias(c) for c in numeric]).first()
-        flagged = [c for c in numeric if gaps[c]]
+    seen = read_levels(fit_df, categorical, target)
+    levels = seen if levels_df is None else read_levels(levels_df, categorical)
+    first = 1 if drop_first else 0
+    medians, flagged = {}, []
+    if numeric:
+        clean = fit_df.select(*[finite(c).alias(c) for c in numeric])
+        medians = {c: q[0.5] for c, q in quantile_map(clean, numeric, [0.5]).items()}
+        if indicators:
+            gaps = clean.agg(*[F.max(F.col(c).isNull()).alias(c) for c in numeric]).first()
+            flagged = [c for c in numeric if gaps[c]]
     rates, base = {}, None
     if target is not None:
         base = fit_df.agg(F.avg(target)).first()[0]
-        filled = fit_df.select(target, *[F.coalesce(F.col(c).cast("string"), F.lit(modes[c])).alias(c) for c in categorical])
-        for c in categorical:
-            found = collect_bounded(level_rates(filled, c, target), MAX_LEVELS, c)
-            rates[c] = {r[c]: r["target_rate"] for r in found}
+        rates = {c: seen.rates(c) for c in categorical}
     learned = Preparation(
         numeric=tuple(numeric),
         categorical=tuple(categorical),
         medians=medians,
-        modes=modes,
-        levels={c: tuple(v) for c, v in levels.items()},
+        modes={c: seen.mode(c) for c in categorical},
+        levels={c: tuple(levels.of(c)[first:]) for c in categorical},
         flagged=tuple(flagged),
         rates=rates,
         base_rate=base,

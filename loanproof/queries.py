@@ -259,7 +259,7 @@ def train_only_encode(spark: SparkSession, folder: str) -> DataFrame:
 
 def _purpose_columns(spark: SparkSession, folder: str, drop_first: bool) -> DataFrame:
     rows = _eligible(spark, folder).select("app_id", "purpose")
-    levels = prep.fill_values(rows, [], ["purpose"])[2]["purpose"]
+    levels = prep.read_levels(rows, ["purpose"]).of("purpose")
     return prep.one_hot(rows, "purpose", levels, drop_first).drop("purpose")
 
 
