@@ -67,18 +67,26 @@ def _split_round(points: DataFrame, dims: Sequence[str], looked: Sequence[int],
             F.coalesce(F.try_element_at(high, F.lit(1)), F.max(d)).alias("cut"),
         )
 
-    sized = points.groupBy("box").agg(F.count("*").alias("n"), *[side(i).alias(f"s{i}") for i in looked])
+    full = materialize(points.groupBy("box").agg(F.count("*").alias("n")).filter(F.col("n") > limit).select("box"))
+    boxes = full.count()
+    if boxes == 0:
+        return None
+    inside = points.join(_known_size(full, boxes), "box", "left_semi")
+    sized = inside.groupBy("box").agg(*[side(i).alias(f"s{i}") for i in looked])
     widest = F.sort_array(F.array(*[F.col(f"s{i}") for i in looked]), asc=False)
-    large = sized.filter(F.col("n") > limit).select("box", F.filter(widest, lambda s: s["width"] > 0).alias("s"))
+    large = sized.select("box", F.filter(widest, lambda s: s["width"] > 0).alias("s"))
     pick = []
     for k in range(min(CUTS, len(looked))):
         one = F.try_element_at("s", F.lit(k + 1))
         pick += [one["dim"].alias(f"d{k}"), one["cut"].alias(f"c{k}")]
     splits = materialize(large.filter(F.size("s") > 0).select("box", *pick))
-    boxes = splits.count()
-    if boxes == 0:
-        return None
-    return F.broadcast(splits) if boxes <= BROADCAST_BOXES else splits
+    cut = splits.count()
+    return _known_size(splits, cut) if cut else None
+
+
+def _known_size(table: DataFrame, rows: int) -> DataFrame:
+    """The table with a broadcast hint while its counted rows stay under the bound."""
+    return F.broadcast(table) if rows <= BROADCAST_BOXES else table
 
 
 def _descend(points: DataFrame, splits: DataFrame, dims: Sequence[str], radius: str | None) -> DataFrame:

@@ -240,7 +240,8 @@ def _pick_quantiles(df: DataFrame, values: dict[str, Column], targets: list[dict
             shown = F.when(v < target["low"], F.lit(float("-inf"))).otherwise(v)
         picks.append(F.when(inside, F.struct(F.lit(t).alias("t"), shown.alias("v"))))
     cells = (
-        df.select(F.explode(F.array_compact(F.array(*picks))).alias("x"))
+        df.select(F.explode(F.array(*picks)).alias("x"))
+        .filter(F.col("x").isNotNull())
         .groupBy(F.col("x.t").alias("t"), F.col("x.v").alias("v"))
         .agg(F.count("*").alias("n"))
     )

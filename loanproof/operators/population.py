@@ -166,8 +166,9 @@ def population_summary(raw: DataFrame, schema: ApplicationSchema) -> DataFrame:
         F.avg(target).alias("prevalence"),
     ]
     deduplicated = dedup_keep_first(raw, schema.signature, schema.row_id)
-    names = F.array_compact(F.array(F.lit("deduplicated"), F.when(ok, F.lit("eligible"))))
-    later = deduplicated.withColumn("population", F.explode(names)).groupBy("population").agg(*sums)
+    names = F.array(F.lit("deduplicated"), F.when(ok, F.lit("eligible")))
+    named = deduplicated.withColumn("population", F.explode(names)).filter(F.col("population").isNotNull())
+    later = named.groupBy("population").agg(*sums)
     return raw.agg(*sums).withColumn("population", F.lit("raw")).unionByName(later)
 
 

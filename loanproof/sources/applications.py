@@ -159,15 +159,9 @@ def build_applications(spark: SparkSession, folder: str) -> DataFrame:
         F.col("matured").cast("int").alias("label_available"),
         F.when(F.col("matured"), (F.col("returned") > 0.75 * F.col("gross")).cast("int")).alias("default_12m"),
     )
-    offsets = F.array_compact(
-        F.array(
-            F.lit(0),
-            F.when(F.col("app_id") % 50 == 0, 10_000_000),
-            F.when(F.col("app_id") % 500 == 0, 20_000_000),
-        )
-    )
-    copies = base.withColumn("copy_offset", F.explode(offsets))
-    return copies.withColumn("app_id", F.col("app_id") + F.col("copy_offset")).select(*APPS.names)
+    more = (F.col("app_id") % 50 == 0).cast("int") + (F.col("app_id") % 500 == 0).cast("int")
+    copies = base.withColumn("copy_no", F.explode(F.sequence(F.lit(0), more)))
+    return copies.withColumn("app_id", F.col("app_id") + F.col("copy_no") * 10_000_000).select(*APPS.names)
 
 
 def scored_applications(apps: DataFrame, schema: ApplicationSchema = APPS) -> DataFrame:
