@@ -8,6 +8,7 @@ offsets from a table with one row per partition.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -179,8 +180,8 @@ def exact_quantiles(
     counted per distinct value directly. A large one is first narrowed: an approximate
     quantile with known rank error brackets each wanted position, and only the values inside
     the brackets, about a thousandth of the table, are counted one by one; all that lies
-    below a bracket is one cell. A position outside its bracket would show as a missing or
-    infinite value and is then taken from the full column.
+    below a bracket is one cell. A position outside its bracket would have no finite value
+    and is then taken from the full column.
     """
     values = {c: F.col(c).cast("double") for c in columns}
     counts = df.agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(values.values())]).first()
@@ -195,16 +196,12 @@ def exact_quantiles(
     if narrowed:
         _narrow(df, values, narrowed)
         found = materialize(_pick_quantiles(df, values, narrowed, small=False))
-        missed = {
-            (r["field"], r["prob"])
-            for r in found.filter(F.col("value").isNull() | (F.abs("value") == math.inf)).collect()
-        }
+        found = found.filter(F.col("value").between(-sys.float_info.max, sys.float_info.max))
+        held = {(r["field"], r["prob"]) for r in found.collect()}
+        missed = [t for t in narrowed if (t["field"], t["spots"][0][0]) not in held]
         if missed:
-            again = [
-                {**t, "low": None, "high": None} for t in narrowed if (t["field"], t["spots"][0][0]) in missed
-            ]
-            lost = F.struct("field", "prob").isin(*[F.struct(F.lit(f), F.lit(p)) for f, p in missed])
-            found = found.filter(~lost).unionByName(_pick_quantiles(df, values, again, small=False))
+            whole = [{**t, "low": None, "high": None} for t in missed]
+            found = found.unionByName(_pick_quantiles(df, values, whole, small=False))
         out = found if not direct else out.unionByName(found)
     return out
 

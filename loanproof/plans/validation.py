@@ -135,7 +135,7 @@ def _confusion_text():
 
 
 def corrected_row(
-    split: DataFrame, schema: ApplicationSchema, model: FrozenModel, repetitions: int = 2000, mode: str = "rows"
+    split: DataFrame, schema: ApplicationSchema, model: FrozenModel, repetitions: int = 2000, mode: str = "auto"
 ) -> DataFrame:
     """One result row: metrics of the final rows with bootstrap intervals."""
     final = materialize(model.score(part(split, FINAL)).select(schema.row_id, schema.target, "score"))

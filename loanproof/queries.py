@@ -534,7 +534,7 @@ def queries() -> dict[str, Query]:
         "random_split_exact": on(_parted, lambda d: d.select("source_row_id", "copy_no", "part")),
         "random_split_approximate": on(_apps, lambda d: sampling.random_split_approximate(d, SEED, "app_id").select("app_id", "part")),
         "train_test_contamination": on(_parted, lambda d: population.train_test_contamination(d, "source_row_id", "part", target)),
-        "bootstrap_ci": on(_scored, lambda d: sampling.bootstrap_ci(d, "score", target, "app_id", 20, 42)),
+        "bootstrap_ci": on(_scored, lambda d: sampling.bootstrap_ci(d, "score", target, "app_id", 20, 42, mode="rows")),
         "order_by_time": order_by_time,
         "stable_date_sort": on(_apps, lambda d: ordering.row_ordinal(
             d.select("application_date", "app_id"), ["application_date", "app_id"]).select("app_id", "ordinal")),

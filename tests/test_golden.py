@@ -87,7 +87,7 @@ INTERVALS = {
 
 
 def test_bootstrap_intervals(golden):
-    found = {r["metric"]: r for r in sampling.bootstrap_ci(golden, P, Y, "row_id", 2000, 42).collect()}
+    found = {r["metric"]: r for r in sampling.bootstrap_ci(golden, P, Y, "row_id", 2000, 42, mode="rows").collect()}
     for metric, (low, high) in INTERVALS.items():
         close(found[metric]["ci_low"], low, 0.01)
         close(found[metric]["ci_high"], high, 0.02)

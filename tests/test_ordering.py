@@ -33,6 +33,17 @@ def test_exact_quantiles(numbers, direct):
     assert set(found["empty"].values()) == {None}
 
 
+def test_a_missed_bracket_falls_back_to_the_full_column(numbers, monkeypatch):
+    def wrong(df, values, targets):
+        for target in targets:
+            target["low"], target["high"] = (5.0, 6.0) if target["spots"][0][0] < 0.5 else (-9.0, -8.0)
+
+    monkeypatch.setattr(ordering, "_narrow", wrong)
+    found = ordering.quantile_map(numbers, ["a"], [0.1, 0.9], direct_rows=10)["a"]
+    data = numbers.toPandas()["a"]
+    assert found[0.1] == pytest.approx(np.quantile(data, 0.1)) and found[0.9] == pytest.approx(np.quantile(data, 0.9))
+
+
 def test_quantiles_of_few_rows(spark):
     one = spark.createDataFrame([(4.0,)], "x double")
     assert ordering.quantile_map(one, ["x"], [0.1, 0.9])["x"] == {0.1: 4.0, 0.9: 4.0}
