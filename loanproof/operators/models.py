@@ -156,7 +156,7 @@ def temporal_grid_search(
     metrics of all grid points and folds come from one grouped pass.
     """
     keep = [schema.row_id, schema.date, schema.target, *schema.features]
-    blocked = materialize(fold_block(materialize(development.select(*keep)), schema, folds))
+    blocked = fold_block(materialize(development.select(*keep)), schema, folds)
     spark = development.sparkSession
     grid = [(w, c) for w in weights for c in c_grid]
 

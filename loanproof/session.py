@@ -16,6 +16,7 @@ def build_session(app: str = "loanproof", master: str | None = None, **conf) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:

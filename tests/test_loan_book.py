@@ -9,7 +9,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from loanproof.operators import audit, population
+from loanproof.operators import audit, models, population
 from loanproof.plans import attribution, validation
 from loanproof.schema import LOAN_BOOK
 from loanproof.session import materialize, shared_dir
@@ -106,6 +106,20 @@ def test_sound_design(book):
     assert row["feature_count"] == 26 and row["modeling_population_size"] == 520
 
 
+def test_grid_search_selects_one_point(book):
+    split = validation.split_population(book, LOAN_BOOK)
+    table, c_value, weight = models.tune(validation.part(split, population.DEVELOPMENT), LOAN_BOOK)
+    rows = table.collect()
+    assert len(rows) == 8 and sum(r["selected"] for r in rows) == 1
+    best = max(r["mean_pr_auc"] for r in rows)
+    near = [r for r in rows if r["mean_pr_auc"] >= best - 0.01]
+    chosen = min(near, key=lambda r: (r["mean_brier_score"], r["C"]))
+    assert chosen["selected"] and chosen["C"] == c_value
+    assert chosen["class_weight"] == (weight or "None")
+    for r in rows:
+        assert [d["train_rows"] for d in r["fold_detail"]] == [78, 156, 234]
+
+
 def test_faulty_design_is_contaminated(book):
     budget = attribution.TreeBudget(3, 3, 3, 3, 3)
     found = attribution.faulty_pipeline_replay(book, LOAN_BOOK, 7, budget)
