@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -89,12 +90,23 @@ def _known_size(table: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(table) if rows <= BROADCAST_BOXES else table
 
 
-def _descend(points: DataFrame, splits: DataFrame, dims: Sequence[str], radius: str | None) -> DataFrame:
+def _cut_dims(rounds: Sequence[DataFrame]) -> list[int]:
+    """The dimensions that any box was cut along; at most one number per dimension."""
+    used: set[int] = set()
+    for splits in rounds:
+        cut = F.explode(F.array(*[c for c in splits.columns if c.startswith("d")]))
+        used |= {r["d"] for r in splits.select(cut.alias("d")).distinct().collect() if r["d"] is not None}
+    return sorted(used)
+
+
+def _descend(
+    points: DataFrame, splits: DataFrame, dims: Sequence[str], radius: str | None = None, gaps: Sequence[int] = ()
+) -> DataFrame:
     """One level down: the box of each point or, with a radius, all boxes within reach.
 
-    The path to a box adds one 0/1 sign per cut. With a radius, columns g0, g1, .. hold how
-    far the point lies outside the box along each dimension; a box is within reach while the
-    root of their squares is.
+    The path to a box adds one 0/1 sign per cut. With a radius, a column per dimension in
+    ``gaps`` holds how far the point lies outside the box along it; a box is within reach
+    while the root of their squares is.
     """
     cuts = [c for c in splits.columns if c.startswith("c")]
     joined = points.join(splits, "box", "left")
@@ -113,9 +125,9 @@ def _descend(points: DataFrame, splits: DataFrame, dims: Sequence[str], radius:
         joined = joined.withColumn(f"b{k}", F.explode(sides))
         gap = F.when(F.col(f"b{k}") == bit, 0.0).otherwise(F.abs(F.col(f"a{k}")))
         joined = joined.withColumns(
-            {f"g{i}": F.when(F.col(f"d{k}") == i, F.greatest(f"g{i}", gap)).otherwise(F.col(f"g{i}")) for i in range(len(dims))}
+            {f"g{i}": F.when(F.col(f"d{k}") == i, F.greatest(f"g{i}", gap)).otherwise(F.col(f"g{i}")) for i in gaps}
         )
-    square = sum((F.col(f"g{i}") * F.col(f"g{i}") for i in range(1, len(dims))), F.col("g0") * F.col("g0"))
+    square = reduce(lambda a, b: a + b, [F.col(f"g{i}") * F.col(f"g{i}") for i in gaps])
     signs = F.concat(
         *[F.when(F.col(f"b{k}") >= 0, F.col(f"b{k}").cast("string")).otherwise("") for k in range(len(cuts))]
     )
@@ -175,7 +187,7 @@ def nearest_other_distance(
             continue
         idle = 0
         rounds.append(splits)
-        boxed = materialize(_descend(boxed, splits, dims, None))
+        boxed = materialize(_descend(boxed, splits, dims))
 
     anchors = np.array([list(r) for r in boxed.select(*dims).limit(ANCHORS).collect()], dtype=float)
     own_type = T.StructType([*boxed.schema.fields, T.StructField("bound", T.DoubleType(), True)])
@@ -193,16 +205,17 @@ def nearest_other_distance(
     if reach == "median":
         reach = max(_median_ends(own)[1] or math.inf, max(CUTOFFS))
     bound = F.col("bound") if reach is None else F.least("bound", F.lit(float(reach)))
+    gaps = _cut_dims(rounds)
     visiting = local.filter("copies = 1").select(
         F.lit("b").alias("box"),
         F.col("box").alias("home"),
         "point",
         *dims,
         (bound * (1 + 1e-9) + 1e-9).alias("radius"),
-        *[F.lit(0.0).alias(f"g{i}") for i in range(len(dims))],
+        *[F.lit(0.0).alias(f"g{i}") for i in gaps],
     )
     for splits in rounds:
-        visiting = _descend(visiting, splits, dims, "radius")
+        visiting = _descend(visiting, splits, dims, "radius", gaps)
     visiting = materialize(visiting.filter("box <> home").select("box", "point", *dims))
 
     # A box that many points visit answers them in shares; its own points go to each share.
