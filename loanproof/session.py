@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +48,25 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once a session, so their Python workers can import it.
+
+    The archive is code for Spark's own file server, not data; executors fetch their copy from the driver.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_loanproof_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+        for path in sorted(root.rglob("*.py")):
+            archive.write(path, path.relative_to(root.parent))
+    target = os.path.join(tempfile.mkdtemp(prefix="loanproof-code-"), "loanproof_code.zip")
+    Path(target).write_bytes(held.getvalue())
+    context.addPyFile(target)
+    context._loanproof_shipped = True
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared folder, so lost executors lose no rows."""
     shared_dir(df.sparkSession)
