@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanproof.llm import bpe, packing, simhash
+from loanproof.llm import bpe, packing, quality, rules, secrets, simhash, toxicity
 from loanproof.llm.common import table
 
 
@@ -29,8 +29,24 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_scan(table(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op4_simhash, op5_packing)}
+    return {f.__name__: f for f in (op1_bpe, op4_simhash, op5_packing, op6_secrets, op7_quality, op8_toxicity, op9_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
