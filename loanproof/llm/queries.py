@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanproof.llm import bpe, packing, quality, rules, secrets, simhash, toxicity
+from loanproof.llm import bpe, lm, packing, quality, rules, secrets, simhash, topk, toxicity
 from loanproof.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.corpus_scores(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -45,9 +49,13 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op4_simhash, op5_packing, op6_secrets, op7_quality, op8_toxicity, op9_rules)}
+    return {f.__name__: f for f in (op1_bpe, op2_lm, op4_simhash, op5_packing, op6_secrets, op7_quality, op8_toxicity, op9_rules, op10_topk)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_topk": topk.ORACLE}
