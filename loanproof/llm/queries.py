@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanproof.llm import bpe, lm, packing, quality, rules, secrets, simhash, topk, toxicity
+from loanproof.llm import bpe, licenses, lm, packing, quality, rules, secrets, simhash, topk, toxicity
 from loanproof.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.corpus_scores(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -54,7 +58,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_lm, op4_simhash, op5_packing, op6_secrets, op7_quality, op8_toxicity, op9_rules, op10_topk)}
+    return {f.__name__: f for f in (op1_bpe, op2_lm, op3_licenses, op4_simhash, op5_packing, op6_secrets, op7_quality, op8_toxicity, op9_rules, op10_topk)}
 
 
 def oracle_sql() -> dict[str, str]:

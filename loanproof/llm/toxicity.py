@@ -39,7 +39,7 @@ from loanproof.llm.quality import keep_rows, labelled_sample, score_texts
 FOLDS = 4
 HELD_OUT = 2
 THRESHOLD = 0.3
-MAX_ROWS = 8_000
+MAX_ROWS = 6_000
 ORDER = 6
 OWN = 4
 DISCOUNT = 0.75
@@ -91,14 +91,14 @@ class TwoModels:
         self.grams, self.contexts, self.follows, self.rooms = grams, contexts, follows, rooms
         self.letters = Counter(gram[-1] for gram in grams if len(gram) == 2)
         self.total = sum(self.letters.values())
-        self.windows, self.words = Memo(self.ratio), Memo(self.spelled)
+        self.windows, self.words = Memo(self.ratio, 150_000), Memo(self.spelled, 150_000)
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k not in ("windows", "words")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
-        self.windows, self.words = Memo(self.ratio), Memo(self.spelled)
+        self.windows, self.words = Memo(self.ratio, 150_000), Memo(self.spelled, 150_000)
 
     def ratio(self, window: str) -> float:
         """log P(toxic) - log P(ordinary) of the last letter of a window behind the letters before it."""
