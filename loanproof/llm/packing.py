@@ -61,6 +61,7 @@ def byte_encoder(path: str):
         parts = [np.array([special[p]], dtype=np.uint32) if p in special else encoding.encode_to_numpy(p, disallowed_special=()) for p in cut.split(text)]
         return np.concatenate(parts)
 
+    encode.ordinary = encoding.encode_ordinary  # for short strings, special ones as plain text
     return encode
 
 
