@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from loanproof.operators.ordering import quantile_map
 from loanproof.operators.prep import scale_values
-from loanproof.session import materialize, small_table
+from loanproof.session import materialize, ship_package, small_table
 
 # Points one box may hold, and visits one task answers at a time.
 BOX_POINTS = 1_000
@@ -199,6 +199,7 @@ def nearest_other_distance(
         far = np.sqrt(((anchors - x[0]) ** 2).sum(axis=1))
         return pdf.assign(bound=far[far > 0].min(initial=np.inf))
 
+    ship_package(boxed.sparkSession)  # the kernels below live in this package
     # Copies are at distance 0 already, but they stay as targets for other points.
     local = materialize(boxed.groupBy("box").applyInPandas(own_box, own_type))
     own = local.select("point", F.when(F.col("copies") > 1, 0.0).otherwise(F.col("bound")).alias("distance"), "copies")

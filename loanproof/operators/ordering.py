@@ -275,17 +275,6 @@ def quantile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
     return out
 
 
-def grouped_quantile(df: DataFrame, groups: Sequence[str], value: str, prob: float, name: str) -> DataFrame:
-    """Exact quantile of a column per group, from the distinct values of each group."""
-    cells = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*groups, F.col(value).cast("double").alias("_v"))
-        .agg(F.count("*").alias("_n"))
-    )
-    placed = running_totals(cells, "_v", {"_cum": "_n"}, groups)
-    return placed.groupBy(*groups).agg(weighted_quantile("_v", "_cum", prob).alias(name))
-
-
 def weighted_quantile(value: str, cum: str, prob: float) -> Column:
     """Aggregate: the linear quantile from values with running and whole counts."""
     spot = (F.col(f"{cum}_all") - 1) * F.lit(float(prob))

@@ -301,6 +301,7 @@ SELECT COUNT(*) AS customers, COUNT(CASE WHEN d AND v THEN 1 END) AS development
        COUNT(CASE WHEN (d AND v) OR (d AND f) OR (v AND f) THEN 1 END) AS shared_customers FROM seen"""),
         "stack_partitions": _split("""
 SELECT split, app_id, default_12m FROM split WHERE split = 'development'
+UNION ALL SELECT split, app_id, default_12m FROM split WHERE split = 'validation'
 UNION ALL SELECT split, app_id, default_12m FROM split WHERE split = 'final_test'"""),
     }
 

@@ -502,7 +502,7 @@ def queries() -> dict[str, Query]:
         "partition_overlap": on(_split, lambda d: population.partition_overlap(d, "customer_id")),
         "stack_partitions": on(_split, lambda d: src.stack_frames(*[
             d.filter(F.col("split") == s).select("split", "app_id", target)
-            for s in (population.DEVELOPMENT, population.FINAL)])),
+            for s in (population.DEVELOPMENT, population.VALIDATION, population.FINAL)])),
         "label_maturity_by_quarter": on(_dedup, lambda d: audit.label_maturity_by_quarter(d, APPS)),
         "default_rate_by_year": on(_apps, lambda d: audit.default_rate_by_year(d, APPS)),
         "label_rate_for_year": on(_apps, lambda d: audit.label_rate_for_year(d, APPS, 2000)),

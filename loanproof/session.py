@@ -73,10 +73,6 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def shuffle_width(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def collect_bounded(df: DataFrame, limit: int, what: str) -> list:
     """Collect a table whose size has a known bound, and fail when the bound is broken."""
     rows = df.limit(limit + 1).collect()
