@@ -123,8 +123,8 @@ def outlier_screen(raw: DataFrame, schema: ApplicationSchema) -> DataFrame:
     held = F.col("field").isin(*schema.rules)
     return ranges.join(tails, "field", "left").withColumn(
         "treatment",
-        F.when(held, "Excluded until the source is corrected.").otherwise(
-            "Retained; extreme but plausible for a lending population."
+        F.when(held, "withheld: breaks its rule").otherwise(
+            "kept"
         ),
     )
 

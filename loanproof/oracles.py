@@ -321,8 +321,8 @@ def _aggregates() -> dict[str, str]:
         + (f"COUNT(CASE WHEN {APPS.rules[c]} THEN 1 END)" if c in APPS.rules else "0")
         + f" AS rule_violations, ROUND(QUANTILE_CONT(CAST({c} AS DOUBLE), 0.01), 6) AS p1, "
         f"ROUND(QUANTILE_CONT(CAST({c} AS DOUBLE), 0.99), 6) AS p99, "
-        + ("'Excluded until the source is corrected.'" if c in APPS.rules
-           else "'Retained; extreme but plausible for a lending population.'")
+        + ("'withheld: breaks its rule'" if c in APPS.rules
+           else "'kept'")
         + " AS treatment FROM apps"
         for c in APPS.screened
     )

@@ -257,12 +257,12 @@ def repair_ladder(raw: DataFrame, schema: ApplicationSchema, seed: int = 7, roun
         return _run(rows, features, schema, rounds)
 
     rungs: list[tuple[str, Callable]] = [
-        ("R0 as submitted", lambda: as_submitted(False)),
-        ("R1 drop leaked and post-decision fields", lambda: as_submitted(True)),
-        ("R2 oversample after the split", oversample_later),
-        ("R3 fit preprocessing and screening on training rows only", lambda: train_only(False, False)),
-        ("R4 drop the censored rows instead of relabeling them", lambda: train_only(True, False)),
-        ("R5 split chronologically instead of at random", lambda: train_only(True, True)),
+        ("0 all faults", lambda: as_submitted(False)),
+        ("1 no leaked fields", lambda: as_submitted(True)),
+        ("2 copies after the split", oversample_later),
+        ("3 statistics of training rows", lambda: train_only(False, False)),
+        ("4 no censored rows", lambda: train_only(True, False)),
+        ("5 split by time", lambda: train_only(True, True)),
     ]
     found = run_together(raw.sparkSession, [job for _, job in rungs])
     return _union([row.select(F.lit(label).alias("step"), "*") for (label, _), row in zip(rungs, found)])

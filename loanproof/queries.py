@@ -396,13 +396,14 @@ def temporal_grid_search(spark: SparkSession, folder: str) -> DataFrame:
 def fit_freeze_score(spark: SparkSession, folder: str) -> DataFrame:
     # Customers repeat on purpose in these tables, so the overlap check is left out.
     split = validation.split_population(_apps(spark, folder), APPS, customers=False)
-    _, scored = validation.fit_freeze_score(split, APPS, 1.0)
+    _, scored = validation.fit_freeze_score(split, APPS)
     return _rounded(scored.select("app_id", "application_date", "age", "state", APPS.target, "score", "threshold", "predicted"))
 
 
 def challengers(spark: SparkSession, folder: str) -> DataFrame:
     split = validation.split_population(_apps(spark, folder), APPS, customers=False)
-    return _rounded(validation.challengers(split, APPS, 1.0))
+    champion, _ = validation.fit_freeze_score(split, APPS)
+    return _rounded(validation.challengers(split, APPS, champion.c_value, champion.class_weight, champion))
 
 
 def attribution_frame(spark: SparkSession, folder: str) -> DataFrame:
@@ -439,8 +440,8 @@ def results_comparison(spark: SparkSession, folder: str) -> DataFrame:
         bad["reported_auc"].first()[0], bad["contamination"].first()["contaminated_rows"],
     )
     split = validation.split_population(raw, APPS, customers=False)
-    model = validation.fit_freeze(split, APPS, 1.0)
-    corrected = validation.corrected_row(split, APPS, model, repetitions=200, mode="poisson")
+    model, _ = validation.fit_freeze_score(split, APPS)
+    corrected = validation.corrected_row(split, APPS, model)
     return _rounded(src.stack_frames(faulty, corrected))
 
 

@@ -14,6 +14,16 @@ UNCLEAR = "UNCLEAR"
 OUTCOME = "OUTCOME_DERIVED"
 MACRO = "MACRO"
 
+_REASONS = {
+    ID: "names a row or its owner",
+    KNOWN: "on record when the application came in",
+    PROXY: "can reveal a protected group",
+    POST: "arises after the decision",
+    UNCLEAR: "its date or quality is in doubt",
+    OUTCOME: "follows from the outcome",
+    MACRO: "state of the economy",
+}
+
 _TYPES = {
     "string": T.StringType(),
     "date": T.DateType(),
@@ -28,7 +38,11 @@ class Field:
     name: str
     type: str
     tags: tuple[str, ...]
-    rationale: str
+
+    @property
+    def rationale(self) -> str:
+        """What the tags say about the field."""
+        return "; ".join(_REASONS[t] for t in self.tags)
 
 
 @dataclass(frozen=True)
@@ -86,49 +100,49 @@ class ApplicationSchema:
 def _fields(text: str) -> tuple[Field, ...]:
     out = []
     for line in text.strip().splitlines():
-        name, kind, tags, rationale = (part.strip() for part in line.split("|"))
-        out.append(Field(name, kind, tuple(t.strip() for t in tags.split(";")), rationale))
+        name, kind, tags = (part.strip() for part in line.split("|"))
+        out.append(Field(name, kind, tuple(t.strip() for t in tags.split(";"))))
     return tuple(out)
 
 
 # The 35 fields of a loan-book extract, their types and timing tags.
 LOAN_BOOK = ApplicationSchema(
     fields=_fields("""
-        customer_id                    | string | IDENTIFIER | Key for tracing and grouping only.
-        application_date               | date   | KNOWN_AT_DECISION_TIME | Moment of prediction; orders and splits rows.
-        age                            | int    | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY | Protected attribute; subgroup tests only.
-        state                          | string | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY | Geography may stand in for a protected attribute; subgroup tests only.
-        zip_prefix                     | string | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY | Fine geography with many levels; not fitted.
-        annual_income_at_application   | double | KNOWN_AT_DECISION_TIME | Stated income; filled from training rows and flagged when missing.
-        current_income                 | double | POST_DECISION; UNCLEAR | As-of date unknown; not fitted.
-        employment_years               | double | KNOWN_AT_DECISION_TIME; UNCLEAR | Breaks the age rule on some rows; withheld until repaired.
-        credit_score                   | double | KNOWN_AT_DECISION_TIME | Bureau score on the day; filled from training rows.
-        debt_to_income                 | double | KNOWN_AT_DECISION_TIME | Affordability ratio.
-        loan_amount                    | double | KNOWN_AT_DECISION_TIME | Amount asked for.
-        interest_rate                  | double | UNCLEAR | Possibly set after underwriting; withheld.
-        term_months                    | int    | KNOWN_AT_DECISION_TIME | Term asked for.
-        home_ownership                 | string | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY | Stated by the applicant; watch in subgroup tests.
-        purpose                        | string | KNOWN_AT_DECISION_TIME | Stated use of the loan.
-        channel                        | string | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY | Way of application; watch for access effects.
-        num_open_accounts              | int    | KNOWN_AT_DECISION_TIME | Bureau history on the day.
-        delinq_2y                      | int    | KNOWN_AT_DECISION_TIME | Past delinquencies.
-        inq_6m                         | int    | KNOWN_AT_DECISION_TIME | Past inquiries.
-        credit_utilization             | double | KNOWN_AT_DECISION_TIME | Bureau utilization; filled from training rows and flagged.
-        prior_defaults                 | int    | KNOWN_AT_DECISION_TIME | Earlier outcomes, not the one predicted.
-        bankruptcy_flag                | int    | KNOWN_AT_DECISION_TIME | Public record on the day.
-        unemployment_rate              | double | KNOWN_AT_DECISION_TIME; MACRO | Economy at application; needs the published vintage.
-        prime_rate                     | double | KNOWN_AT_DECISION_TIME; MACRO | Economy at application; needs the published vintage.
-        manual_review_flag             | int    | POST_DECISION; UNCLEAR; POTENTIAL_PROXY | May come from later handling; not fitted.
-        underwriter_score              | double | POST_DECISION; UNCLEAR; POTENTIAL_PROXY | Product of the decision; not fitted.
-        model_version                  | string | IDENTIFIER; UNCLEAR | Process mark that moves with time; not fitted.
-        months_observed                | double | POST_DECISION; OUTCOME_DERIVED | Length of follow-up; maturity test only.
-        label_available                | int    | POST_DECISION; OUTCOME_DERIVED | Whether the outcome is seen; eligibility only.
-        days_past_due_6m_after         | int    | POST_DECISION; OUTCOME_DERIVED | Repayment after the decision; not fitted.
-        collections_contacted_9m_after | int    | POST_DECISION; OUTCOME_DERIVED | Collection after the decision; not fitted.
-        charged_off_amount_12m         | double | POST_DECISION; OUTCOME_DERIVED | Loss after the decision; not fitted.
-        account_status_12m             | string | POST_DECISION; OUTCOME_DERIVED | Restates the outcome; not fitted.
-        current_balance                | double | POST_DECISION; UNCLEAR | As-of date unknown; not fitted.
-        default_12m                    | int    | OUTCOME_DERIVED | The outcome to predict.
+        customer_id                    | string | IDENTIFIER
+        application_date               | date   | KNOWN_AT_DECISION_TIME
+        age                            | int    | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY
+        state                          | string | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY
+        zip_prefix                     | string | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY
+        annual_income_at_application   | double | KNOWN_AT_DECISION_TIME
+        current_income                 | double | POST_DECISION; UNCLEAR
+        employment_years               | double | KNOWN_AT_DECISION_TIME; UNCLEAR
+        credit_score                   | double | KNOWN_AT_DECISION_TIME
+        debt_to_income                 | double | KNOWN_AT_DECISION_TIME
+        loan_amount                    | double | KNOWN_AT_DECISION_TIME
+        interest_rate                  | double | UNCLEAR
+        term_months                    | int    | KNOWN_AT_DECISION_TIME
+        home_ownership                 | string | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY
+        purpose                        | string | KNOWN_AT_DECISION_TIME
+        channel                        | string | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY
+        num_open_accounts              | int    | KNOWN_AT_DECISION_TIME
+        delinq_2y                      | int    | KNOWN_AT_DECISION_TIME
+        inq_6m                         | int    | KNOWN_AT_DECISION_TIME
+        credit_utilization             | double | KNOWN_AT_DECISION_TIME
+        prior_defaults                 | int    | KNOWN_AT_DECISION_TIME
+        bankruptcy_flag                | int    | KNOWN_AT_DECISION_TIME
+        unemployment_rate              | double | KNOWN_AT_DECISION_TIME; MACRO
+        prime_rate                     | double | KNOWN_AT_DECISION_TIME; MACRO
+        manual_review_flag             | int    | POST_DECISION; UNCLEAR; POTENTIAL_PROXY
+        underwriter_score              | double | POST_DECISION; UNCLEAR; POTENTIAL_PROXY
+        model_version                  | string | IDENTIFIER; UNCLEAR
+        months_observed                | double | POST_DECISION; OUTCOME_DERIVED
+        label_available                | int    | POST_DECISION; OUTCOME_DERIVED
+        days_past_due_6m_after         | int    | POST_DECISION; OUTCOME_DERIVED
+        collections_contacted_9m_after | int    | POST_DECISION; OUTCOME_DERIVED
+        charged_off_amount_12m         | double | POST_DECISION; OUTCOME_DERIVED
+        account_status_12m             | string | POST_DECISION; OUTCOME_DERIVED
+        current_balance                | double | POST_DECISION; UNCLEAR
+        default_12m                    | int    | OUTCOME_DERIVED
     """),
     row_id="customer_id",
     customer="customer_id",
@@ -169,28 +183,28 @@ LOAN_BOOK = ApplicationSchema(
 # The application table derived from the order tables (see sources.applications).
 APPS = ApplicationSchema(
     fields=_fields("""
-        app_id             | bigint | IDENTIFIER | Key of the row.
-        customer_id        | bigint | IDENTIFIER | Key for grouping; repeats.
-        application_date   | date   | KNOWN_AT_DECISION_TIME | Moment of prediction; orders and splits rows.
-        age                | int    | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY | Protected attribute; subgroup tests only.
-        state              | int    | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY | Geography; subgroup tests only.
-        income             | double | KNOWN_AT_DECISION_TIME | Filled from training rows and flagged when missing.
-        employment_years   | double | KNOWN_AT_DECISION_TIME; UNCLEAR | Breaks the age rule on some rows; withheld.
-        credit_score       | double | KNOWN_AT_DECISION_TIME | Filled from training rows and flagged when missing.
-        loan_amount        | double | KNOWN_AT_DECISION_TIME | Amount asked for.
-        interest_rate      | double | UNCLEAR | Possibly set after underwriting; withheld.
-        term_months        | int    | KNOWN_AT_DECISION_TIME | Term asked for.
-        home_ownership     | string | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY | Watch in subgroup tests.
-        purpose            | string | KNOWN_AT_DECISION_TIME | Stated use.
-        channel            | string | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY | Watch for access effects.
-        num_open_accounts  | int    | KNOWN_AT_DECISION_TIME | History on the day.
-        debt_to_income     | double | KNOWN_AT_DECISION_TIME | Affordability ratio.
-        credit_utilization | double | KNOWN_AT_DECISION_TIME | Filled from training rows and flagged when missing.
-        returned_value_12m | double | POST_DECISION; OUTCOME_DERIVED | Comes after the decision; not fitted.
-        current_balance    | double | POST_DECISION; UNCLEAR | Comes after the decision; not fitted.
-        months_observed    | int    | POST_DECISION; OUTCOME_DERIVED | Maturity test only.
-        label_available    | int    | POST_DECISION; OUTCOME_DERIVED | Eligibility only.
-        default_12m        | int    | OUTCOME_DERIVED | The outcome to predict.
+        app_id             | bigint | IDENTIFIER
+        customer_id        | bigint | IDENTIFIER
+        application_date   | date   | KNOWN_AT_DECISION_TIME
+        age                | int    | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY
+        state              | int    | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY
+        income             | double | KNOWN_AT_DECISION_TIME
+        employment_years   | double | KNOWN_AT_DECISION_TIME; UNCLEAR
+        credit_score       | double | KNOWN_AT_DECISION_TIME
+        loan_amount        | double | KNOWN_AT_DECISION_TIME
+        interest_rate      | double | UNCLEAR
+        term_months        | int    | KNOWN_AT_DECISION_TIME
+        home_ownership     | string | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY
+        purpose            | string | KNOWN_AT_DECISION_TIME
+        channel            | string | KNOWN_AT_DECISION_TIME; POTENTIAL_PROXY
+        num_open_accounts  | int    | KNOWN_AT_DECISION_TIME
+        debt_to_income     | double | KNOWN_AT_DECISION_TIME
+        credit_utilization | double | KNOWN_AT_DECISION_TIME
+        returned_value_12m | double | POST_DECISION; OUTCOME_DERIVED
+        current_balance    | double | POST_DECISION; UNCLEAR
+        months_observed    | int    | POST_DECISION; OUTCOME_DERIVED
+        label_available    | int    | POST_DECISION; OUTCOME_DERIVED
+        default_12m        | int    | OUTCOME_DERIVED
     """),
     row_id="app_id",
     customer="customer_id",
