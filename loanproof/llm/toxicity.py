@@ -48,11 +48,17 @@ STRETCH = 16
 STRONG = 2.0
 #: Stretches of letters beyond this length are spelled in parts.
 SPELLED = 48
+#: Entries each worker remembers; a window costs some 20 times a word's sum over known windows.
+WINDOWS = 600_000
+WORDS = 300_000
 _WORDS = regex.compile(r"\p{L}+")
+_LETTERS = bytes(b if chr(b).isalpha() else 32 for b in bytes(range(128)).lower()) + bytes([32]) * 128
 
 
 def words_of(text: str) -> list[str]:
     """The distinct words of a text in order of their first use."""
+    if text.isascii():
+        return list(dict.fromkeys(text.encode().translate(_LETTERS).decode().split()))
     return list(dict.fromkeys(_WORDS.findall(text.lower())))
 
 
@@ -91,14 +97,14 @@ class TwoModels:
         self.grams, self.contexts, self.follows, self.rooms = grams, contexts, follows, rooms
         self.letters = Counter(gram[-1] for gram in grams if len(gram) == 2)
         self.total = sum(self.letters.values())
-        self.windows, self.words = Memo(self.ratio, 150_000), Memo(self.spelled, 150_000)
+        self.windows, self.words = Memo(self.ratio, WINDOWS), Memo(self.spelled, WORDS)
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k not in ("windows", "words")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
-        self.windows, self.words = Memo(self.ratio, 150_000), Memo(self.spelled, 150_000)
+        self.windows, self.words = Memo(self.ratio, WINDOWS), Memo(self.spelled, WORDS)
 
     def ratio(self, window: str) -> float:
         """log P(toxic) - log P(ordinary) of the last letter of a window behind the letters before it."""
@@ -123,7 +129,7 @@ class TwoModels:
 
     def spelled(self, word: str) -> float:
         known = self.windows
-        return sum([known[s[max(0, end - ORDER) : end]] for s in spell(word) for end in range(3, len(s) + 1)])
+        return sum([known[s[end - ORDER if end > ORDER else 0 : end]] for s in spell(word) for end in range(3, len(s) + 1)])
 
     def evidence(self, words: list[str]) -> np.ndarray:
         known = self.words
