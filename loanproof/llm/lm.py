@@ -189,6 +189,9 @@ def make_speller(path: str, singles: np.ndarray, grams: dict[int, int]) -> Spell
 
 SHAPES = {"first": (CLASSES, WIDTH), "last": (LASTS, WIDTH), "place": (SPAN, WIDTH), "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH), "o": (WIDTH, WIDTH), "out": (WIDTH, CLASSES), "bias": (CLASSES,)}
 _MASK = np.triu(np.full((SPAN, SPAN), -1e9, dtype=np.float32), 1)
+_ONES = np.ones(CLASSES, dtype=np.float32)
+#: Windows that attention runs over at once: their logits stay in the processor's cache.
+ABREAST = 64
 
 
 def initial(prior: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
@@ -242,8 +245,7 @@ def gradient(w: dict[str, np.ndarray], first: np.ndarray, last: np.ndarray, targ
     dx = dh + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
     g["place"] = dx.sum(axis=0)
     for name, seen in (("first", first), ("last", last)):
-        g[name] = np.zeros_like(w[name])
-        np.add.at(g[name], seen.ravel(), rows(dx))
+        g[name] = (np.arange(len(w[name]))[:, None] == seen.ravel()).astype(np.float32) @ rows(dx)
     return g
 
 
@@ -265,7 +267,7 @@ def next_logits(w: dict[str, np.ndarray], first: np.ndarray, last: np.ndarray) -
         np.minimum(scores, 30, out=scores)
     np.exp(scores, out=scores)
     mixed = (scores @ v).reshape(-1, WIDTH)
-    mixed /= scores.sum(axis=2).reshape(-1, 1)
+    mixed /= (scores @ _ONES[:SPAN]).reshape(-1, 1)
     x += mixed @ w["o"]
     logits = x @ w["out"]
     logits += w["bias"]
@@ -342,8 +344,9 @@ def class_scores(w: dict[str, np.ndarray], groups: np.ndarray, lasts: np.ndarray
     before[1:], behind[1:] = groups[:-1], lasts[:-1]
     before[starts], behind[starts] = _STOP, 0
     got, columns = np.zeros(len(groups), dtype=np.float32), np.arange(SPAN)
-    for k in range(0, len(line), 128):
-        owner, place = line[k : k + 128], number[k : k + 128, None] * STRIDE + columns
+    for k in range(0, len(line), ABREAST):
+        owner, step = line[k : k + ABREAST], number[k : k + ABREAST, None]
+        place = step * STRIDE + columns
         valid = place < sizes[owner][:, None]
         at = np.where(valid, starts[owner][:, None] + place, 0)
         logits = next_logits(w, before[at], behind[at])
@@ -351,8 +354,8 @@ def class_scores(w: dict[str, np.ndarray], groups: np.ndarray, lasts: np.ndarray
         if logits.max() > 60:
             np.minimum(logits, 60, out=logits)
         np.exp(logits, out=logits)
-        chance = target - np.log(logits.sum(axis=2))
-        fresh = valid & ((number[k : k + 128, None] == 0) | (columns >= SPAN - STRIDE))
+        chance = target - np.log(logits @ _ONES)
+        fresh = valid & ((step == 0) | (columns >= SPAN - STRIDE))
         got[at[fresh]] = chance[fresh] / math.log(10)
     return got
 
