@@ -10,6 +10,8 @@ gives the chance of the next word's class:
 
 L is the class's share of words seen once, which is what new words may claim; the spelling goes
 piece by piece with discounted counts of triples, pairs and single pieces, each word counted once.
+The counts of common pairs and triples (at most ``GRAMS`` each) and of their beginnings go out with
+a broadcast; distinct new words ask for all others by a join, so no count is left out.
 
 Everything counted covers every training document: words (one shuffle, combined in the tasks
 first) and, from the table of words, pieces, pairs and triples. Training is spread out: every
@@ -111,13 +113,10 @@ def piece_counts(counts: DataFrame, path: str) -> DataFrame:
                 held[ids[0]] += c
                 held[_WIDE + ids[0]] += 1
                 held[2 * _WIDE + ids[0]] += c == 1
-                before = _WIDE
-                for last, piece in zip(ids, ids[1:]):
+                for piece, pair, triple in steps(ids[:-1]):
                     held[3 * _WIDE + piece] += 1
-                    pair = (last + 4) * _WIDE + piece
                     held[pair] += 1
-                    held[(before + 1) * _WIDE * _WIDE + pair] += 1
-                    before = last
+                    held[triple] += 1
             if len(held) > _FLUSH:
                 yield _sums(held, ["slot", "n"], pa.int64())
                 held = Counter()
@@ -147,27 +146,44 @@ class Speller(NamedTuple):
     tokens: np.ndarray  # per class: tokens of training
     fresh: np.ndarray  # per class: share that goes to new words
     later: np.ndarray  # share of each later piece
-    grams: dict[int, int]  # kept pairs and triples
-    rooms: dict[int, tuple[int, int]]  # per pair's or triple's beginning: sum and number of kept counts
-
-    def new_word(self, ids: list[int]) -> float:
-        """log10 of the chance of a new word's pieces, given its class."""
+    grams: dict[int, int]  # common pairs and triples
+    rooms: dict[int, tuple[int, int]]  # per beginning of a pair, or common beginning of a triple: sum and number of its counts
+
+    def asks(self, ids: list[int]) -> list[int]:
+        """Keys of the counts of a spelling that may exist and were not sent out: slots, and ``~beginning``."""
+        found = set()
+        for _, *grams in steps(ids):
+            if grams[0] // _WIDE in self.rooms:  # all beginnings of pairs are here
+                found.update(g for g in grams if g not in self.grams)
+                if grams[1] // _WIDE not in self.rooms:
+                    found.add(~(grams[1] // _WIDE))
+        return sorted(found)
+
+    def new_word(self, ids: list[int], found: dict[int, tuple[int, int]]) -> float:
+        """log10 of the chance of a new word's pieces, given its class; ``found`` answers ``asks``."""
         total = math.log10(self.fresh[self.group[ids[0]]] * self.share[ids[0]])
-        before = _WIDE
-        for last, piece in zip(ids, [*ids[1:], VOCABULARY]):
+        for piece, *grams in steps(ids):
             chance = float(self.later[piece])
-            pair = (last + 4) * _WIDE
-            for begin in (pair, (before + 1) * _WIDE * _WIDE + pair):
-                room = self.rooms.get(begin // _WIDE)
+            for gram in grams:
+                room = self.rooms.get(gram // _WIDE) or found.get(~(gram // _WIDE))
                 if room is None:
                     break
-                chance = (max(self.grams.get(begin + piece, 0) - DISCOUNT, 0) + DISCOUNT * room[1] * chance) / room[0]
+                n = self.grams.get(gram) or found.get(gram, (0, 0))[0]
+                chance = (max(n - DISCOUNT, 0) + DISCOUNT * room[1] * chance) / room[0]
             total += math.log10(chance)
-            before = last
         return total
 
 
-def make_speller(path: str, singles: np.ndarray, grams: dict[int, int]) -> Speller:
+def steps(ids: list[int]) -> Iterator[tuple[int, int, int]]:
+    """After each piece of a word: the next piece (or the end), the slots of the pair and of the triple."""
+    before = _WIDE
+    for last, piece in zip(ids, [*ids[1:], VOCABULARY]):
+        pair = (last + 4) * _WIDE + piece
+        yield piece, pair, (before + 1) * _WIDE * _WIDE + pair
+        before = last
+
+
+def make_speller(path: str, singles: np.ndarray, grams: dict[int, int], rooms: dict[int, tuple[int, int]]) -> Speller:
     """singles: rows of tokens, words, words seen once (first pieces) and of later pieces."""
     tokens, words, once, later = singles + np.array([[0.0], [0.01], [0.0], [0.01]])
     order = np.argsort(-tokens, kind="stable")
@@ -180,10 +196,6 @@ def make_speller(path: str, singles: np.ndarray, grams: dict[int, int]) -> Spell
     sums, mass = by_class(tokens), by_class(words)
     fresh = np.clip((by_class(once) + 0.5) / (sums + 1), 1e-5, 0.5)
     fresh[sums == 0] = 1.0
-    rooms: dict[int, tuple[int, int]] = {}
-    for gram, n in grams.items():
-        held = rooms.get(gram // _WIDE, (0, 0))
-        rooms[gram // _WIDE] = (held[0] + n, held[1] + 1)
     return Speller(path, group, words / mass[group], sums, fresh, later / later.sum(), grams, rooms)
 
 
@@ -360,6 +372,29 @@ def class_scores(w: dict[str, np.ndarray], groups: np.ndarray, lasts: np.ndarray
     return got
 
 
+def spelled(new: DataFrame, facts: DataFrame, sent: Broadcast) -> DataFrame:
+    """(word, spelled): log10 chances of distinct new words; the counts that were not sent out come from a join with ``facts``."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        speller = sent.value.speller
+        for batch in batches:
+            words = batch.column("word")
+            # A word that asks nothing gets a key of its own that no fact has, so these words are spread.
+            asked = [speller.asks(spell(speller.path, w)) or [-(1 << 62) - zlib.crc32(w)] for w in words.to_pylist()]
+            yield pa.RecordBatch.from_arrays([words, pa.array(asked, pa.list_(pa.int64()))], names=["word", "asked"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        speller = sent.value.speller
+        for batch in batches:
+            words, found = batch.column("word"), batch.column("found").to_pylist()
+            sums = [speller.new_word(spell(speller.path, w), {f["key"]: (f["n"], f["types"]) for f in fs}) for w, fs in zip(words.to_pylist(), found)]
+            yield pa.RecordBatch.from_arrays([words, pa.array(sums, pa.float64())], names=["word", "spelled"])
+
+    asked = new.select("word").mapInArrow(ask, "word binary, asked array<long>").select("word", F.explode("asked").alias("key"))
+    found = F.collect_list(F.when(F.col("n").isNotNull(), F.struct("key", "n", "types")))  # of one word
+    return asked.join(facts, "key", "left").groupBy("word").agg(found.alias("found")).mapInArrow(answer, "word binary, spelled double")
+
+
 def corpus_scores(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of every document."""
     spark = docs.sparkSession
@@ -377,12 +412,18 @@ def corpus_scores(docs: DataFrame, path: str) -> DataFrame:
     got = slots.filter(F.col("slot") < 4 * _WIDE).toArrow()  # at most four rows per piece
     singles = np.zeros(4 * _WIDE)
     singles[got["slot"].to_numpy()] = got["n"].to_numpy()
-    edge = _WIDE * _WIDE + 4 * _WIDE
+    grams_of = slots.filter(F.col("slot") >= 4 * _WIDE)
+    rooms_of = written(grams_of.groupBy(F.expr(f"-1 - slot div {_WIDE}").alias("key")).agg(F.sum("n").alias("n"), F.count("*").alias("types")))
+    facts = grams_of.select(F.col("slot").alias("key"), "n", F.lit(0).cast("long").alias("types")).unionByName(rooms_of)
+    edge, least = _WIDE * _WIDE + 4 * _WIDE, -(_WIDE + 4)
     grams: dict[int, int] = {}
-    for kept in (slots.filter((F.col("slot") >= 4 * _WIDE) & (F.col("slot") < edge)), slots.filter(F.col("slot") >= edge)):
-        table = most_common(kept, "n", GRAMS)
-        grams.update(zip(table["slot"].to_pylist(), table["n"].to_pylist()))
-    speller = make_speller(path, singles.reshape(4, _WIDE), grams)
+    for kept in (grams_of.filter(F.col("slot") < edge), grams_of.filter(F.col("slot") >= edge)):
+        sent_out = most_common(kept, "n", GRAMS)
+        grams.update(zip(sent_out["slot"].to_pylist(), sent_out["n"].to_pylist()))
+    rooms: dict[int, tuple[int, int]] = {}
+    for sent_out in (rooms_of.filter(F.col("key") >= least).toArrow(), most_common(rooms_of.filter(F.col("key") < least), "n", GRAMS)):  # of pairs: one per piece
+        rooms.update((~key, (n, types)) for key, n, types in zip(*(sent_out[x].to_pylist() for x in ("key", "n", "types"))))
+    speller = make_speller(path, singles.reshape(4, _WIDE), grams, rooms)
     model = Model(speller, {}, common, total, kinds, ends)
     prior = speller.tokens + 1.0
     prior[_STOP] += ends
@@ -428,32 +469,22 @@ def corpus_scores(docs: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "rare"])
 
     scored = written(docs.mapInArrow(run, "row long, doc_id long, n_tokens long, n_known long, base double, score double, rare array<struct<word:binary,class:int>>"))
-    rest = scored.select("row", F.explode("rare").alias("one")).select("row", "one.*").join(counts, "word", "left")
+    rare_words = scored.select("row", F.explode("rare").alias("one")).select("row", "one.*")
+    new = spelled(rare_words.select("word").distinct().join(counts, "word", "left_anti"), facts, sent)
+    lexicon = counts.select("word", "c", F.lit(None).cast("double").alias("spelled")).unionByName(new.withColumn("c", F.lit(None).cast("long")))
     shares = F.array(*[F.lit(float(x)) for x in (1 - speller.fresh) / np.maximum(speller.tokens, 1)])
-    rest = rest.groupBy("row").agg(
+    rest = rare_words.join(lexicon, "word", "left").groupBy("row").agg(
         F.count("c").alias("more"),
         F.sum(F.log10((F.coalesce("c", F.lit(0)) + PSEUDO) / floor)).alias("rest_base"),
-        F.sum(F.log10(F.col("c") * F.element_at(shares, F.col("class") + 1))).alias("rest_score"),
-        F.collect_list(F.when(F.col("c").isNull(), F.col("word"))).alias("new"),  # of one document
+        F.sum(F.coalesce(F.log10(F.col("c") * F.element_at(shares, F.col("class") + 1)), "spelled")).alias("rest_score"),
     )
-
-    def spell_new(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        speller = sent.value.speller
-        memo = Memo(lambda word: speller.new_word(spell(speller.path, word)), 100_000)
-        for batch in batches:
-            sums = [math.fsum([memo[w] for w in words or ()]) for words in batch.column("new").to_pylist()]
-            at = batch.schema.get_field_index("new")
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(at)), pa.array(sums, pa.float64())], names=[*batch.schema.names[:at], "new_score"])
-
-    kinds_of = "row long, doc_id long, n_tokens long, n_known long, base double, score double, more long, rest_base double, rest_score double"
-    joined = scored.drop("rare").join(rest, "row", "left").select("row", "doc_id", "n_tokens", "n_known", "base", "score", "more", "rest_base", "rest_score", "new")
     none = F.lit(0.0)
-    return joined.mapInArrow(spell_new, kinds_of + ", new_score double").select(
+    return scored.drop("rare").join(rest, "row", "left").select(
         "doc_id",
         is_held.alias("held_out"),
         "n_tokens",
         (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rest_base", none)).alias("base_score"),
-        (F.col("score") + F.coalesce("rest_score", none) + F.col("new_score")).alias("score"),
+        (F.col("score") + F.coalesce("rest_score", none)).alias("score"),
     )

@@ -160,6 +160,13 @@ def test_language_model_base(docs):
     assert all(math.isfinite(r.score) and r.score <= 1e-3 for r in got)
 
 
+def test_language_model_spells_by_all_counts(small, monkeypatch):
+    path = tokenizer_path(BYTE_BPE)
+    whole = {r.doc_id: r.score for r in rows(lm.corpus_scores(small[0], path))}
+    monkeypatch.setattr(lm, "GRAMS", 16)
+    assert {r.doc_id: r.score for r in rows(lm.corpus_scores(small[0], path))} == pytest.approx(whole, rel=1e-5)
+
+
 def test_language_model_windows_equal_one_by_one():
     rng = np.random.default_rng(1)
     w = lm.initial(np.full(lm.CLASSES, 1 / lm.CLASSES))
