@@ -15,8 +15,9 @@ a broadcast; distinct new words ask for all others by a join, so no count is lef
 
 Everything counted covers every training document: words (one shuffle, combined in the tasks
 first) and, from the table of words, pieces, pairs and triples. Training is spread out: every
-task takes Adam steps from the same weights over stretches of all its training documents, one
-stretch per ``TRAIN_EVERY`` words, and Spark averages the weights, ``ROUNDS`` times. A text is
+task takes Adam steps from the same weights over windows of all its training documents, and Spark
+averages the weights, ``ROUNDS`` times. A round takes every ``ROUNDS``-th window of ``SPAN`` words,
+the next round the next ones, so each training word is a target once. For scoring, a text is
 cut into windows of ``SPAN`` words that overlap by ``SPAN - STRIDE``; batched masked attention
 runs over many windows at once, and every word is scored in one window only.
 
@@ -60,7 +61,6 @@ LASTS = 64
 WIDTH = 16
 SPAN = 32
 STRIDE = 28
-TRAIN_EVERY = 240
 ROUNDS = 2
 BATCH = 16
 RATE = 0.02
@@ -300,22 +300,27 @@ class Model(NamedTuple):
         return record(self.speller.group[ids[0]], ids[-1] % LASTS, self.common.get(word, -1))
 
 
-def train_round(docs: DataFrame, model: Broadcast, weights: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """One round: every task learns from stretches of all its documents, Spark averages the weights."""
+def turns(words: int, shift: int, turn: int) -> range:
+    """Beginnings of a round's windows: over all rounds, every word and the end lie in exactly one window."""
+    return range((shift + turn) % ROUNDS * SPAN, words + 1, ROUNDS * SPAN)
+
+
+def train_round(docs: DataFrame, model: Broadcast, weights: dict[str, np.ndarray], turn: int) -> dict[str, np.ndarray]:
+    """One round: every task learns from its windows of all its documents, Spark averages the weights."""
     start = flatten(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, flat = Memo(model.value.entry, 200_000), start.astype(np.float64)
+        memo, flat, stop = Memo(model.value.entry, 200_000), start.astype(np.float64), record(_STOP, 0, 0)
         first, second, steps, windows = np.zeros_like(flat), np.zeros_like(flat), 0, 0
 
         def step(held: list[bytes]) -> None:
             nonlocal flat, first, second, steps
             marks = np.full((len(held), SPAN + 1, 2), (_STOP, 0))
             valid = np.zeros((len(held), SPAN), dtype=np.float32)
-            for n, records in enumerate(held):
+            for n, records in enumerate(held):  # the word before the window, then its words
                 line = np.frombuffer(records, dtype=_FIELDS)
-                marks[n, 1 : len(line) + 1, 0], marks[n, 1 : len(line) + 1, 1] = line["group"], line["last"]
-                valid[n, : len(line)] = 1
+                marks[n, : len(line), 0], marks[n, : len(line), 1] = line["group"], line["last"]
+                valid[n, : len(line) - 1] = 1
             slope = flatten(gradient(unflatten(flat), marks[:, :-1, 0], marks[:, :-1, 1], marks[:, 1:, 0], valid)).astype(np.float64)
             steps += 1
             first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
@@ -326,11 +331,9 @@ def train_round(docs: DataFrame, model: Broadcast, weights: dict[str, np.ndarray
             for text in batch.column("text").to_pylist():
                 words = lower_words(text)
                 shift = zlib.crc32(text.encode("utf-8", "surrogatepass"))
-                for at in range(0, max(1, len(words)), TRAIN_EVERY):
-                    # Stretches begin at the text's start or, after their first word, anywhere.
-                    begin = at + (shift + at) % max(1, min(TRAIN_EVERY, len(words) - at) - SPAN + 1)
-                    line = [memo[x] for x in words[begin : begin + SPAN]]
-                    held.append(b"".join(line if len(line) == SPAN else [*line, record(_STOP, 0, 0)]))
+                for begin in turns(len(words), shift, turn):
+                    line = [memo[x] for x in words[max(0, begin - 1) : begin + SPAN]]
+                    held.append(stop * (begin == 0) + b"".join(line) + stop * (len(words) < begin + SPAN))
                     windows += 1
                     if len(held) == BATCH:
                         step(held)
@@ -429,8 +432,8 @@ def corpus_scores(docs: DataFrame, path: str) -> DataFrame:
     prior[_STOP] += ends
     taught = spark.sparkContext.broadcast(model)
     weights = initial(prior / prior.sum())
-    for _ in range(ROUNDS):
-        weights = train_round(train, taught, weights)
+    for turn in range(ROUNDS):
+        weights = train_round(train, taught, weights, turn)
 
     sent = spark.sparkContext.broadcast(model._replace(weights=weights))
     floor = total + PSEUDO * (kinds + 1)

@@ -167,6 +167,27 @@ def test_language_model_spells_by_all_counts(small, monkeypatch):
     assert {r.doc_id: r.score for r in rows(lm.corpus_scores(small[0], path))} == pytest.approx(whole, rel=1e-5)
 
 
+def test_language_model_learns_from_every_word(spark):
+    for words in (0, 1, 31, 32, 33, 240, 1000):
+        for shift in (0, 7):
+            seen = Counter(k for turn in range(lm.ROUNDS) for begin in lm.turns(words, shift, turn) for k in range(begin, min(begin + lm.SPAN, words + 1)))
+            assert seen == Counter(range(words + 1))
+    path = tokenizer_path(BYTE_BPE)
+    speller = lm.make_speller(path, np.ones((4, lm._WIDE)), {}, {})
+    sent = spark.sparkContext.broadcast(lm.Model(speller, {}, {}, 0, 0, 0))
+    start = lm.initial(np.full(lm.CLASSES, 1 / lm.CLASSES))
+    taught = []
+    for k in (5, 100, 190):  # one other word, far from the others, is learnt wherever it is
+        line = ["the"] * 200
+        line[k] = "xylophone"
+        docs = spark.createDataFrame([(" ".join(line),)], "text string").coalesce(1)
+        weights = start
+        for turn in range(lm.ROUNDS):
+            weights = lm.train_round(docs, sent, weights, turn)
+        taught.append(weights["bias"][speller.group[lm.spell(path, b"xylophone")[0]]] - start["bias"][0])
+    assert min(taught) > 0
+
+
 def test_language_model_windows_equal_one_by_one():
     rng = np.random.default_rng(1)
     w = lm.initial(np.full(lm.CLASSES, 1 / lm.CLASSES))
