@@ -290,6 +290,18 @@ def test_licenses(odd):
         assert (found[0] if found else 0) == pytest.approx(max(every) if max(every) >= 0.8 else 0)
 
 
+def test_licenses_inside_longer_units():
+    shelf = licenses.Shelf(licenses.TEMPLATES)
+    assert [m[2:] for m in shelf.scan("Some text first about ships. Licensed under the Apache License, Version 2.0.")] == [("Apache-2.0", 1.0)]
+    prose = "\n".join(["the captain of the ship went to the port in the north and the crew", "for the night was the best of the year", "and the rest is said in the book"])
+    cut = licenses.TEMPLATES[2][1].split(" ")
+    wrapped = "\n".join(" ".join(cut[k : k + 8]) for k in range(0, len(cut), 8))
+    assert [m[2:] for m in shelf.scan(f"{prose}\n{wrapped}\n{prose}")] == [("MIT", 1.0)]
+    for name, text in licenses.TEMPLATES:
+        assert [m[2:] for m in shelf.scan(f"Word. {text} Word.")] == [(name, 1.0)]
+    assert shelf.scan(prose) == [] and shelf.scan("This project is licensed under the terms of the firm.") == []
+
+
 def test_top_k_against_all_pairs(spark):
     rng = np.random.default_rng(5)
     held = [(i, [float(x) for x in rng.normal(0, 1, 8)]) for i in range(400)]
