@@ -213,8 +213,6 @@ def _parted(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- preparation and models ---------------------------------------------------------
 
-# Tree counts of the registered runs; the operators default to the full sizes.
-BUDGET = attribution.TreeBudget(forest=20, tuned_forest=20, rounds=10, tuned_rounds=10, study_rounds=10)
 SLOPES = (0.2, 0.35, 0.5, 0.7)
 
 
@@ -368,11 +366,11 @@ def _tree_metrics(spark: SparkSession, folder: str, fit) -> DataFrame:
 
 
 def forest_model(spark: SparkSession, folder: str) -> DataFrame:
-    return _tree_metrics(spark, folder, lambda d, names: models.forest_model(d, names, APPS.target, BUDGET.forest, 8))
+    return _tree_metrics(spark, folder, lambda d, names: models.forest_model(d, names, APPS.target))
 
 
 def boosted_model(spark: SparkSession, folder: str) -> DataFrame:
-    return _tree_metrics(spark, folder, lambda d, names: models.boosted_model(d, names, APPS.target, BUDGET.rounds))
+    return _tree_metrics(spark, folder, lambda d, names: models.boosted_model(d, names, APPS.target))
 
 
 def calibration_fit(spark: SparkSession, folder: str) -> DataFrame:
@@ -396,13 +394,14 @@ def temporal_grid_search(spark: SparkSession, folder: str) -> DataFrame:
 def fit_freeze_score(spark: SparkSession, folder: str) -> DataFrame:
     # Customers repeat on purpose in these tables, so the overlap check is left out.
     split = validation.split_population(_apps(spark, folder), APPS, customers=False)
-    _, scored = validation.fit_freeze_score(split, APPS, 1.0)
+    _, scored = validation.fit_freeze_score(split, APPS)
     return _rounded(scored.select("app_id", "application_date", "age", "state", APPS.target, "score", "threshold", "predicted"))
 
 
 def challengers(spark: SparkSession, folder: str) -> DataFrame:
     split = validation.split_population(_apps(spark, folder), APPS, customers=False)
-    return _rounded(validation.challengers(split, APPS, 1.0))
+    _, c_value, class_weight = models.tune(validation.part(split, population.DEVELOPMENT), APPS)
+    return _rounded(validation.challengers(split, APPS, c_value, class_weight))
 
 
 def attribution_frame(spark: SparkSession, folder: str) -> DataFrame:
@@ -412,7 +411,7 @@ def attribution_frame(spark: SparkSession, folder: str) -> DataFrame:
 
 def _replay(spark: SparkSession, folder: str) -> dict:
     raw = materialize(_apps(spark, folder))
-    return attribution.faulty_pipeline_replay(raw, APPS, SEED, BUDGET)
+    return attribution.faulty_pipeline_replay(raw, APPS, SEED)
 
 
 def faulty_pipeline_replay(spark: SparkSession, folder: str) -> DataFrame:
@@ -423,24 +422,25 @@ def faulty_pipeline_replay(spark: SparkSession, folder: str) -> DataFrame:
 
 def leakage_2x2(spark: SparkSession, folder: str) -> DataFrame:
     raw = materialize(_apps(spark, folder))
-    return _rounded(attribution.leakage_2x2(raw, APPS, (7, 8), BUDGET.study_rounds))
+    return _rounded(attribution.leakage_2x2(raw, APPS))
 
 
 def repair_ladder(spark: SparkSession, folder: str) -> DataFrame:
     raw = materialize(_apps(spark, folder))
-    return _rounded(attribution.repair_ladder(raw, APPS, SEED, BUDGET.study_rounds))
+    return _rounded(attribution.repair_ladder(raw, APPS, SEED))
 
 
 def results_comparison(spark: SparkSession, folder: str) -> DataFrame:
     raw = materialize(_apps(spark, folder))
-    bad = attribution.faulty_pipeline_replay(raw, APPS, SEED, BUDGET)
+    bad = attribution.faulty_pipeline_replay(raw, APPS, SEED)
     faulty = validation.faulty_row(
         bad["metrics"], raw.count(), len(bad["features"]), bad["threshold"],
         bad["reported_auc"].first()[0], bad["contamination"].first()["contaminated_rows"],
     )
     split = validation.split_population(raw, APPS, customers=False)
-    model = validation.fit_freeze(split, APPS, 1.0)
-    corrected = validation.corrected_row(split, APPS, model, repetitions=200, mode="poisson")
+    _, c_value, class_weight = models.tune(validation.part(split, population.DEVELOPMENT), APPS)
+    model = validation.fit_freeze(split, APPS, c_value, class_weight)
+    corrected = validation.corrected_row(split, APPS, model)
     return _rounded(src.stack_frames(faulty, corrected))
 
 
@@ -534,7 +534,7 @@ def queries() -> dict[str, Query]:
         "random_split_exact": on(_parted, lambda d: d.select("source_row_id", "copy_no", "part")),
         "random_split_approximate": on(_apps, lambda d: sampling.random_split_approximate(d, SEED, "app_id").select("app_id", "part")),
         "train_test_contamination": on(_parted, lambda d: population.train_test_contamination(d, "source_row_id", "part", target)),
-        "bootstrap_ci": on(_scored, lambda d: sampling.bootstrap_ci(d, "score", target, "app_id", 20, 42, mode="rows")),
+        "bootstrap_ci": on(_scored, lambda d: sampling.bootstrap_ci(d, "score", target, "app_id")),
         "order_by_time": order_by_time,
         "stable_date_sort": on(_apps, lambda d: ordering.row_ordinal(
             d.select("application_date", "app_id"), ["application_date", "app_id"]).select("app_id", "ordinal")),

@@ -128,3 +128,36 @@ def test_nearest_other_row(spark, box):
 def test_nearest_of_one_row(spark):
     df = spark.createDataFrame([(1, 0.0)], "id int, x0 double")
     assert neighbours.nearest_other_distance(df, "id").first()["distance"] is None
+
+
+def test_registered_runs_have_full_sizes(spark, folder, monkeypatch):
+    import inspect
+
+    from loanproof import queries
+    from loanproof.operators import models, sampling
+    from loanproof.plans import attribution, validation
+
+    class Reached(Exception):
+        pass
+
+    def sizes_of(module, operator, query):
+        real = inspect.signature(getattr(module, operator))
+
+        def stop(*a, **b):
+            bound = real.bind(*a, **b)
+            bound.apply_defaults()
+            assert all(bound.arguments[n] == p.default for n, p in real.parameters.items() if n in ("trees", "depth", "rounds", "seeds", "budget", "repetitions", "mode", "c_value") and p.default is not p.empty)
+            raise Reached
+
+        monkeypatch.setattr(module, operator, stop)
+        with pytest.raises(Reached):
+            queries.queries()[query](spark, folder)
+
+    sizes_of(sampling, "bootstrap_ci", "bootstrap_ci")
+    sizes_of(attribution, "leakage_2x2", "leakage_2x2")
+    sizes_of(attribution, "repair_ladder", "repair_ladder")
+    sizes_of(attribution, "faulty_pipeline_replay", "faulty_pipeline_replay")
+    sizes_of(validation, "fit_freeze_score", "fit_freeze_score")
+    sizes_of(models, "tune", "challengers")
+    sizes_of(models, "forest_model", "forest_model")
+    sizes_of(models, "boosted_model", "boosted_model")
