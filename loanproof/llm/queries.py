@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanproof.llm import bpe, licenses, lm, packing, quality, rules, secrets, simhash, topk, toxicity
+from loanproof.llm import bpe, licenses, lm, packing, quality, rules, runs, secrets, simhash, topk, toxicity
 from loanproof.llm.common import table
 
 
@@ -57,8 +57,12 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_lm, op3_licenses, op4_simhash, op5_packing, op6_secrets, op7_quality, op8_toxicity, op9_rules, op10_topk)}
+    return {f.__name__: f for f in (op1_bpe, op2_lm, op3_licenses, op4_simhash, op5_packing, op6_secrets, op7_quality, op8_toxicity, op9_rules, op10_topk, op13_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
