@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanproof.llm import bpe, licenses, lm, packing, phrases, quality, rules, runs, secrets, simhash, topk, toxicity
+from loanproof.llm import bpe, licenses, lm, minhash, packing, phrases, quality, rules, runs, secrets, simhash, topk, toxicity
 from loanproof.llm.common import table
 
 
@@ -61,12 +61,16 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_digest(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_lm, op3_licenses, op4_simhash, op5_packing, op6_secrets, op7_quality, op8_toxicity, op9_rules, op10_topk, op11_phrases, op13_runs)}
+    return {f.__name__: f for f in (op1_bpe, op2_lm, op3_licenses, op4_simhash, op5_packing, op6_secrets, op7_quality, op8_toxicity, op9_rules, op10_topk, op11_phrases, op12_minhash, op13_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
