@@ -2,8 +2,10 @@
 
 1. Signature: a text's distinct shingles are hashed once and sorted; the top bits of a hash name one
    of ``BINS`` bins, each bin keeps its least hash. An empty bin takes the value of another bin by its
-   own fixed sequence of tries (optimal densification). ``BANDS`` bands of ``ROWS`` bins name buckets.
-   A pair at the limit of 0.85 misses all buckets once in a million.
+   own fixed sequence of tries (optimal densification). ``BANDS`` bands of ``ROWS`` bins name buckets:
+   a pair at the limit of 0.85 misses all of them once in a million. One bit of every bin goes along as
+   a sketch of 256 bits; such a pair differs in 19 of them (standard deviation 4), and only pairs that
+   differ in at most ``APART`` become candidates.
 2. Documents of equal shingle sets are one class (by 128 bits of the set's hash); only classes go on.
 3. Stars: each bucket sends edges from its members to one centre, the member that shares most buckets
    over all bands, so one bucket of m members makes m - 1 edges. Edges of classes that are known to be
@@ -11,9 +13,9 @@
 4. Edges are confirmed on the full sets: the texts of classes in any bucket of two or more are fetched
    once, found by a bit set of fixed size, and travel compressed.
 5. No link is lost by the star form: a bucket whose members without the centre are still in two or more
-   components goes another round, with new centres, twice as many each time (one per hash salt). The
-   rounds end when no bucket has such members; so every pair of a bucket is either confirmed or
-   refuted on full sets, or connected by links that were.
+   components goes another round, with new centres, ``GROWTH`` times as many (one per hash salt). The
+   rounds end when no bucket has such members; so every candidate pair of a bucket is either confirmed
+   or refuted on full sets, or connected by links that were.
 
 Defined cases: null, empty and blank texts have an empty set, are linked with nothing and kept; equal
 texts link; a null doc_id takes part, but is never a component's id and not kept; repeated rows give
@@ -39,9 +41,11 @@ from loanproof.session import materialize
 
 SHINGLE = 5
 PERCENT = 85
-BINS = 128
-ROWS = 5
+BINS = 256
+ROWS = 7
 BANDS = BINS // ROWS
+APART = 42
+GROWTH = 32
 _TRIES = 512
 _random = np.random.default_rng(12)
 _FACTORS = _random.integers(0, 2**64, size=64, dtype=np.uint64) | np.uint64(1)
@@ -71,7 +75,7 @@ def shingle_set(text: str, shingle: int = SHINGLE) -> np.ndarray:
 
 
 def band_keys(found: np.ndarray) -> np.ndarray:
-    """The bucket of each band, from a set that is not empty."""
+    """The bucket of each band, then the sketch in ``BINS / 64`` numbers, from a set that is not empty."""
     first = np.searchsorted(found, _EDGES)
     filled = np.diff(np.append(first, len(found))) > 0
     values = found[np.minimum(first, len(found) - 1)]
@@ -83,7 +87,8 @@ def band_keys(found: np.ndarray) -> np.ndarray:
     keys = np.arange(BANDS, dtype=np.uint64) * _FACTORS[0]
     for k in range(ROWS):
         keys = _mixed(keys ^ table[:, k]) * _FACTORS[k + 1]
-    return _mixed(keys)
+    sketch = np.packbits((values >> np.uint64(1)) & np.uint64(1) == 1, bitorder="little").view(np.uint64)
+    return np.concatenate((_mixed(keys), sketch))
 
 
 def alike(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -111,8 +116,9 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def _members(classes: DataFrame) -> DataFrame:
-    """(bucket, node, n, weight) of all buckets with two classes or more; weight: members of the node's buckets."""
-    rows = classes.select("node", "n", F.explode("buckets").alias("bucket"))
+    """(bucket, node, n, sketch, weight) of all buckets with two classes or more; weight: members of the node's buckets."""
+    bits = F.struct(*[F.col("buckets")[BANDS + k].alias(f"s{k}") for k in range(BINS // 64)]).alias("sketch")
+    rows = classes.select("node", "n", bits, F.explode(F.slice("buckets", 1, BANDS)).alias("bucket"))
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
     shared = materialize(rows.join(sizes, "bucket"))
     weights = shared.groupBy("node").agg(F.sum("members").alias("weight"))
@@ -160,9 +166,11 @@ def _confirm(pairs: DataFrame, held: DataFrame, shingle: int, percent: int) -> D
 def _stars(members: DataFrame, salts: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(bucket, node) of the centres, one per bucket and salt, and the edges (u, v) to them; v has the larger weight."""
     salted = members.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(salts)).alias("salt"))
-    centres = materialize(salted.agg(F.max(F.struct("weight", "node", "n", "root")).alias("c")).select("bucket", "c"))
+    centres = materialize(salted.agg(F.max(F.struct("weight", "node", "n", "root", "sketch")).alias("c")).select("bucket", "c"))
     pairs = members.join(centres, "bucket").filter("root <> c.root")
     pairs = pairs.filter(F.lit(100) * F.least("n", "c.n") >= F.lit(percent) * F.greatest("n", "c.n"))
+    apart = sum((F.bit_count(F.col(f"sketch.s{k}").bitwiseXOR(F.col(f"c.sketch.s{k}"))) for k in range(BINS // 64)), F.lit(0))
+    pairs = pairs.filter(apart <= APART)
     mine, other = F.struct("weight", "node"), F.struct("c.weight", "c.node")
     pairs = pairs.select(F.least(mine, other)["node"].alias("u"), F.greatest(mine, other)["node"].alias("v")).distinct()
     return centres.select("bucket", F.col("c.node").alias("node")), pairs
@@ -193,7 +201,7 @@ def linked(docs: DataFrame, prints: DataFrame, classes: DataFrame, shingle: int
         members = _rooted(members.join(centres, ["bucket", "node"], "left_anti"), roots)
         mixed = members.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
         members = materialize(members.join(mixed.select("bucket"), "bucket", "left_semi"))
-        salts *= 2
+        salts *= GROWTH
     return classes.select(F.col("node").alias("u"), F.col("node").alias("root")).limit(0) if roots is None else roots
 
 

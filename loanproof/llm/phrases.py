@@ -12,6 +12,9 @@ Words are counted first (one shuffle, added up in the tasks before). Each furthe
    reads a bit set of fixed size over all frequent phrases of k - 1 words; a false hit is counted
    in vain and dropped by its count. So only candidates that occur are ever built: the trie of all
    joined candidates would hold every pair of a phrase ending and one beginning with the same words.
+   Pairs pass a second safe test, as words alone leave most of them: an earlier pass counts all pairs
+   by a 27-bit hash, in sorted and compressed pieces per range of slots, and only pairs whose slot
+   reached the least count are candidates.
 4. Accepting state and next word are bincounted per chunk, added up per task, and the sums of all
    tasks and shards meet in one shuffle.
 
@@ -32,11 +35,12 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanproof.llm.bits import bit_set, contains
+from loanproof.llm.bits import BITS, bit_set, contains
 from loanproof.llm.common import LOWER_AZ
 from loanproof.session import materialize, ship_package
 
@@ -47,6 +51,7 @@ SHARD = 1 << 19
 SALTS = 32
 _CHUNK = 2_000_000  # bytes of text advanced at once
 _FLUSH = 500_000
+_RANGE = 15  # bits of a slot within its range
 _BREAK = b"\xff"  # no UTF-8 text holds this byte
 _TABLE = bytes(0xFF if chr(b) in ".,;:!?\n\x0b\x0c\r" else LOWER_AZ[b] for b in range(256))
 _FACTORS = np.random.default_rng(11).integers(0, 2**64, size=LONGEST, dtype=np.uint64) | np.uint64(1)
@@ -124,6 +129,85 @@ def phrase_keys(phrases: DataFrame) -> DataFrame:
     return phrases.select("phrase").mapInArrow(run, "key long")
 
 
+def _numbered(words: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Each word's number in the chunk (0: break), the distinct words by number, and their keys."""
+    seen: dict[bytes, int] = {_BREAK: 0}
+    ids = np.fromiter((seen.setdefault(w, len(seen)) for w in words), dtype=np.int64, count=len(words))
+    return ids, list(seen), np.fromiter(map(word_key, seen), dtype=np.uint64, count=len(seen))
+
+
+def _slot(keys: np.ndarray) -> np.ndarray:
+    mixed = (keys ^ (keys >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return (mixed >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)
+
+
+def _pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return first * _FACTORS[0] + second * _FACTORS[1]
+
+
+def heavy_pairs(docs: DataFrame, least: int) -> np.ndarray:
+    """Bits of the slots whose pairs of neighbouring words occur ``least`` times in all: at most BITS / 8 bytes.
+
+    Tasks send, per range of slots, sorted gaps and counts as compressed bytes; one task adds up a range.
+    """
+    shape = "part int, counts binary"
+
+    def packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        slots, counts = _added(held)
+        starts = np.flatnonzero(np.diff(slots >> _RANGE, prepend=-1))
+        press = zstandard.ZstdCompressor(level=1)
+        blobs = []
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(slots)]):
+            both = np.stack((np.diff(slots[a:b] & ((1 << _RANGE) - 1), prepend=0), counts[a:b])).astype("<i8")
+            blobs.append(press.compress(both.view(np.uint8).reshape(-1, 8).T.tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array((slots[starts] >> _RANGE).astype(np.int32)), pa.array(blobs, pa.binary())], names=["part", "counts"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for _, words in _chunks(batches):
+            ids, _, keys = _numbered(words)
+            at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+            held.append(np.unique(_slot(_pair_keys(keys[ids[at]], keys[ids[at + 1]])), return_counts=True))
+            if sum(len(s) for s, _ in held) > 8 * _FLUSH:
+                held = [_added(held)]
+                if len(held[0][0]) > 4 * _FLUSH:
+                    yield packed(held)
+                    held = []
+        if held:
+            yield packed(held)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdDecompressor()
+        now, sums = None, np.zeros(1 << _RANGE, dtype=np.int64)
+
+        def bits() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(sums >= least, bitorder="little").tobytes()], pa.binary())], names=["part", "counts"])
+
+        for batch in batches:
+            for part, blob in zip(batch.column("part").to_pylist(), batch.column("counts")):
+                if part != now:
+                    if now is not None:
+                        yield bits()
+                    now = part
+                    sums[:] = 0
+                gaps, counts = np.frombuffer(press.decompress(blob.as_py()), dtype=np.uint8).reshape(8, -1).T.copy().view("<i8").reshape(2, -1)
+                sums[np.cumsum(gaps)] += counts
+        if now is not None:
+            yield bits()
+
+    found = docs.mapInArrow(count, shape).repartition("part").sortWithinPartitions("part").mapInArrow(add, shape).toArrow()
+    out = np.zeros((BITS >> _RANGE, (1 << _RANGE) // 8), dtype=np.uint8)
+    for part, blob in zip(found.column("part").to_pylist(), found.column("counts").to_pylist()):
+        out[part] = np.frombuffer(blob, dtype=np.uint8)
+    return out.reshape(-1)
+
+
+def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and counts of several parts as one, in order."""
+    slots, place = np.unique(np.concatenate([s for s, _ in held]), return_inverse=True)
+    return slots, np.bincount(place, weights=np.concatenate([c for _, c in held]), minlength=len(slots)).astype(np.int64)
+
+
 class Trie(NamedTuple):
     """A double-array trie: state s goes by byte c to base[s] + c if check[] there is s. State 0 is the root."""
 
@@ -211,12 +295,10 @@ def build_trie(langs: list[str], phrases: list[bytes], words: int) -> Trie:
     return Trie(base, check, width, vocab, {int(s): phrases[k] for s, k in zip(accepting.tolist(), order.tolist())})
 
 
-def extensions(lang: str, words: list[bytes], trie: Trie, bits: np.ndarray, size: int) -> Counter:
+def extensions(lang: str, words: list[bytes], trie: Trie, bits: np.ndarray, size: int, heavy: np.ndarray | None = None) -> Counter:
     """Counts of the candidates of ``size`` words in a chunk: a phrase of the trie and the next word."""
-    seen: dict[bytes, int] = {_BREAK: 0}
-    ids = np.fromiter((seen.setdefault(w, len(seen)) for w in words), dtype=np.int64, count=len(words))
+    ids, distinct, keys = _numbered(words)
     ids = np.concatenate((ids, np.zeros(size, dtype=np.int64)))
-    distinct = list(seen)
     known = trie.vocab.get(lang, {})
     number = np.fromiter((known.get(w, -1) for w in distinct), dtype=np.int64, count=len(distinct))
     number[0] = -1
@@ -234,7 +316,11 @@ def extensions(lang: str, words: list[bytes], trie: Trie, bits: np.ndarray, size
     last = ids[at + size - 1]
     alive = last > 0
     at, state, last = at[alive], state[alive], last[alive]
-    keys = np.fromiter(map(word_key, distinct), dtype=np.uint64, count=len(distinct))[ids]
+    keys = keys[ids]
+    if heavy is not None:
+        slots = _slot(_pair_keys(keys[at], keys[at + 1]))
+        alive = (heavy[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
+        at, state, last = at[alive], state[alive], last[alive]
     tail = np.zeros(len(at), dtype=np.uint64)
     for step in range(1, size):
         tail += keys[at + step] * _FACTORS[step - 1]
@@ -246,10 +332,11 @@ def extensions(lang: str, words: list[bytes], trie: Trie, bits: np.ndarray, size
     return Counter({phrase[c // len(distinct)] + b" " + distinct[c % len(distinct)]: n for c, n in zip(codes.tolist(), counts.tolist())})
 
 
-def _level(docs: DataFrame, frequent: DataFrame, size: int, shard: int) -> DataFrame:
+def _level(docs: DataFrame, frequent: DataFrame, size: int, least: int, shard: int) -> DataFrame:
     """(lang, phrase, f) of the candidates of ``size`` words, from the frequent phrases one word shorter."""
     context = docs.sparkSession.sparkContext
     bits = context.broadcast(bit_set(phrase_keys(frequent)))
+    heavy = context.broadcast(heavy_pairs(docs, least) if size == 2 else None)
     many = frequent.count()
     shards = max(1, -(-many // shard))
     parts = None
@@ -258,16 +345,16 @@ def _level(docs: DataFrame, frequent: DataFrame, size: int, shard: int) -> DataF
         if not mine.num_rows:
             continue
         trie = context.broadcast(build_trie(mine.column("lang").to_pylist(), mine.column("phrase").to_pylist(), size - 1))
-        part = docs.mapInArrow(_counter(trie, bits, size), _COUNTED)
+        part = docs.mapInArrow(_counter(trie, bits, heavy, size), _COUNTED)
         parts = part if parts is None else parts.unionByName(part)
     return _summed(parts) if parts is not None else frequent.limit(0)
 
 
-def _counter(trie: Broadcast, bits: Broadcast, size: int):
+def _counter(trie: Broadcast, bits: Broadcast, heavy: Broadcast, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums()
         for lang, words in _chunks(batches):
-            sums.held[lang].update(extensions(lang, words, trie.value, bits.value, size))
+            sums.held[lang].update(extensions(lang, words, trie.value, bits.value, size, heavy.value))
             yield from sums.batches(_FLUSH)
         yield from sums.batches()
 
@@ -283,7 +370,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     level = words.filter(F.col("f") >= least)
     found = level.withColumn("words", F.lit(1))
     for size in range(2, longest + 1):
-        level = materialize(_level(held, level, size, shard).filter(F.col("f") >= least))
+        level = materialize(_level(held, level, size, least, shard).filter(F.col("f") >= least))
         found = found.unionByName(level.withColumn("words", F.lit(size)))
     return totals, found
 

@@ -97,7 +97,7 @@ def test_densified_bins_agree(size):
     found = minhash.shingle_set(" ".join(words))
     assert len(found) == len(shingles(" ".join(words)))
     same = minhash.band_keys(found)
-    assert len(same) == minhash.BANDS and (same == minhash.band_keys(found.copy())).all()
+    assert len(same) == minhash.BANDS + minhash.BINS // 64 and (same == minhash.band_keys(found.copy())).all()
     other = minhash.band_keys(minhash.shingle_set("else " * 3 + " ".join(words)))
     assert size < 100 or 0 < (same == other).sum()
 
