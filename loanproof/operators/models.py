@@ -17,7 +17,7 @@ from loanproof.operators.metrics import binary_metrics, calibration_figures, cv_
 from loanproof.operators.population import fold_block
 from loanproof.operators.prep import Preparation, as_vector, train_only_preparation
 from loanproof.schema import ApplicationSchema
-from loanproof.session import materialize
+from loanproof.session import materialize, small_table
 
 C_GRID = (0.01, 0.1, 1.0, 10.0)
 CLASS_WEIGHTS = (None, "balanced")
@@ -212,37 +212,60 @@ def tune(development: DataFrame, schema: ApplicationSchema) -> tuple[DataFrame,
     return table, best["C"], None if best["class_weight"] == "None" else best["class_weight"]
 
 
-def calibration_fit(df: DataFrame, score: str, target: str) -> tuple[float | None, float | None]:
-    """Intercept and slope of the outcome on the score's logit; missing for one class.
+def calibration_lines(df: DataFrame, score: str, target: str, groups: Sequence[str] = (), steps: int = 50) -> dict[tuple, tuple]:
+    """Intercept and slope of the outcome on the score's logit, per group; (None, None) for one class.
 
-    Fitted on weighted score cells, at most two rows per distinct score.
+    Newton steps from zero over the score cells, one aggregate of five sums a step for all groups.
+    The caller names groups of which there are few: samples or segments.
     """
-    cells = score_cells(df, score, target)
-    sides = F.array(
-        F.struct(F.lit(1.0).alias("label"), F.col("pos").cast("double").alias("w")),
-        F.struct(F.lit(0.0).alias("label"), F.col("neg").cast("double").alias("w")),
-    )
-    rows = cells.select(clipped_logit("score").alias("logit"), F.explode(sides).alias("x")).select("logit", "x.*")
-    rows = materialize(as_vector(rows.filter("w > 0"), ["logit"]))
-    if rows.select("label").distinct().count() < 2:
-        return None, None
-    model = LogisticRegression(regParam=0.0, maxIter=1000, tol=1e-10, weightCol="w").fit(rows)
-    return float(model.intercept), float(model.coefficients[0])
+    keys = list(groups)
+    cells = materialize(score_cells(df, score, target, keys).withColumn("logit", clipped_logit("score")))
+    sizes = cells.groupBy(*keys).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).collect()
+    lines = {tuple(r[k] for k in keys): (None, None) for r in sizes}
+    open_lines = {tuple(r[k] for k in keys): (0.0, 0.0) for r in sizes if r["p"] and r["n"]}
+    names = {**{k: cells.schema[k].dataType.simpleString() for k in keys}, "b0": "double", "b1": "double"}
+    for _ in range(steps):
+        if not open_lines:
+            break
+        now = small_table(cells.sparkSession, names, [(*k, *b) for k, b in open_lines.items()])
+        joined = cells.join(F.broadcast(now), keys) if keys else cells.crossJoin(F.broadcast(now))
+        p = 1.0 / (1.0 + F.exp(-(F.col("b0") + F.col("b1") * F.col("logit"))))
+        total, x = F.col("pos") + F.col("neg"), F.col("logit")
+        off, curve = F.col("pos") - total * p, total * p * (1.0 - p)
+        sums = joined.groupBy(*keys).agg(
+            F.sum(off).alias("g0"), F.sum(off * x).alias("g1"), F.sum(curve).alias("h0"), F.sum(curve * x).alias("h1"), F.sum(curve * x * x).alias("h2")
+        )
+        for r in sums.collect():
+            key = tuple(r[k] for k in keys)
+            det = r["h0"] * r["h2"] - r["h1"] ** 2
+            if det <= 1e-12 * r["h0"] * r["h2"]:  # one score alone, or classes that a score parts: no line
+                del open_lines[key]
+                continue
+            move = ((r["h2"] * r["g0"] - r["h1"] * r["g1"]) / det, (r["h0"] * r["g1"] - r["h1"] * r["g0"]) / det)
+            lines[key] = open_lines[key] = tuple(b + m for b, m in zip(open_lines[key], move))
+            if max(map(abs, move)) < 1e-10:
+                del open_lines[key]
+    return lines
+
+
+def calibration_fit(df: DataFrame, score: str, target: str) -> tuple[float | None, float | None]:
+    """Intercept and slope of the outcome on the score's logit; missing for one class."""
+    return calibration_lines(df, score, target).get((), (None, None))
 
 
 def calibration_summary(samples: dict[str, DataFrame], score: str, target: str) -> DataFrame:
     """Calibration figures of each named sample, with the recalibration line."""
-    out = None
+    stacked = None
     for name, df in samples.items():
-        intercept, slope = calibration_fit(df, score, target)
-        row = calibration_figures(df, score, target).select(
-            F.lit(name).alias("sample"),
-            "*",
-            F.lit(intercept).cast("double").alias("calibration_intercept"),
-            F.lit(slope).cast("double").alias("calibration_slope"),
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+        rows = df.select(F.lit(name).alias("sample"), score, target)
+        stacked = rows if stacked is None else stacked.unionByName(rows)
+    lines = calibration_lines(stacked, score, target, ["sample"])
+    table = small_table(
+        stacked.sparkSession,
+        {"sample": "string", "calibration_intercept": "double", "calibration_slope": "double"},
+        [(*k, *line) for k, line in lines.items()],
+    )
+    return calibration_figures(stacked, score, target, ["sample"]).join(F.broadcast(table), "sample", "left")
 
 
 @dataclass(frozen=True)

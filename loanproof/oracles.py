@@ -487,7 +487,7 @@ def _sampling() -> dict[str, str]:
 strata AS (SELECT score, default_12m AS y, ROW_NUMBER() OVER (PARTITION BY default_12m ORDER BY app_id) - 1 AS ordinal,
                   COUNT(*) OVER (PARTITION BY default_12m) AS n FROM scored),
 draws AS (SELECT rep, y, j, CAST('0x' || SUBSTR(MD5('42:' || rep || ':' || y || ':' || j), 1, 15) AS BIGINT) % n AS ordinal
-          FROM (SELECT y, MAX(n) AS n FROM strata GROUP BY y), RANGE(20) a(rep), RANGE((SELECT MAX(n) FROM strata)) b(j) WHERE j < n),
+          FROM (SELECT y, MAX(n) AS n FROM strata GROUP BY y), RANGE(2000) a(rep), RANGE((SELECT MAX(n) FROM strata)) b(j) WHERE j < n),
 cells AS (SELECT rep, score, SUM(y) AS pos, SUM(1 - y) AS neg FROM draws JOIN strata USING (y, ordinal) GROUP BY rep, score),
 ranked AS (SELECT *, SUM(pos) OVER (PARTITION BY rep ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
                   SUM(neg) OVER (PARTITION BY rep ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp FROM cells),
@@ -663,6 +663,41 @@ sweep AS (SELECT home_ownership, threshold, ROUND((tp + (n - p) - fp) / n, 6) AS
     }
 
 
+def _line(cells: str, key: str) -> str:
+    """Thirty Newton steps of the outcome on the logit, per key of the cells."""
+    return f"""
+cells AS MATERIALIZED ({cells}),
+line AS (
+  SELECT DISTINCT 0 AS step, {key}, 0e0 AS b0, 0e0 AS b1 FROM cells
+  UNION ALL
+  SELECT step + 1, {key}, b0 + (h2 * g0 - h1 * g1) / (h0 * h2 - h1 * h1), b1 + (h0 * g1 - h1 * g0) / (h0 * h2 - h1 * h1)
+  FROM (SELECT step, {key}, b0, b1, SUM(pos - n * p) AS g0, SUM((pos - n * p) * x) AS g1, SUM(n * p * (1 - p)) AS h0,
+               SUM(n * p * (1 - p) * x) AS h1, SUM(n * p * (1 - p) * x * x) AS h2
+        FROM (SELECT line.*, x, pos, n, 1e0 / (1e0 + EXP(-(b0 + b1 * x))) AS p FROM line JOIN cells USING ({key}) WHERE step < 30)
+        GROUP BY step, {key}, b0, b1)
+)"""
+
+
+def _models() -> dict[str, str]:
+    x = "LN(GREATEST(LEAST(score, 1 - 1e-6), 1e-6) / (1 - GREATEST(LEAST(score, 1 - 1e-6), 1e-6)))"
+    cells = f"SELECT {{}}, {x} AS x, SUM(default_12m) AS pos, COUNT(*) AS n FROM {{}} GROUP BY 1, 2"
+    shown = "ROUND(b0, 6) AS calibration_intercept, ROUND(b1, 6) AS calibration_slope"
+    scored = "*, ROUND(1e0 / (1e0 + EXP(1.5e0 + 0.35e0 * num_open_accounts - 4e0 * debt_to_income)), 6) AS score"
+    return {
+        "calibration_fit": _with(f"SELECT {shown} FROM line WHERE step = 30", _SCORED, _line(cells.format("1 AS k", "scored"), "k")).replace("WITH", "WITH RECURSIVE", 1),
+        "calibration_summary": _with(
+            f"""
+SELECT sample, rows, positives, ROUND(observed_rate, 6) AS observed_rate, ROUND(mean_score, 6) AS mean_score,
+       ROUND(expected_over_observed, 6) AS expected_over_observed, ROUND(brier_score, 6) AS brier_score,
+       ROUND(observed_rate * (1 - observed_rate), 6) AS no_skill_brier, {shown}
+FROM (SELECT sample, COUNT(*) AS rows, CAST(SUM(default_12m) AS BIGINT) AS positives, AVG(default_12m) AS observed_rate, AVG(score) AS mean_score,
+             SUM(score) / NULLIF(SUM(default_12m), 0) AS expected_over_observed, AVG((score - default_12m) * (score - default_12m)) AS brier_score
+      FROM held GROUP BY sample) JOIN line USING (sample) WHERE step = 30""",
+            _DEDUP, _ELIGIBLE, _SPLIT, f"held AS MATERIALIZED (SELECT split AS sample, {scored} FROM split WHERE split <> 'development')",
+            _line(cells.format("sample", "held"), "sample")).replace("WITH", "WITH RECURSIVE", 1),
+    }
+
+
 def _near() -> dict[str, str]:
     cols = APPS.near_duplicate
     fills = ", ".join(f"(SELECT QUANTILE_CONT(CAST({c} AS DOUBLE), 0.5) FROM apps) AS fill_{c}" for c in cols)
@@ -701,6 +736,6 @@ FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id GROUP BY a.vec_id"""
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for part in (_sources, _projections, _sets, _aggregates, _ranks, _sampling, _preparation, _selection, _near):
+    for part in (_sources, _projections, _sets, _aggregates, _ranks, _sampling, _preparation, _selection, _models, _near):
         out.update(part())
     return out

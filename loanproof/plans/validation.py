@@ -19,7 +19,7 @@ from loanproof.operators.population import (
     eligible_population,
 )
 from loanproof.operators.prep import fit_preparation
-from loanproof.operators.sampling import bootstrap_ci
+from loanproof.operators.sampling import bootstrap_tree
 from loanproof.schema import ApplicationSchema
 from loanproof.session import materialize
 
@@ -136,14 +136,14 @@ def _confusion_text():
 
 
 def corrected_row(
-    split: DataFrame, schema: ApplicationSchema, model: FrozenModel, repetitions: int = 2000, mode: str = "rows"
+    split: DataFrame, schema: ApplicationSchema, model: FrozenModel, repetitions: int = 2000
 ) -> DataFrame:
     """One result row: metrics of the final rows with bootstrap intervals."""
     final = materialize(model.score(part(split, FINAL)).select(schema.row_id, schema.target, "score"))
     found = binary_metrics(final, "score", schema.target, model.threshold)
     ends = {
         r["metric"]: (r["ci_low"], r["ci_high"])
-        for r in bootstrap_ci(final, "score", schema.target, schema.row_id, repetitions, mode=mode).collect()
+        for r in bootstrap_tree(final, "score", schema.target, repetitions).collect()
     }
     bounds = {}
     for short, metric in (("roc_auc", "roc_auc"), ("pr_auc", "pr_auc"), ("brier", "brier_score")):
@@ -161,7 +161,7 @@ def corrected_row(
         threshold=model.threshold,
         roc_auc_reported_binary=None,
         test_rows_also_in_training=0,
-        notes=f"{repetitions} bootstrap repetitions ({mode}), C {model.c_value}, class weight {model.class_weight}",
+        notes=f"{repetitions} bootstrap repetitions, C {model.c_value}, class weight {model.class_weight}",
         **bounds,
     )
 

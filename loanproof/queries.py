@@ -374,10 +374,8 @@ def boosted_model(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def calibration_fit(spark: SparkSession, folder: str) -> DataFrame:
-    intercept, slope = models.calibration_fit(_scored(spark, folder), "score", APPS.target)
-    return small_table(
-        spark, {"calibration_intercept": "double", "calibration_slope": "double"}, [(intercept, slope)]
-    )
+    line = models.calibration_fit(_scored(spark, folder), "score", APPS.target)
+    return _rounded(small_table(spark, {"calibration_intercept": "double", "calibration_slope": "double"}, [line]))
 
 
 def calibration_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -535,6 +533,7 @@ def queries() -> dict[str, Query]:
         "random_split_approximate": on(_apps, lambda d: sampling.random_split_approximate(d, SEED, "app_id").select("app_id", "part")),
         "train_test_contamination": on(_parted, lambda d: population.train_test_contamination(d, "source_row_id", "part", target)),
         "bootstrap_ci": on(_scored, lambda d: sampling.bootstrap_ci(d, "score", target, "app_id")),
+        "bootstrap_tree": on(_scored, lambda d: sampling.bootstrap_tree(d, "score", target)),
         "order_by_time": order_by_time,
         "stable_date_sort": on(_apps, lambda d: ordering.row_ordinal(
             d.select("application_date", "app_id"), ["application_date", "app_id"]).select("app_id", "ordinal")),

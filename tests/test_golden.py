@@ -87,16 +87,40 @@ INTERVALS = {
 
 
 def test_bootstrap_intervals(golden):
-    found = {r["metric"]: r for r in sampling.bootstrap_ci(golden, P, Y, "row_id", 2000, 42, mode="rows").collect()}
+    found = {r["metric"]: r for r in sampling.bootstrap_ci(golden, P, Y, "row_id", 2000, 42).collect()}
     for metric, (low, high) in INTERVALS.items():
         close(found[metric]["ci_low"], low, 0.01)
         close(found[metric]["ci_high"], high, 0.02)
 
 
-def test_poisson_bootstrap_is_near_the_row_bootstrap(golden):
-    found = {r["metric"]: r for r in sampling.bootstrap_ci(golden, P, Y, "row_id", 1000, 42, mode="poisson").collect()}
-    close(found["roc_auc"]["ci_low"], INTERVALS["roc_auc"][0], 0.03)
-    close(found["roc_auc"]["ci_high"], INTERVALS["roc_auc"][1], 0.03)
+@pytest.mark.parametrize("parts", ["1", "8"])
+def test_count_tree_intervals(spark, golden, parts):
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        found = {r["metric"]: r for r in sampling.bootstrap_tree(golden, P, Y).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    for metric, (low, high) in INTERVALS.items():
+        close(found[metric]["ci_low"], low, 0.01)
+        close(found[metric]["ci_high"], high, 0.025 if metric == "pr_auc" else 0.01)  # 9 positives: the end moves by 0.01 with the seed
+
+
+def test_count_tree_keeps_class_totals():
+    sizes = [3, 0, 40, 7, 0, 950]
+    parts = [sampling.block_draws(sizes, k, 500, 42, 1) for k in range(len(sizes))]
+    assert (sum(here for here, _ in parts) == sum(sizes)).all()
+    running = 0
+    for size, (here, before) in zip(sizes, parts):
+        assert (before == running).all() and (size or not here.any())
+        assert abs(here.mean() - size) <= 4 * max(1, size) ** 0.5 / 500**0.5
+        running = running + here
+
+
+def test_bootstrap_of_one_class(spark):
+    rows = spark.createDataFrame([(0.1, 0), (0.2, 0), (None, 1), (0.3, None)], "p double, y int")
+    found = {r["metric"]: r["ci_low"] for r in sampling.bootstrap_tree(rows, "p", "y", 50).collect()}
+    assert found.get("roc_auc") is None and found.get("pr_auc") is None and 0.01 <= found["brier_score"] <= 0.04
+    assert not [r for r in sampling.bootstrap_tree(rows.limit(0), "p", "y", 50).collect() if r["ci_low"] is not None]
 
 
 # AP, AUC and Brier score per fold of each grid point, and the published
