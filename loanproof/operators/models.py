@@ -1,18 +1,20 @@
-"""Model fits with MLlib and scoring as plain column expressions."""
+"""Logistic fits by Newton steps over one aggregate, MLlib trees, and scoring as column expressions."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loanproof.functions.columns import clipped_logit, is_odd_hash
+from loanproof.functions.columns import clipped_logit
 from loanproof.operators.metrics import binary_metrics, calibration_figures, cv_summary, score_cells, tolerance_select
 from loanproof.operators.population import fold_block
 from loanproof.operators.prep import Preparation, as_vector, train_only_preparation
@@ -24,6 +26,9 @@ CLASS_WEIGHTS = (None, "balanced")
 # Fits that run at the same time; each is a chain of small jobs over one cached table.
 CONCURRENT_FITS = 4
 MLLIB_MAX_DEPTH = 30
+# Each row keeps its node in every tree, cut by a checkpoint every few passes, so that the trees do not
+# travel with the tasks; the larger room for statistics serves more nodes a pass.
+TREE_RUN = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 1024}
 
 
 @dataclass(frozen=True)
@@ -53,56 +58,111 @@ def class_weights(df: DataFrame, target: str) -> DataFrame:
     return sizes.withColumn("weight", total / (2.0 * F.col("rows")))
 
 
-def training_vectors(df: DataFrame, columns: Sequence[str], target: str, row_id: str) -> DataFrame:
-    """The rows of a fit with a penalized intercept, written once.
+def fit_rows(df: DataFrame, columns: Sequence[str], target: str, group: Column | None = None) -> DataFrame:
+    """(grp, y, x): the group, the outcome and the features with a last one for the intercept."""
+    x = F.array(*[F.col(c).cast("double") for c in columns], F.lit(1.0))
+    return df.select((F.lit(0) if group is None else group).cast("int").alias("grp"), F.col(target).cast("double").alias("y"), x.alias("x"))
 
-    MLlib leaves its intercept unpenalized and ignores constant columns. So the intercept
-    becomes a column of ones, and half of the rows (by hash of the id) are mirrored: all
-    features negated and the label swapped. That leaves the loss without intercept as it
-    was, while the column of ones now varies.
-    """
-    sign = F.when(is_odd_hash(row_id), -1.0).otherwise(1.0)
-    mirrored = df.select(
-        F.col(target).cast("double").alias("y"),
-        F.when(is_odd_hash(row_id), 1.0 - F.col(target)).otherwise(F.col(target).cast("double")).alias("label"),
-        *[(sign * F.col(c)).alias(f"f{i}") for i, c in enumerate(columns)],
-        sign.alias("one"),
-    )
-    vectors = as_vector(mirrored, [*[f"f{i}" for i in range(len(columns))], "one"])
-    return materialize(vectors.select("y", "label", "features"))
 
+@dataclass(frozen=True)
+class FitPoint:
+    """One fit over the rows of a group: C, weights of both classes, and whether the intercept is penalized."""
+
+    group: int
+    c_value: float
+    weights: tuple[float, float] = (1.0, 1.0)
+    penalized: bool = True
+
+
+def _newton_sums(points: Sequence[FitPoint], betas: np.ndarray) -> Callable:
+    """Per task and point the loss, the gradient and the upper half of the Hessian, as (point, slot, value)."""
+    width = betas.shape[1]
+    upper = np.triu_indices(width)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((len(points), 1 + width + len(upper[0])))
+        for batch in batches:
+            groups, y = batch.column("grp").to_numpy(), batch.column("y").to_numpy()
+            rows = batch.column("x").flatten().to_numpy().reshape(-1, width)
+            for k, point in enumerate(points):
+                mine = groups == point.group
+                x, label = rows[mine], y[mine]
+                if not len(x):
+                    continue
+                line = x @ betas[k]
+                p = 1.0 / (1.0 + np.exp(-np.clip(line, -700, 700)))
+                w = np.where(label == 1, point.weights[1], point.weights[0])
+                sums[k, 0] += (w * (np.logaddexp(0.0, line) - label * line)).sum()
+                sums[k, 1 : 1 + width] += x.T @ (w * (p - label))
+                sums[k, 1 + width :] += ((x * (w * p * (1 - p))[:, None]).T @ x)[upper]
+        many = sums.shape[1]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(np.arange(len(points)), many)), pa.array(np.tile(np.arange(many), len(points))), pa.array(sums.ravel())],
+            names=["point", "slot", "value"],
+        )
+
+    return run
 
-def fit_logistic_vectors(
-    vectors: DataFrame,
-    columns: Sequence[str],
-    sizes: tuple[int, int],
-    c_value: float = 1.0,
-    class_weight: str | None = None,
-    max_iter: int = 500,
-    tol: float = 1e-7,
-) -> LogisticModel:
-    """L2 logistic regression: minimizes b.b / 2 + C * sum of weighted losses, intercept included."""
+
+def newton_fits(rows: DataFrame, points: Sequence[FitPoint], width: int, steps: int = 100, tol: float = 1e-9) -> np.ndarray:
+    """Coefficients of all points, from one aggregate over the rows per Newton step.
+
+    Minimizes b.b / 2 + C * sum of weighted losses for each point. Every step sums loss, gradient and
+    Hessian of all open points in one pass: points x width^2 numbers a task, whatever the rows. A step
+    that does not lower the loss is halved.
+    """
+    betas = np.zeros((len(points), width))
+    moves = np.zeros_like(betas)
+    losses = np.full(len(points), np.inf)
+    ridge = np.ones((len(points), width))
+    for k, point in enumerate(points):
+        ridge[k, -1] = float(point.penalized)
+    upper = np.triu_indices(width)
+    live = list(range(len(points)))
+    for _ in range(steps):
+        if not live:
+            break
+        sums = np.zeros((len(live), 1 + width + len(upper[0])))
+        parts = rows.mapInArrow(_newton_sums([points[k] for k in live], betas[live]), "point long, slot long, value double")
+        for r in parts.groupBy("point", "slot").agg(F.sum("value").alias("value")).toArrow().to_pylist():
+            sums[r["point"], r["slot"]] = r["value"]
+        still = []
+        for row, k in zip(sums, live):
+            c = points[k].c_value
+            loss = (ridge[k] * betas[k] ** 2).sum() / 2 + c * row[0]
+            if loss > losses[k] * (1 + 1e-12) + 1e-12:
+                moves[k] /= 2
+                betas[k] -= moves[k]
+            else:
+                losses[k] = loss
+                half = np.zeros((width, width))
+                half[upper] = row[1 + width :]
+                curve = c * (half + np.triu(half, 1).T) + np.diag(ridge[k])
+                moves[k] = -np.linalg.lstsq(curve, ridge[k] * betas[k] + c * row[1 : 1 + width], rcond=None)[0]
+                betas[k] += moves[k]
+            if np.abs(moves[k]).max() > tol:
+                still.append(k)
+        live = still
+    return betas
+
+
+def point_weights(sizes: tuple[int, int], class_weight: str | None) -> tuple[float, float]:
     negatives, positives = sizes
-    n = negatives + positives
     if not negatives or not positives:
         raise ValueError("a fit needs rows of both classes")
-    rows = vectors
-    estimator = LogisticRegression(
-        fitIntercept=False, standardization=False, regParam=1.0 / (c_value * n), maxIter=max_iter, tol=tol
-    )
-    if class_weight == "balanced":
-        heavy = F.when(F.col("y") == 1, n / (2.0 * positives)).otherwise(n / (2.0 * negatives))
-        rows = vectors.withColumn("weight", heavy)
-        estimator = estimator.setWeightCol("weight")
-    beta = [float(b) for b in estimator.fit(rows).coefficients]
-    return LogisticModel(tuple(columns), tuple(beta[:-1]), beta[-1])
+    n = negatives + positives
+    return (n / (2.0 * negatives), n / (2.0 * positives)) if class_weight == "balanced" else (1.0, 1.0)
+
 
+def _model(columns: Sequence[str], beta: np.ndarray) -> LogisticModel:
+    return LogisticModel(tuple(columns), tuple(float(b) for b in beta[:-1]), float(beta[-1]))
 
-def logistic_l2(
-    df: DataFrame, columns: Sequence[str], target: str, row_id: str, c_value: float = 1.0, class_weight: str | None = None
-) -> LogisticModel:
-    vectors = training_vectors(df, columns, target, row_id)
-    return fit_logistic_vectors(vectors, columns, class_sizes(vectors, "y"), c_value, class_weight)
+
+def logistic_l2(df: DataFrame, columns: Sequence[str], target: str, c_value: float = 1.0, class_weight: str | None = None) -> LogisticModel:
+    """L2 logistic regression with a penalized intercept."""
+    rows = materialize(fit_rows(df, columns, target))
+    point = FitPoint(0, c_value, point_weights(class_sizes(rows, "y"), class_weight))
+    return _model(columns, newton_fits(rows, [point], len(columns) + 1)[0])
 
 
 def run_together(spark: SparkSession, jobs: Sequence[Callable]) -> list:
@@ -139,7 +199,7 @@ def fit_pipeline(
         schema.categorical if categorical is None else categorical,
     )
     wide = prep.transform(train, [schema.row_id, schema.target])
-    return ScoringPipeline(prep, logistic_l2(wide, prep.names, schema.target, schema.row_id, c_value, class_weight))
+    return ScoringPipeline(prep, logistic_l2(wide, prep.names, schema.target, c_value, class_weight))
 
 
 def temporal_grid_search(
@@ -151,29 +211,41 @@ def temporal_grid_search(
 ) -> DataFrame:
     """Fold metrics of each grid point: one row per (C, class weight, fold).
 
-    The preprocessing of a fold is learned once and its vectors are written once; all grid
-    points are fitted on them. Validation rows get one score column per grid point, and the
-    metrics of all grid points and folds come from one grouped pass.
+    The preprocessing of a fold is learned once. The training rows of all folds are stacked, and all
+    points of all folds are fitted together (see ``newton_fits``). Validation rows get one score column
+    per grid point, and the metrics of all grid points and folds come from one grouped pass.
     """
     keep = [schema.row_id, schema.date, schema.target, *schema.features]
     blocked = fold_block(materialize(development.select(*keep)), schema, folds)
     spark = development.sparkSession
     grid = [(w, c) for w in weights for c in c_grid]
 
-    def fold_scores(fold: int) -> DataFrame:
+    def prepared(fold: int):
         train = blocked.filter(F.col("block") < fold)
         valid = blocked.filter(F.col("block") == fold)
-        if 0 in class_sizes(valid, schema.target) + class_sizes(train, schema.target):
+        sizes = class_sizes(train, schema.target)
+        if 0 in class_sizes(valid, schema.target) + sizes:
             raise ValueError(f"fold {fold} lacks one of the classes")
         prep = train_only_preparation(train, schema.numeric, schema.categorical)
-        wide = prep.transform(train, [schema.row_id, schema.target])
-        vectors = training_vectors(wide, prep.names, schema.target, schema.row_id)
-        sizes = class_sizes(vectors, "y")
-        models = run_together(
-            spark, [lambda w=w, c=c: fit_logistic_vectors(vectors, prep.names, sizes, c, w) for w, c in grid]
-        )
-        made = prep.transform(valid, [schema.target])
-        points = F.array(
+        return prep, sizes, prep.transform(train, [schema.target]), prep.transform(valid, [schema.target])
+
+    made = run_together(spark, [lambda f=f: prepared(f) for f in range(1, folds + 1)])
+    width = 1 + max(len(prep.names) for prep, *_ in made)
+    stacked, points = None, []
+    for fold, (prep, sizes, train, _) in enumerate(made, 1):
+        # Folds may know different levels: the rows are as wide as the widest, the rest is zero.
+        short = [F.lit(0.0).alias(f"_none{i}") for i in range(width - 1 - len(prep.names))]
+        wide = train.select("*", *short)
+        rows = fit_rows(wide, [*prep.names, *[f"_none{i}" for i in range(len(short))]], schema.target, F.lit(fold))
+        stacked = rows if stacked is None else stacked.unionByName(rows)
+        points += [FitPoint(fold, float(c), point_weights(sizes, w)) for w, c in grid]
+    betas = newton_fits(materialize(stacked), points, width)
+
+    scored = []
+    for fold, (prep, sizes, _, valid) in enumerate(made, 1):
+        of_fold = betas[(fold - 1) * len(grid) : fold * len(grid)]
+        models = [_model(prep.names, np.append(b[: len(prep.names)], b[-1])) for b in of_fold]
+        shown = F.array(
             *[
                 F.struct(
                     F.lit(float(c)).alias("C"),
@@ -186,9 +258,7 @@ def temporal_grid_search(
                 for (w, c), m in zip(grid, models)
             ]
         )
-        return made.select(schema.target, F.explode(points).alias("x")).select(schema.target, "x.*")
-
-    scored = run_together(spark, [lambda f=f: fold_scores(f) for f in range(1, folds + 1)])
+        scored.append(valid.select(schema.target, F.explode(shown).alias("x")).select(schema.target, "x.*"))
     rows = scored[0]
     for part in scored[1:]:
         rows = rows.unionByName(part)
@@ -292,6 +362,7 @@ def forest_model(
 ) -> VectorModel:
     """Random forest; no depth limit means MLlib's own limit of 30."""
     estimator = RandomForestClassifier(
+        **TREE_RUN,
         numTrees=trees,
         maxDepth=MLLIB_MAX_DEPTH if depth is None else depth,
         minInstancesPerNode=1,
@@ -310,7 +381,7 @@ def boosted_model(
     depth: int = 3,
     seed: int = 7,
 ) -> VectorModel:
-    estimator = GBTClassifier(maxIter=rounds, stepSize=step, maxDepth=depth, seed=seed)
+    estimator = GBTClassifier(**TREE_RUN, maxIter=rounds, stepSize=step, maxDepth=depth, seed=seed)
     return _fit_vector_model(estimator, train, columns, target)
 
 
@@ -324,15 +395,9 @@ class LinearVectorModel:
         return df.withColumn(name, self.model.probability())
 
 
-def unpenalized_intercept_logistic(train: DataFrame, columns: Sequence[str], target: str, c_value: float) -> LinearVectorModel:
-    """L2 logistic regression with a free intercept."""
-    n = train.count()
-    rows = as_vector(train, columns, "_features").select(F.col(target).cast("double").alias("label"), "_features")
-    fitted = LogisticRegression(
-        featuresCol="_features", standardization=False, regParam=1.0 / (c_value * max(n, 1)), maxIter=500, tol=1e-8
-    ).fit(rows)
-    return LinearVectorModel(
-        LogisticModel(tuple(columns), tuple(float(b) for b in fitted.coefficients), float(fitted.intercept))
-    )
-
-
+def unpenalized_intercept_logistics(train: DataFrame, columns: Sequence[str], target: str, c_values: Sequence[float]) -> list[LinearVectorModel]:
+    """L2 logistic regressions with a free intercept, one per C, fitted together."""
+    rows = materialize(fit_rows(train, columns, target))
+    point_weights(class_sizes(rows, "y"), None)
+    betas = newton_fits(rows, [FitPoint(0, float(c), penalized=False) for c in c_values], len(columns) + 1)
+    return [LinearVectorModel(_model(columns, b)) for b in betas]

@@ -18,7 +18,7 @@ from loanproof.operators.metrics import (
     threshold_sweep,
     top_features,
 )
-from loanproof.operators.models import boosted_model, forest_model, run_together, unpenalized_intercept_logistic
+from loanproof.operators.models import boosted_model, forest_model, run_together, unpenalized_intercept_logistics
 from loanproof.operators.population import chronological_cut, train_test_contamination
 from loanproof.operators.prep import (
     Preparation,
@@ -112,7 +112,7 @@ def faulty_pipeline_replay(
 
     spark = raw.sparkSession
     families: list[tuple[str, Callable]] = [
-        ("logistic", lambda: unpenalized_intercept_logistic(train, features, target, 1.0)),
+        ("logistic", lambda: unpenalized_intercept_logistics(train, features, target, [1.0])[0]),
         ("random_forest", lambda: forest_model(train, features, target, budget.forest, seed=seed)),
         ("gradient_boosting", lambda: boosted_model(train, features, target, budget.rounds, seed=seed)),
     ]
@@ -124,7 +124,7 @@ def faulty_pipeline_replay(
             for d in (3, 5, 8, 12, None)
         ],
         "logistic": [
-            (str(c), lambda c=c: unpenalized_intercept_logistic(train, features, target, c))
+            (str(c), lambda c=c: unpenalized_intercept_logistics(train, features, target, [c])[0])
             for c in (0.01, 0.1, 1, 10, 100)
         ],
         "gradient_boosting": [

@@ -345,17 +345,16 @@ def _fitted_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
 
 def logistic_l2(spark: SparkSession, folder: str) -> DataFrame:
     train, _, names = _fitted_parts(spark, folder)
-    model = models.logistic_l2(train, names, APPS.target, "app_id", 1.0)
+    model = models.logistic_l2(train, names, APPS.target, 1.0)
     pairs = [*zip(names, model.coefficients), ("intercept", model.intercept)]
     return _rounded(small_table(spark, {"feature": "string", "coefficient": "double"}, pairs))
 
 
 def logistic_grid(spark: SparkSession, folder: str) -> DataFrame:
     train, test, names = _fitted_parts(spark, folder)
-    points = F.array(*[
-        F.struct(F.lit(float(c)).alias("C"), models.unpenalized_intercept_logistic(train, names, APPS.target, c).model.probability().alias("score"))
-        for c in (0.01, 0.1, 1, 10, 100)
-    ])
+    grid = (0.01, 0.1, 1.0, 10.0, 100.0)
+    fitted = models.unpenalized_intercept_logistics(train, names, APPS.target, grid)
+    points = F.array(*[F.struct(F.lit(c).alias("C"), m.model.probability().alias("score")) for c, m in zip(grid, fitted)])
     long = test.select(APPS.target, F.explode(points).alias("x")).select(APPS.target, "x.*")
     return _rounded(metrics.binary_metrics(long, "score", APPS.target, 0.5, ["C"]))
 
