@@ -3,19 +3,17 @@
 1. Signature: a text's distinct shingles are hashed once and sorted; the top bits of a hash name one
    of ``BINS`` bins, each bin keeps its least hash. An empty bin takes the value of another bin by its
    own fixed sequence of tries (optimal densification). ``BANDS`` bands of ``ROWS`` bins name buckets:
-   a pair at the limit of 0.85 misses all of them once in a million. One bit of every bin goes along as
-   a sketch of 256 bits; such a pair differs in 19 of them (standard deviation 4), and only pairs that
-   differ in at most ``APART`` become candidates.
+   a pair at the limit of 0.85 misses all of them once in a million.
 2. Documents of equal shingle sets are one class (by 128 bits of the set's hash); only classes go on.
 3. Stars: each bucket sends edges from its members to one centre, the member that shares most buckets
-   over all bands, so one bucket of m members makes m - 1 edges. Edges of classes that are known to be
-   connected, or too unequal in size, are not made.
+   over all bands, so one bucket of m members makes m - 1 edges, less those too unequal in size.
 4. Edges are confirmed on the full sets: the texts of classes in any bucket of two or more are fetched
    once, found by a bit set of fixed size, and travel compressed.
-5. No link is lost by the star form: a bucket whose members without the centre are still in two or more
-   components goes another round, with new centres, ``GROWTH`` times as many (one per hash salt). The
-   rounds end when no bucket has such members; so every candidate pair of a bucket is either confirmed
-   or refuted on full sets, or connected by links that were.
+5. No link is lost by the star form: where the members of a bucket besides its centre are still in two
+   or more components, the bucket is solved whole, in cells of at most two chunks of ``CHUNK`` members.
+   A cell counts the overlaps of all its full sets as bit rows over their shared shingles and returns
+   star links only, never pairs. So every pair of a bucket is confirmed or refuted on full sets, or
+   connected by links that were.
 
 Defined cases: null, empty and blank texts have an empty set, are linked with nothing and kept; equal
 texts link; a null doc_id takes part, but is never a component's id and not kept; repeated rows give
@@ -36,7 +34,7 @@ from pyspark.sql import functions as F
 
 from loanproof.llm.bits import bit_set, contains
 from loanproof.llm.common import Memo, lower_words, texts
-from loanproof.llm.simhash import star_components
+from loanproof.llm.simhash import smallest_reached, star_components
 from loanproof.session import materialize
 
 SHINGLE = 5
@@ -44,9 +42,9 @@ PERCENT = 85
 BINS = 256
 ROWS = 7
 BANDS = BINS // ROWS
-APART = 42
-GROWTH = 32
+CHUNK = 512
 _TRIES = 512
+_COLUMNS = 1 << 14
 _random = np.random.default_rng(12)
 _FACTORS = _random.integers(0, 2**64, size=64, dtype=np.uint64) | np.uint64(1)
 #: Where each empty bin looks: fixed tries, then every bin once.
@@ -75,7 +73,7 @@ def shingle_set(text: str, shingle: int = SHINGLE) -> np.ndarray:
 
 
 def band_keys(found: np.ndarray) -> np.ndarray:
-    """The bucket of each band, then the sketch in ``BINS / 64`` numbers, from a set that is not empty."""
+    """The bucket of each band, from a set that is not empty."""
     first = np.searchsorted(found, _EDGES)
     filled = np.diff(np.append(first, len(found))) > 0
     values = found[np.minimum(first, len(found) - 1)]
@@ -87,8 +85,7 @@ def band_keys(found: np.ndarray) -> np.ndarray:
     keys = np.arange(BANDS, dtype=np.uint64) * _FACTORS[0]
     for k in range(ROWS):
         keys = _mixed(keys ^ table[:, k]) * _FACTORS[k + 1]
-    sketch = np.packbits((values >> np.uint64(1)) & np.uint64(1) == 1, bitorder="little").view(np.uint64)
-    return np.concatenate((_mixed(keys), sketch))
+    return _mixed(keys)
 
 
 def alike(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -116,9 +113,8 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def _members(classes: DataFrame) -> DataFrame:
-    """(bucket, node, n, sketch, weight) of all buckets with two classes or more; weight: members of the node's buckets."""
-    bits = F.struct(*[F.col("buckets")[BANDS + k].alias(f"s{k}") for k in range(BINS // 64)]).alias("sketch")
-    rows = classes.select("node", "n", bits, F.explode(F.slice("buckets", 1, BANDS)).alias("bucket"))
+    """(bucket, node, n, weight) of all buckets with two classes or more; weight: members of the node's buckets."""
+    rows = classes.select("node", "n", F.explode("buckets").alias("bucket"))
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
     shared = materialize(rows.join(sizes, "bucket"))
     weights = shared.groupBy("node").agg(F.sum("members").alias("weight"))
@@ -163,45 +159,94 @@ def _confirm(pairs: DataFrame, held: DataFrame, shingle: int, percent: int) -> D
     return materialize(pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long"))
 
 
-def _stars(members: DataFrame, salts: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(bucket, node) of the centres, one per bucket and salt, and the edges (u, v) to them; v has the larger weight."""
-    salted = members.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(salts)).alias("salt"))
-    centres = materialize(salted.agg(F.max(F.struct("weight", "node", "n", "root", "sketch")).alias("c")).select("bucket", "c"))
-    pairs = members.join(centres, "bucket").filter("root <> c.root")
+def _stars(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(bucket, node) of the centre of each bucket, and the edges (u, v) to it."""
+    centres = materialize(members.groupBy("bucket").agg(F.max(F.struct("weight", "node", "n")).alias("c")))
+    pairs = members.join(centres, "bucket").filter("node <> c.node")
     pairs = pairs.filter(F.lit(100) * F.least("n", "c.n") >= F.lit(percent) * F.greatest("n", "c.n"))
-    apart = sum((F.bit_count(F.col(f"sketch.s{k}").bitwiseXOR(F.col(f"c.sketch.s{k}"))) for k in range(BINS // 64)), F.lit(0))
-    pairs = pairs.filter(apart <= APART)
-    mine, other = F.struct("weight", "node"), F.struct("c.weight", "c.node")
-    pairs = pairs.select(F.least(mine, other)["node"].alias("u"), F.greatest(mine, other)["node"].alias("v")).distinct()
-    return centres.select("bucket", F.col("c.node").alias("node")), pairs
+    return centres.select("bucket", F.col("c.node").alias("node")), pairs.select(F.col("node").alias("u"), F.col("c.node").alias("v")).distinct()
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections of sorted sets, by bit rows over the hashes that two or more hold."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    values, place, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    kept = counts[place] > 1
+    column = (np.cumsum(counts > 1) - 1)[place[kept]]
+    owner = owner[kept]
+    width = int((counts > 1).sum())
+    out = np.zeros((len(sets), len(sets)), dtype=np.int64)
+    for start in range(0, width, _COLUMNS):
+        inside = (column >= start) & (column < start + _COLUMNS)
+        rows = np.zeros((len(sets), _COLUMNS), dtype=bool)
+        rows[owner[inside], column[inside] - start] = True
+        words = np.packbits(rows, axis=1).view(np.uint64)
+        words = words[:, words.any(axis=0)]
+        for k in range(len(sets)):
+            out[k] += np.bitwise_count(words[k] & words).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _solve_cells(shingle: int, percent: int):
+    """Star links of every cell of a partition sorted by cell."""
+
+    def links(nodes: list[int], roots: list[int], packed: list[bytes]) -> pa.RecordBatch:
+        unpack = zstandard.ZstdDecompressor()
+        order = sorted({n: k for k, n in enumerate(nodes)}.values())
+        if len({roots[k] for k in order}) < 2:
+            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, names=["u", "v"])
+        sets = [shingle_set(unpack.decompress(packed[k]).decode("utf-8", "surrogatepass"), shingle) for k in order]
+        sizes = np.array([len(x) for x in sets])
+        both = overlaps(sets)
+        a, b = np.nonzero(np.triu(100 * both >= percent * (sizes[:, None] + sizes - both), 1))
+        label = smallest_reached(len(sets), a, b)
+        moved = np.flatnonzero(label != np.arange(len(sets)))
+        ids = np.array([nodes[k] for k in order], dtype=np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(ids[label[moved]])], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held = None, ([], [], [])
+        for batch in batches:
+            for key, *row in zip(batch.column("cell").to_pylist(), batch.column("node").to_pylist(), batch.column("root").to_pylist(), batch.column("packed")):
+                if key != cell:
+                    if held[0]:
+                        yield links(*held)
+                    cell, held = key, ([], [], [])
+                for column, value in zip(held, (row[0], row[1], row[2].as_py())):
+                    column.append(value)
+        if held[0]:
+            yield links(*held)
+
+    return run
 
 
-def _rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+def _cells(members: DataFrame, centres: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(cell, node, root) of the members, without the centres, of buckets that hold two or more components."""
+    rest = members.select("bucket", "node").join(centres, ["bucket", "node"], "left_anti")
     if roots is None:
-        return members.withColumn("root", F.col("node"))
-    return members.drop("root").join(roots.withColumnRenamed("u", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rest = rest.withColumn("root", F.col("node"))
+    else:
+        rest = rest.join(roots.withColumnRenamed("u", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rest = materialize(rest)
+    mixed = rest.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m")).filter("low < high")
+    rest = rest.join(mixed.select("bucket", F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks")), "bucket")
+    rest = rest.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda k: (k != F.col("mine")) | (F.col("chunks") == 1))
+    rest = rest.withColumn("other", F.explode(others))
+    return rest.select(F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")).alias("cell"), "node", "root")
 
 
 def linked(docs: DataFrame, prints: DataFrame, classes: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(u, root): the component of every class that is linked with another; ``classes`` has set_hash, n, buckets, node."""
-    members = _rooted(_members(classes), None)
+    members = _members(classes)
     held = _fetch(docs, prints, classes.select("set_hash", "node").join(members.select("node").distinct(), "node"))
-    links = roots = tested = None
-    salts = 1
-    while not members.isEmpty():
-        centres, pairs = _stars(members, salts, percent)
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = materialize(pairs)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = _confirm(pairs, held, shingle, percent)
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            roots = materialize(star_components(links))
-        members = _rooted(members.join(centres, ["bucket", "node"], "left_anti"), roots)
-        mixed = members.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-        members = materialize(members.join(mixed.select("bucket"), "bucket", "left_semi"))
-        salts *= GROWTH
+    centres, pairs = _stars(members, percent)
+    links = _confirm(pairs, held, shingle, percent)
+    roots = None if links.isEmpty() else star_components(links)
+    cells = _cells(members, centres, roots).join(held, "node").repartition("cell").sortWithinPartitions("cell")
+    more = materialize(cells.mapInArrow(_solve_cells(shingle, percent), "u long, v long"))
+    if not more.isEmpty():
+        roots = star_components(links.unionByName(more))
     return classes.select(F.col("node").alias("u"), F.col("node").alias("root")).limit(0) if roots is None else roots
 
 
