@@ -186,13 +186,13 @@ def _sources() -> dict[str, str]:
     shown = {"application_date": "CAST(application_date AS VARCHAR)", "default_12m": "CAST(default_12m AS DOUBLE)",
              **{c: f"ROUND({c}, 6)" for c in ("interest_rate", "credit_utilization", "income", "loan_amount")}}
     cols = ", ".join(f"{shown[c]} AS {c}" if c in shown else c for c in APPS.names)
-    expected = [("app_id", "BIGINT"), ("application_date", "DATE"), ("age", "INT"), ("income", "DOUBLE"),
-                ("home_ownership", "INT"), ("purpose", "DATE"), ("credit_score", "DOUBLE"), ("default_12m", "INT")]
-    spark_names = {"BIGINT": "bigint", "DATE": "date", "INT": "int", "DOUBLE": "double"}
+    sql_names = {"bigint": "BIGINT", "date": "DATE", "int": "INT", "double": "DOUBLE", "string": "VARCHAR"}
+    kinds = {f.name: f.dataType.simpleString() for f in APPS.struct().fields if f.name != "channel"}
+    kinds |= {"home_ownership": "int", "purpose": "date"}  # on purpose: cells that do not fit
     contract = [
-        f"SELECT '{c}' AS field, '{spark_names[t]}' AS expected_type, 1 AS present, 0 AS extra, "
-        f"COUNT(CASE WHEN {c} IS NOT NULL AND TRY_CAST(CAST({c} AS VARCHAR) AS {t}) IS NULL THEN 1 END) AS bad_cells FROM apps"
-        for c, t in expected
+        f"SELECT '{c}' AS field, '{t}' AS expected_type, 1 AS present, 0 AS extra, "
+        f"COUNT(CASE WHEN {c} IS NOT NULL AND TRY_CAST(CAST({c} AS VARCHAR) AS {sql_names[t]}) IS NULL THEN 1 END) AS bad_cells FROM apps"
+        for c, t in kinds.items()
     ]
     contract.append("SELECT 'zip_prefix', 'string', 0, 0, 0")
     contract.append("SELECT 'channel', NULL, 1, 1, 0")
@@ -561,22 +561,34 @@ def _prepared(table: str, fit: str, keep: str, flags: bool, rates: bool) -> str:
     return ", " + ", ".join(ctes) + f"\nSELECT {lead}" + ", ".join(shown) + " FROM made CROSS JOIN scales"
 
 
-def _preparation() -> dict[str, str]:
-    dev = ", development AS MATERIALIZED (SELECT * FROM split WHERE split = 'development')\n"
-    dummies = [f"CAST(purpose = '{v}' AS INT) AS {_level_name('purpose', v)}" for v in _LEVELS["purpose"]]
+def _relevance(table: str, columns: list[str]) -> str:
+    """Mutual information of each column, cut at its tenths, with the target."""
     mi = []
-    for c in APPS.numeric:
+    for c in columns:
         edges = " + ".join(
-            f"CASE WHEN {c} > (SELECT QUANTILE_CONT(CAST({c} AS DOUBLE), 0.{i}) FROM eligible) THEN 1 ELSE 0 END" for i in range(1, 10)
+            f"CASE WHEN {c} > (SELECT QUANTILE_CONT(CAST({c} AS DOUBLE), 0.{i}) FROM {table}) THEN 1 ELSE 0 END" for i in range(1, 10)
         )
         # Equal edges count more than once here, which renames bins but does not merge or split them.
-        mi.append(f"SELECT '{c}' AS feature, CASE WHEN {c} IS NOT NULL THEN {edges} END AS bin, default_12m AS y FROM eligible")
-    relevance = f"""
+        mi.append(f"SELECT '{c}' AS feature, CASE WHEN {c} IS NOT NULL THEN {edges} END AS bin, default_12m AS y FROM {table}")
+    return f"""
 , long AS MATERIALIZED ({_union(mi)}),
 cells AS (SELECT feature, bin, y, COUNT(*) AS n FROM long GROUP BY 1, 2, 3),
 margins AS (SELECT *, SUM(n) OVER (PARTITION BY feature) AS t, SUM(n) OVER (PARTITION BY feature, bin) AS b,
                    SUM(n) OVER (PARTITION BY feature, y) AS k FROM cells),
 relevance AS (SELECT feature, ROUND(SUM(n / t * LN(n * t / (b * CAST(k AS DOUBLE)))), 6) AS mutual_information FROM margins GROUP BY feature)"""
+
+
+def _preparation() -> dict[str, str]:
+    dev = ", development AS MATERIALIZED (SELECT * FROM split WHERE split = 'development')\n"
+    dummies = [f"CAST(purpose = '{v}' AS INT) AS {_level_name('purpose', v)}" for v in _LEVELS["purpose"]]
+    relevance = _relevance("eligible", list(APPS.numeric))
+    whole = _prepared("eligible", "eligible", "'all'", False, True)
+    made, shown = whole[: whole.rindex("\nSELECT ")], whole[whole.rindex("\nSELECT ") :]
+    columns = list(APPS.numeric)
+    for c in APPS.categorical:
+        columns += [f"{c}_target_rate", *(_level_name(c, v) for v in _LEVELS[c][1:])]
+    prepared = f"""{made},
+prepared AS MATERIALIZED (SELECT p.*, default_12m FROM ({shown}) p JOIN eligible USING (app_id))"""
     attribution = """
 SELECT app_id, default_12m, age, state, ROUND(income, 6) AS income, ROUND(employment_years, 6) AS employment_years,
        credit_score, loan_amount, ROUND(interest_rate, 6) AS interest_rate, term_months, home_ownership, purpose, channel,
@@ -601,8 +613,8 @@ FROM split LEFT JOIN rates USING (customer_id)"""),
         "class_weights": _eligible("""
 SELECT default_12m, COUNT(*) AS rows, ROUND((SELECT COUNT(*) FROM eligible) / (2e0 * COUNT(*)), 6) AS weight FROM eligible GROUP BY default_12m"""),
         "mutual_information": _eligible(relevance + "\nSELECT * FROM relevance"),
-        "top_features": _eligible(relevance + """
-SELECT * FROM (SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY mutual_information DESC, feature) AS INT) AS place FROM relevance) WHERE place <= 3"""),
+        "top_features": _eligible(prepared + _relevance("prepared", columns) + """
+SELECT * FROM (SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY mutual_information DESC, feature) AS INT) AS place FROM relevance) WHERE place <= 35"""),
         "attribution_frame": _apps(attribution),
         "order_by_time": _eligible("SELECT app_id, CAST(application_date AS VARCHAR) AS application_date FROM eligible"),
         "stable_date_sort": _apps("SELECT app_id, ROW_NUMBER() OVER (ORDER BY application_date, app_id) - 1 AS ordinal FROM apps"),

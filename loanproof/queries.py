@@ -91,14 +91,10 @@ def parse_date_strict(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def schema_contract(spark: SparkSession, folder: str) -> DataFrame:
-    names = ["app_id", "application_date", "age", "income", "home_ownership", "purpose", "credit_score", "default_12m", "channel"]
-    texts = _apps(spark, folder).select(*[F.col(c).cast("string").alias(c) for c in names])
-    expected = {
-        "app_id": "bigint", "application_date": "date", "age": "int", "income": "double",
-        "home_ownership": "int", "purpose": "date", "credit_score": "double", "default_12m": "int",
-        "zip_prefix": "string",
-    }
-    return src.schema_contract(texts, expected)
+    """All columns as text against a contract that misses one, asks for another and has two wrong types."""
+    texts = _apps(spark, folder).select(*[F.col(c).cast("string").alias(c) for c in APPS.names])
+    expected = {f.name: f.dataType.simpleString() for f in APPS.struct().fields if f.name != "channel"}
+    return src.schema_contract(texts, expected | {"home_ownership": "int", "purpose": "date", "zip_prefix": "string"})
 
 
 def field_dictionary(spark: SparkSession, folder: str) -> DataFrame:
@@ -331,7 +327,11 @@ def mutual_information(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_features(spark: SparkSession, folder: str) -> DataFrame:
-    return metrics.top_features(mutual_information(spark, folder), keep=3)
+    """The design's screening: the best 35 of all columns that the whole-sample preparation makes."""
+    rows = materialize(_eligible(spark, folder))
+    learned = prep.whole_sample_preparation(rows, APPS.numeric, APPS.categorical, APPS.target)
+    made = materialize(_rounded(learned.transform(rows, [APPS.target])))
+    return metrics.top_features(_rounded(prep.mutual_information(made, learned.names, APPS.target)), keep=35)
 
 
 def _fitted_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, list[str]]:
