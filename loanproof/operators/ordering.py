@@ -8,19 +8,20 @@ offsets from a table with one row per partition.
 from __future__ import annotations
 
 import math
-import sys
-from collections.abc import Callable, Sequence
+import struct
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanproof.functions.columns import ColumnLike, _col
-from loanproof.session import collect_bounded, materialize, small_table
+from loanproof.session import materialize, small_table
 
-# Rows one window task may hold.
-WINDOW_ROWS = 1_000_000
-# Entries of a coarse histogram (calendar days, hash prefixes) the driver may hold.
-COARSE_CELLS = 200_000
+# Bits that one pass of a radix selection resolves.
+DIGIT = 16
 
 _SLOT = "_slot"
 _PLACE = "_place"
@@ -108,25 +109,21 @@ def keys_at_positions(
     ``positions`` gets the number of rows, which the histogram already tells.
 
     ``coarse`` must be monotone in the order and have few values (a date, a hash prefix).
-    Its histogram tells which cells hold the positions; only the rows of those cells are
+    Its running histogram tells which cells hold the positions; only the rows of those cells are
     put in order. The table itself is never sorted. Positions at or past the end give None.
     """
     cell = _col(coarse)
-    histogram = df.groupBy(cell.alias("cell")).agg(F.count("*").alias("n"))
-    cells = sorted(
-        (tuple(r) for r in collect_bounded(histogram, COARSE_CELLS, "coarse histogram")),
-        key=lambda r: r[0],
-    )
-    spots = positions(sum(n for _, n in cells))
+    total, placed = _placed_cells(df.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")))
+    spots = positions(total)
+    found: list[tuple | None] = [None] * len(spots)
+    held = _cells_at(placed, [p for p in spots if 0 <= p < total])
     hits: dict[object, list[tuple[int, int]]] = {}
-    start, sizes = 0, {}
-    for value, n in cells:
+    sizes = {}
+    for value, start, n in held:
         sizes[value] = n
         for slot, p in enumerate(spots):
             if start <= p < start + n:
                 hits.setdefault(value, []).append((slot, p - start))
-        start += n
-    found: list[tuple | None] = [None] * len(spots)
     if not hits:
         return found
     rows = df.filter(cell.isin(*hits)).select(*order)
@@ -152,125 +149,110 @@ def at_or_after(order: Sequence[str], key: tuple) -> Column:
 def date_at_quantiles(df: DataFrame, date: str, probs: Sequence[float], weight: str | None = None) -> list:
     """Dates at the quantiles, always an existing date: position ceil((n - 1) * q).
 
-    Needs only the number of rows per day, a table as long as the calendar. ``weight``
+    Needs only the number of rows per day; the driver gets the days at the quantiles. ``weight``
     names a column of row counts when the input already holds sums.
     """
     size = F.count("*") if weight is None else F.sum(weight)
-    days = df.filter(F.col(date).isNotNull()).groupBy(date).agg(size.alias("n"))
-    counts = sorted(tuple(r) for r in collect_bounded(days, COARSE_CELLS, "calendar"))
-    total = sum(n for _, n in counts)
-    out = []
-    for q in probs:
-        position, cum, hit = math.ceil((total - 1) * q), 0, None
-        for day, n in counts:
-            cum += n
-            if cum > position:
-                hit = day
-                break
-        out.append(hit)
-    return out
+    days = df.filter(F.col(date).isNotNull()).groupBy(F.col(date).alias("cell")).agg(size.alias("n"))
+    total, placed = _placed_cells(days)
+    spots = [math.ceil((total - 1) * q) for q in probs]
+    held = _cells_at(placed, spots) if total else []
+    return [next((day for day, start, n in held if start <= p < start + n), None) for p in spots]
 
 
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], direct_rows: int = WINDOW_ROWS
-) -> DataFrame:
-    """Exact quantiles with linear interpolation: rows of (field, prob, value).
-
-    Spark's ``percentile`` merges all distinct values in one task. Here a small table is
-    counted per distinct value directly. A large one is first narrowed: an approximate
-    quantile with known rank error brackets each wanted position, and only the values inside
-    the brackets, about a thousandth of the table, are counted one by one; all that lies
-    below a bracket is one cell. A position outside its bracket would have no finite value
-    and is then taken from the full column.
-    """
-    values = {c: F.col(c).cast("double") for c in columns}
-    counts = df.agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(values.values())]).first()
-    direct, narrowed = [], []
-    for c, n in zip(columns, counts):
-        spots = [(float(p), (n - 1) * p) for p in probs]
-        if n > direct_rows:
-            narrowed += [{"field": c, "spots": [s], "low": None, "high": None} for s in spots]
-        elif n:
-            direct.append({"field": c, "spots": spots, "low": None, "high": None})
-    out = _pick_quantiles(df, values, direct, small=True)
-    if narrowed:
-        _narrow(df, values, narrowed)
-        found = materialize(_pick_quantiles(df, values, narrowed, small=False))
-        found = found.filter(F.col("value").between(-sys.float_info.max, sys.float_info.max))
-        held = {(r["field"], r["prob"]) for r in found.collect()}
-        missed = [t for t in narrowed if (t["field"], t["spots"][0][0]) not in held]
-        if missed:
-            whole = [{**t, "low": None, "high": None} for t in missed]
-            found = found.unionByName(_pick_quantiles(df, values, whole, small=False))
-        out = found if not direct else out.unionByName(found)
-    return out
+def _placed_cells(histogram: DataFrame) -> tuple[int, DataFrame]:
+    """The rows of a histogram (cell, n) in all, and its cells with the running count ``cum``."""
+    cells = materialize(histogram)
+    total = cells.agg(F.sum("n")).first()[0] or 0
+    return total, running_totals(cells, "cell", {"cum": "n"})
+
+
+def _cells_at(placed: DataFrame, spots: Sequence[int]) -> list[tuple]:
+    """(cell, first position, rows) of the cells that hold a position: at most one each."""
+    if not spots:
+        return []
+    hit = F.exists(F.array(*[F.lit(int(p)) for p in sorted(set(spots))]), lambda p: (p < F.col("cum")) & (p >= F.col("cum") - F.col("n")))
+    return sorted((r["cell"], r["cum"] - r["n"], r["n"]) for r in placed.filter(hit).select("cell", "cum", "n").collect())
+
 
+def _ordered_keys(values: np.ndarray) -> np.ndarray:
+    """64-bit keys in the order of the doubles: NaN last, both zeros alike."""
+    bits = (values + 0.0).view(np.int64)
+    return np.where(bits < 0, ~bits, bits | np.int64(-(2**63))).view(np.uint64)
 
-def _narrow(df: DataFrame, values: dict[str, Column], targets: list[dict]) -> None:
-    """Set value brackets around the wanted positions, wider than the sketch's rank error."""
-    accuracy = 10_000
-    margin = 4.0 / accuracy
-    ends = []
-    for i, target in enumerate(targets):
-        prob = target["spots"][0][0]
-        around = [max(prob - margin, 0.0), min(prob + margin, 1.0)]
-        ends.append(F.percentile_approx(values[target["field"]], around, accuracy).alias(f"e{i}"))
-    for target, edge in zip(targets, df.agg(*ends).first()):
-        target["low"], target["high"] = edge
 
+def _key_value(key: int) -> float:
+    bits = key ^ (1 << 63) if key >> 63 else ~key & (2**64 - 1)
+    return struct.unpack("<d", struct.pack("<Q", bits))[0]
 
-def _pick_quantiles(df: DataFrame, values: dict[str, Column], targets: list[dict], small: bool) -> DataFrame:
-    """The quantiles of the targets from counted values.
 
-    Values below a bracket count as one cell at minus infinity, so the running counts stay
-    those of the whole column; values above it are left out.
+def _digit_counts(width: int, level: int, prefixes: list[np.ndarray]):
+    """Counts of the next ``DIGIT`` bits below the wanted prefixes of each field, added up per task."""
+    above, below = np.uint64(64 - DIGIT * level), np.uint64(64 - DIGIT * (level + 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: list[Counter] = [Counter() for _ in range(width)]
+        for batch in batches:
+            for k in range(width):
+                keys = _ordered_keys(batch.column(k).drop_null().to_numpy(zero_copy_only=False))
+                if level:
+                    keys = keys[np.isin(keys >> above, prefixes[k])]
+                codes, counts = np.unique(keys >> below, return_counts=True)
+                sums[k].update(dict(zip(codes.tolist(), counts.tolist())))
+        for k, held in enumerate(sums):
+            codes = np.fromiter(held.keys(), dtype=np.uint64, count=len(held)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.repeat(k, len(held)).cast(pa.int32()), pa.array(codes), pa.array(held.values(), pa.int64())], names=["k", "code", "n"])
+
+    return run
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles with linear interpolation: rows of (field, prob, value), none for an empty field.
+
+    Spark's ``percentile`` merges all distinct values in one task. Here the positions are found by radix
+    selection on order-preserving 64-bit keys: a pass counts the leading bits of all fields at once, keeps
+    the buckets that hold a position, and the next pass counts the following bits of their values only.
+    ``64 / DIGIT`` passes name each value to the last bit, at every size and with any ties; a pass sends
+    at most 2^DIGIT counts per field and wanted bucket.
     """
-    spark = df.sparkSession
-    if not targets:
-        return small_table(spark, {"field": "string", "prob": "double", "value": "double"}, [])
-    picks = []
-    for t, target in enumerate(targets):
-        v = shown = values[target["field"]]
-        inside = v.isNotNull()
-        if target["low"] is not None:
-            inside = v <= target["high"]
-            shown = F.when(v < target["low"], F.lit(float("-inf"))).otherwise(v)
-        picks.append(F.when(inside, F.struct(F.lit(t).alias("t"), shown.alias("v"))))
-    cells = (
-        df.select(F.explode(F.array(*picks)).alias("x"))
-        .filter(F.col("x").isNotNull())
-        .groupBy(F.col("x.t").alias("t"), F.col("x.v").alias("v"))
-        .agg(F.count("*").alias("n"))
-    )
-    if small:
-        by_value = Window.partitionBy("t").orderBy("v").rowsBetween(*_UP_TO_HERE)
-        placed = cells.withColumn("cum", F.sum("n").over(by_value))
-    else:
-        placed = running_totals(cells, "v", {"cum": "n"}, ["t"])
-    wanted = small_table(
-        spark,
-        {"t": "int", "field": "string", "prob": "double", "k_low": "bigint", "k_high": "bigint", "part": "double"},
-        [
-            (t, target["field"], p, math.floor(s), math.ceil(s), s - math.floor(s))
-            for t, target in enumerate(targets)
-            for p, s in target["spots"]
-        ],
-    )
-    return (
-        placed.join(F.broadcast(wanted), "t")
-        .groupBy("field", "prob", "part")
-        .agg(
-            F.min(F.when(F.col("cum") > F.col("k_low"), F.col("v"))).alias("a"),
-            F.min(F.when(F.col("cum") > F.col("k_high"), F.col("v"))).alias("b"),
-        )
-        .select("field", "prob", (F.col("a") + (F.col("b") - F.col("a")) * F.col("part")).alias("value"))
-    )
+    columns = list(columns)
+    rows = materialize(df.select(*[F.col(c).cast("double").alias(f"v{k}") for k, c in enumerate(columns)]))
+    spots: dict[tuple[int, int], tuple[int, int]] = {}  # (field, position): prefix so far, position within it
+    totals: list[int] = []
+    for level in range(64 // DIGIT):
+        wanted = [np.array(sorted({prefix for (f, _), (prefix, _) in spots.items() if f == k}), dtype=np.uint64) for k in range(len(columns))]
+        counted = rows.mapInArrow(_digit_counts(len(columns), level, wanted), "k int, code long, n long")
+        found = counted.groupBy("k", "code").agg(F.sum("n").alias("n")).toArrow()
+        field, code, n = (found.column(c).to_numpy() for c in ("k", "code", "n"))
+        code = code.astype(np.int64).view(np.uint64)
+        order = np.lexsort((code, field))
+        field, code, n = field[order], code[order], n[order]
+        if not level:
+            totals = [int(n[field == k].sum()) for k in range(len(columns))]
+            for k, total in enumerate(totals):
+                for p in probs if total else ():
+                    spots[k, math.floor((total - 1) * p)] = spots[k, math.ceil((total - 1) * p)] = (0, 0)
+            spots = {key: (0, key[1]) for key in spots}
+        for (k, position), (prefix, rank) in spots.items():
+            mine = field == k
+            if level:
+                mine &= (code >> np.uint64(DIGIT)) == np.uint64(prefix)
+            ends = np.cumsum(n[mine])
+            at = int(np.searchsorted(ends, rank, side="right"))
+            spots[k, position] = int(code[mine][at]), rank - (int(ends[at - 1]) if at else 0)
+    out = []
+    for k, c in enumerate(columns):
+        for p in probs if totals[k] else ():
+            spot = (totals[k] - 1) * p
+            low, high = (_key_value(spots[k, side(spot)][0]) for side in (math.floor, math.ceil))
+            out.append((c, float(p), low if low == high else low + (high - low) * (spot - math.floor(spot))))
+    return small_table(df.sparkSession, {"field": "string", "prob": "double", "value": "double"}, out)
 
 
-def quantile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float], **kw) -> dict:
+def quantile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict:
     """The quantiles as driver values: {field: {prob: value}}; a few numbers per column."""
     out: dict[str, dict[float, float | None]] = {c: {float(p): None for p in probs} for c in columns}
-    for row in exact_quantiles(df, columns, probs, **kw).collect():
+    for row in exact_quantiles(df, columns, probs).collect():
         out[row["field"]][row["prob"]] = row["value"]
     return out
 
