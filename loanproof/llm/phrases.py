@@ -28,6 +28,7 @@ repeated rows count again; ties go by the phrase's bytes; an empty table gives a
 
 from __future__ import annotations
 
+import itertools
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -49,7 +50,7 @@ LONGEST = 5
 FIRST = 2000
 SHARD = 1 << 19
 SALTS = 32
-_CHUNK = 2_000_000  # bytes of text advanced at once
+_CHUNK = 1_000_000  # bytes of text advanced at once
 _FLUSH = 500_000
 _RANGE = 15  # bits of a slot within its range
 _BREAK = b"\xff"  # no UTF-8 text holds this byte
@@ -131,8 +132,9 @@ def phrase_keys(phrases: DataFrame) -> DataFrame:
 
 def _numbered(words: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     """Each word's number in the chunk (0: break), the distinct words by number, and their keys."""
-    seen: dict[bytes, int] = {_BREAK: 0}
-    ids = np.fromiter((seen.setdefault(w, len(seen)) for w in words), dtype=np.int64, count=len(words))
+    seen: dict[bytes, int] = defaultdict(itertools.count().__next__)
+    seen[_BREAK]  # the first number
+    ids = np.fromiter(map(seen.__getitem__, words), dtype=np.int64, count=len(words))
     return ids, list(seen), np.fromiter(map(word_key, seen), dtype=np.uint64, count=len(seen))
 
 
