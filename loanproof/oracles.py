@@ -221,7 +221,6 @@ SELECT app_id, CAST(application_date AS VARCHAR) AS application_date, age, state
        score AS probability_default, 0.1e0 AS threshold, CAST(score >= 0.1e0 AS INT) AS predicted_default,
        CAST(YEAR(application_date) AS VARCHAR) || 'Q' || CAST(QUARTER(application_date) AS VARCHAR) AS quarter
 FROM scored"""),
-        "report_sink": _dedup(_MATURITY),
     }
 
 
@@ -746,8 +745,29 @@ FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id GROUP BY a.vec_id"""
     }
 
 
+def _reports(twins: dict[str, str]) -> str:
+    """Rows, filled cells and columns of each report, from its own twin."""
+    score_rows = _scored("""
+SELECT app_id, CAST(application_date AS VARCHAR) AS application_date, age, state, default_12m,
+       score AS probability_default, 0.1e0 AS threshold, CAST(score >= 0.1e0 AS INT) AS predicted_default FROM scored""")
+    parts = []
+    for name in REPORT_NAMES:
+        sql = score_rows if name == "score_rows" else twins[name]
+        parts.append(f"""SELECT '{name}' AS report, (SELECT COUNT(*) FROM ({sql})) AS rows, COUNT(*) AS filled_cells, CAST(COUNT(DISTINCT name) AS INT) AS columns
+FROM (UNPIVOT (SELECT COLUMNS(*)::VARCHAR FROM ({sql})) ON COLUMNS(*) INTO NAME name VALUE cell)""")
+    return "\nUNION ALL\n".join(parts)
+
+
+REPORT_NAMES = (
+    "field_dictionary", "audit_table", "outlier_screen", "near_duplicate_screen", "label_maturity_by_quarter",
+    "population_summary", "partition_summary", "cv_summary", "threshold_sweep", "subgroup_age", "subgroup_extended",
+    "calibration_summary", "top_features", "score_rows",
+)
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for part in (_sources, _projections, _sets, _aggregates, _ranks, _sampling, _preparation, _selection, _models, _near):
         out.update(part())
+    out["report_sink"] = _reports(out)
     return out

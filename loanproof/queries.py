@@ -118,11 +118,30 @@ def score_sink(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("application_date", F.col("application_date").cast("string"))
 
 
+#: The reports of one run, by the query that makes each.
+REPORTS = (
+    "field_dictionary", "audit_table", "outlier_screen", "near_duplicate_screen", "label_maturity_by_quarter",
+    "population_summary", "partition_summary", "cv_summary", "threshold_sweep", "subgroup_age", "subgroup_extended",
+    "calibration_summary", "top_features", "score_rows",
+)
+
+
+def _score_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(sinks.score_rows(_scored(spark, folder), APPS, THRESHOLD))
+
+
 def report_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """Writes all reports as one unit, reads them back and counts rows and filled cells of each."""
     path = _new_path(spark, "reports")
-    report = _rounded(audit.label_maturity_by_quarter(_dedup(spark, folder), APPS))
-    sinks.write_reports({"label_maturity": report}, path)
-    return spark.read.schema(report.schema).option("header", True).csv(f"{path}/label_maturity")
+    known = {**queries(), "score_rows": _score_rows}
+    made = models.run_together(spark, [lambda name=name: known[name](spark, folder) for name in REPORTS])
+    sinks.write_reports(dict(zip(REPORTS, made)), path)
+    counted = None
+    for name, report in sinks.read_reports(spark, path).items():
+        cells = sum((F.count(F.col(f"`{c}`")) for c in report.columns), F.lit(0).cast("bigint"))
+        row = report.agg(F.lit(name).alias("report"), F.count("*").alias("rows"), cells.alias("filled_cells"), F.lit(len(report.columns)).alias("columns"))
+        counted = row if counted is None else counted.unionByName(row)
+    return counted
 
 
 # --- projections -------------------------------------------------------------------

@@ -86,8 +86,14 @@ def test_population_and_audit(spark, book):
     assert dictionary["credit_score"]["missing"] == book.filter("credit_score is null").count()
     assert dictionary["customer_id"]["distinct_values"] == 610
     path = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
-    sinks.write_reports({"dictionary": audit.field_dictionary(book, LOAN_BOOK)}, path)
-    assert spark.read.option("header", True).csv(f"{path}/dictionary").count() == 35
+    sinks.write_reports({"dictionary": audit.field_dictionary(book, LOAN_BOOK), "sizes": book.groupBy().count()}, path)
+    read = sinks.read_reports(spark, path)
+    assert set(read) == {"dictionary", "sizes"} and read["dictionary"].count() == 35
+    # A run that fails leaves the one before in force.
+    broken = book.select(F.raise_error(F.lit("stop")).cast("string").alias("x"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.write_reports({"dictionary": book.limit(1), "broken": broken}, path)
+    assert sinks.read_reports(spark, path)["dictionary"].count() == 35
 
 
 def test_sound_design(book):
