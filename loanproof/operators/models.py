@@ -19,7 +19,7 @@ from loanproof.operators.metrics import binary_metrics, calibration_figures, cv_
 from loanproof.operators.population import fold_block
 from loanproof.operators.prep import Preparation, as_vector, train_only_preparation
 from loanproof.schema import ApplicationSchema
-from loanproof.session import materialize, small_table
+from loanproof.session import materialize, ship_package, small_table
 
 C_GRID = (0.01, 0.1, 1.0, 10.0)
 CLASS_WEIGHTS = (None, "balanced")
@@ -111,6 +111,7 @@ def newton_fits(rows: DataFrame, points: Sequence[FitPoint], width: int, steps:
     Hessian of all open points in one pass: points x width^2 numbers a task, whatever the rows. A step
     that does not lower the loss is halved.
     """
+    ship_package(rows.sparkSession)
     betas = np.zeros((len(points), width))
     moves = np.zeros_like(betas)
     losses = np.full(len(points), np.inf)
@@ -146,6 +147,22 @@ def newton_fits(rows: DataFrame, points: Sequence[FitPoint], width: int, steps:
     return betas
 
 
+def score_points(rows: DataFrame, points: Sequence[FitPoint], betas: np.ndarray) -> DataFrame:
+    """(point, y, score): every row scored by all points of its group."""
+    ship_package(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            groups, y = batch.column("grp").to_numpy(), batch.column("y").to_numpy()
+            x = batch.column("x").flatten().to_numpy().reshape(-1, betas.shape[1])
+            for k, point in enumerate(points):
+                mine = groups == point.group
+                score = 1.0 / (1.0 + np.exp(-np.clip(x[mine] @ betas[k], -700, 700)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(score), k, dtype=np.int32)), pa.array(y[mine].astype(np.int32)), pa.array(score)], names=["point", "y", "score"])
+
+    return rows.mapInArrow(run, "point int, y int, score double")
+
+
 def point_weights(sizes: tuple[int, int], class_weight: str | None) -> tuple[float, float]:
     negatives, positives = sizes
     if not negatives or not positives:
@@ -231,39 +248,27 @@ def temporal_grid_search(
 
     made = run_together(spark, [lambda f=f: prepared(f) for f in range(1, folds + 1)])
     width = 1 + max(len(prep.names) for prep, *_ in made)
-    stacked, points = None, []
-    for fold, (prep, sizes, train, _) in enumerate(made, 1):
-        # Folds may know different levels: the rows are as wide as the widest, the rest is zero.
-        short = [F.lit(0.0).alias(f"_none{i}") for i in range(width - 1 - len(prep.names))]
-        wide = train.select("*", *short)
-        rows = fit_rows(wide, [*prep.names, *[f"_none{i}" for i in range(len(short))]], schema.target, F.lit(fold))
-        stacked = rows if stacked is None else stacked.unionByName(rows)
+
+    def stack(side: int) -> DataFrame:
+        """The rows of all folds. Folds may know different levels: all are as wide as the widest, the rest is zero."""
+        out = None
+        for fold, parts in enumerate(made, 1):
+            names = parts[0].names
+            short = [F.lit(0.0).alias(f"_none{i}") for i in range(width - 1 - len(names))]
+            rows = fit_rows(parts[side].select("*", *short), [*names, *[f"_none{i}" for i in range(len(short))]], schema.target, F.lit(fold))
+            out = rows if out is None else out.unionByName(rows)
+        return materialize(out)
+
+    points, labels = [], []
+    for fold, (_, sizes, *_) in enumerate(made, 1):
         points += [FitPoint(fold, float(c), point_weights(sizes, w)) for w, c in grid]
-    betas = newton_fits(materialize(stacked), points, width)
-
-    scored = []
-    for fold, (prep, sizes, _, valid) in enumerate(made, 1):
-        of_fold = betas[(fold - 1) * len(grid) : fold * len(grid)]
-        models = [_model(prep.names, np.append(b[: len(prep.names)], b[-1])) for b in of_fold]
-        shown = F.array(
-            *[
-                F.struct(
-                    F.lit(float(c)).alias("C"),
-                    F.lit(w or "None").alias("class_weight"),
-                    F.lit(fold).alias("fold"),
-                    F.lit(sum(sizes)).cast("bigint").alias("train_rows"),
-                    F.lit(sizes[1]).cast("bigint").alias("train_positives"),
-                    m.probability().alias("score"),
-                )
-                for (w, c), m in zip(grid, models)
-            ]
-        )
-        scored.append(valid.select(schema.target, F.explode(shown).alias("x")).select(schema.target, "x.*"))
-    rows = scored[0]
-    for part in scored[1:]:
-        rows = rows.unionByName(part)
-    keys = ["C", "class_weight", "fold", "train_rows", "train_positives"]
-    found = binary_metrics(rows, "score", schema.target, None, keys)
+        labels += [(float(c), w or "None", fold, sum(sizes), sizes[1]) for w, c in grid]
+    betas = newton_fits(stack(2), points, width)
+    scored = score_points(stack(3), points, betas)
+    names = {"point": "int", "C": "double", "class_weight": "string", "fold": "int", "train_rows": "bigint", "train_positives": "bigint"}
+    table = small_table(spark, names, [(k, *label) for k, label in enumerate(labels)])
+    keys = list(names)[1:]
+    found = binary_metrics(scored, "score", "y", None, ["point"]).join(F.broadcast(table), "point")
     return found.select(
         *keys,
         F.col("rows").alias("validation_rows"),

@@ -5,12 +5,14 @@ from __future__ import annotations
 import io
 import os
 import tempfile
+import threading
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_SHIPPING = threading.Lock()
 
 
 def build_session(app: str = "loanproof", master: str | None = None, **conf) -> SparkSession:
@@ -53,7 +55,11 @@ def ship_package(spark: SparkSession) -> None:
 
     The archive is code for Spark's own file server, not data; executors fetch their copy from the driver.
     """
-    context = spark.sparkContext
+    with _SHIPPING:  # fits run from several threads
+        _ship_once(spark.sparkContext)
+
+
+def _ship_once(context) -> None:
     if getattr(context, "_loanproof_shipped", False):
         return
     root = Path(__file__).resolve().parent
