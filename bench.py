@@ -33,7 +33,7 @@ HEADLINE = [
     "subgroup_extended",
     "threshold_sweep",
     "calibration_bins",
-    "bootstrap_ci",
+    "bootstrap_tree",
     "random_split_exact",
     "train_test_contamination",
     "mutual_information",

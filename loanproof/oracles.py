@@ -182,6 +182,19 @@ _PAIRS = [
 ]
 
 
+def _fingerprint() -> str:
+    cells = []
+    for f in sorted(APPS.struct().fields, key=lambda f: f.name):
+        text = f"CAST({f.name} AS VARCHAR)"
+        if f.dataType.typeName() == "double":
+            text = f"CAST(CAST(ROUND({f.name} * 1e6) AS DECIMAL(38,0)) AS VARCHAR)"
+        cells.append(f"COALESCE(LENGTH({text}) || ':' || {text}, '-')")
+    part = "CAST(SUM(CAST('0x' || SUBSTR(h, {}, 15) AS BIGINT)) AS VARCHAR)"
+    return f"""
+, hashed AS (SELECT SHA256({" || ".join(cells)}) AS h FROM apps)
+SELECT COUNT(*) AS rows, {part.format(1)} AS sum_high, {part.format(16)} AS sum_low FROM hashed"""
+
+
 def _sources() -> dict[str, str]:
     shown = {"application_date": "CAST(application_date AS VARCHAR)", "default_12m": "CAST(default_12m AS DOUBLE)",
              **{c: f"ROUND({c}, 6)" for c in ("interest_rate", "credit_utilization", "income", "loan_amount")}}
@@ -203,6 +216,8 @@ def _sources() -> dict[str, str]:
     return {
         "scan_applications": _apps(f"SELECT {cols} FROM apps"),
         "parse_date_strict": _apps("""
+SELECT app_id, CASE WHEN app_id % 101 <> 0 THEN CAST(application_date AS VARCHAR) END AS application_date FROM apps"""),
+        "date_parse_report": _apps("""
 , texts AS (SELECT CASE WHEN app_id % 97 = 0 THEN STRFTIME(application_date, '%d/%m/%Y')
                  WHEN app_id % 101 = 0 THEN NULL
                  ELSE CAST(application_date AS VARCHAR) END AS t FROM apps)
@@ -216,6 +231,7 @@ FROM texts GROUP BY 1"""),
 , declared(field, classification, used_in_corrected_model, corrected_model_role, rationale) AS (
   VALUES {_dictionary_rows()}), profile AS ({profile})
 SELECT declared.*, rows, missing, distinct_values FROM declared JOIN profile USING (field)"""),
+        "table_fingerprint": _apps(_fingerprint()),
         "score_sink": _scored("""
 SELECT app_id, CAST(application_date AS VARCHAR) AS application_date, age, state, default_12m,
        score AS probability_default, 0.1e0 AS threshold, CAST(score >= 0.1e0 AS INT) AS predicted_default,

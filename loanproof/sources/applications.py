@@ -172,16 +172,37 @@ def scored_applications(apps: DataFrame, schema: ApplicationSchema = APPS) -> Da
     )
 
 
+def row_text(df: DataFrame) -> Column:
+    """A text of each row that any engine can repeat, columns by name.
+
+    Cells carry their length; a missing one is '-'. Doubles count in millionths, dates are ISO, timestamps
+    microseconds, nested values JSON.
+    """
+    cells = []
+    for f in sorted(df.schema.fields, key=lambda f: f.name):
+        kind, c = f.dataType.typeName(), F.col(f"`{f.name}`")
+        if kind in ("double", "float"):
+            infinite = F.isnan(c) | (F.abs(c) == float("inf"))
+            text = F.when(infinite, c.cast("string")).otherwise(F.round(F.when(~infinite, c) * 1e6).cast("decimal(38,0)").cast("string"))
+        elif kind == "timestamp":
+            text = F.unix_micros(c).cast("string")
+        elif kind in ("array", "struct", "map"):
+            text = F.to_json(c)
+        else:
+            text = c.cast("string")
+        cells.append(F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-")))
+    return F.concat(*cells)
+
+
 def table_fingerprint(df: DataFrame) -> DataFrame:
     """A fingerprint of a table's rows that does not depend on their order.
 
-    Each row gives one SHA-256; 60 bits of it are summed as a decimal, so the sum has
+    Each row's text gives one SHA-256; 60 bits of it are summed as a decimal, so the sum has
     room for 10^20 rows and every task sends one row to the final step.
     """
-    digest = F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256)
     part = F.conv(F.substring("digest", 1, 15), 16, 10).cast("decimal(20,0)")
     other = F.conv(F.substring("digest", 16, 15), 16, 10).cast("decimal(20,0)")
-    return df.select(digest.alias("digest")).agg(
+    return df.select(F.sha2(row_text(df), 256).alias("digest")).agg(
         F.count("*").alias("rows"),
         F.sum(part).cast("string").alias("sum_high"),
         F.sum(other).cast("string").alias("sum_low"),
