@@ -23,6 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -38,6 +39,8 @@ GROUP = 16
 CLOSING = 0
 #: How byte-level vocabularies of this kind cut words (fixed by the file's pre-tokenizer).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space longer than this is cut off before the pattern runs: its lookahead keeps a stack entry per character.
+LONG_SPACE = 4_096
 PIECE_COLUMNS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "part", "ids"]
 
@@ -53,13 +56,26 @@ def byte_encoder(path: str):
     for content in special:
         ranks.pop(content.encode(), None)
     encoding = tiktoken.Encoding("byte-level", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
+    one_piece = tiktoken.Encoding("byte-level-piece", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
     cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
+    spaces = regex.compile(r"\s{%d,}" % LONG_SPACE)
+
+    def plain(text: str) -> np.ndarray:
+        parts, at = [], 0
+        for run in spaces.finditer(text):
+            # The pattern takes such a run as one piece, but for its last character if more text follows.
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            parts.append(encoding.encode_to_numpy(text[at : run.start()], disallowed_special=()))
+            parts.append(one_piece.encode_to_numpy(text[run.start() : end], disallowed_special=()))
+            at = end
+        last = encoding.encode_to_numpy(text[at:], disallowed_special=())
+        return np.concatenate([*parts, last]) if parts else last
+
     def encode(text: str) -> np.ndarray:
         if cut is None or not any(s in text for s in special):
-            return encoding.encode_to_numpy(text, disallowed_special=())
-        parts = [np.array([special[p]], dtype=np.uint32) if p in special else encoding.encode_to_numpy(p, disallowed_special=()) for p in cut.split(text)]
-        return np.concatenate(parts)
+            return plain(text)
+        return np.concatenate([np.array([special[p]], dtype=np.uint32) if p in special else plain(p) for p in cut.split(text)])
 
     encode.ordinary = encoding.encode_ordinary  # for short strings, special ones as plain text
     return encode
@@ -102,7 +118,7 @@ class Packer:
                 k = max(range(len(self.open)), key=lambda i: (self.open[i][1], -i))
             pieces, fill = self.open[k]
             take = min(need, self.window - fill)
-            pieces.append((doc_id, start, ids[start : start + take], total))
+            pieces.append((doc_id, start, ids[start : start + take].copy(), total))  # a view would hold the whole document
             start += take
             if fill + take == self.window:
                 self.emit(pieces)
