@@ -28,6 +28,7 @@ import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from loanproof.llm.common import Memo, texts
 
@@ -35,6 +36,31 @@ from loanproof.llm.common import Memo, texts
 END = "\ue000"
 #: How this vocabulary cuts words (fixed by the file): contractions, letters, one digit, other signs.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
+#: The same with the characters of the class ``%s`` counted as other signs.
+WORDS_BUT = r"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{L}--%s]+|[\p{N}--%s]|(?:[^\p{White_Space}\p{L}\p{N}]|%s)+"
+
+
+@lru_cache(maxsize=1)
+def newer_letters() -> str:
+    """A character class of the letters and numbers that the public library's older Unicode tables do not have.
+
+    Only code points unassigned in Python's tables can differ; the library's own pattern engine is asked about them.
+    """
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    found = []
+    for kind in (r"\p{L}", r"\p{N}"):
+        asked = [c for c in regex.findall(kind, every) if unicodedata.category(c) == "Cn"]
+        pieces = pre_tokenizers.Split(Regex(kind), "isolated").pre_tokenize_str("\n".join(asked))
+        known = {c for c, _ in pieces if len(c) == 1}
+        # Unknown ones stay glued to the line ends around them.
+        found += [ord(c) for c in asked if c not in known]
+    ranges: list[list[int]] = []
+    for c in sorted(found):
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges) + "]" if ranges else ""
 
 
 def byte_letters() -> list[str]:
@@ -49,6 +75,14 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+@lru_cache(maxsize=1)
+def newer_capitals() -> dict[int, str]:
+    """Lower case of the capitals that the public library knows and Python's tables do not, asked of its normalizer."""
+    unknown = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x110000)] if unicodedata.category(chr(c)) == "Cn"]
+    lower = normalizers.Lowercase().normalize_str("\n".join(unknown)).split("\n")
+    return {ord(c): small for c, small in zip(unknown, lower) if c != small}
+
+
 class WordBpe:
     """Encoder and decoder of a BPE file with word ends, lower case and dropped white space."""
 
@@ -80,6 +114,11 @@ class WordBpe:
         self.fits = lru_cache(maxsize=1 << 18)(self._fits)
         self.memo = Memo(self._word, memo)
         self.words = regex.compile(WORDS)
+        self.capitals = newer_capitals()
+        self.capital = regex.compile("[" + "".join(map(chr, self.capitals)) + "]") if self.capitals else None
+        newer = newer_letters()
+        self.newer = regex.compile(newer) if newer else None
+        self.words_but = regex.compile(WORDS_BUT.replace("%s", newer)) if newer else self.words
 
     def _fits(self, left: int, right: int) -> bool:
         """Whether no merge crosses the border between two neighbouring tokens."""
@@ -123,10 +162,15 @@ class WordBpe:
         return " ".join(map(str, ids)), " ".join([self.tokens[i] for i in ids])
 
     def _plain(self, text: str) -> list[tuple[str, str]]:
+        words = self.words
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            if self.newer is not None and self.newer.search(text):
+                words = self.words_but
+            if self.capital is not None and self.capital.search(text):
+                text = text.translate(self.capitals)
         memo = self.memo
-        return [memo[w] for w in self.words.findall(text.lower())]
+        return [memo[w] for w in words.findall(text.lower())]
 
     def encode(self, text: str) -> tuple[str, str]:
         """Decimal ids of a whole text and its decoded text, both joined by one space."""
