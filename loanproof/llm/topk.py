@@ -10,8 +10,9 @@ tasks. Within a task a chunk is held as one matrix and queries stream past it; e
 with its best k of that chunk, and a last aggregate keeps the best k of all.
 
 Defined cases: vectors that are null or hold null, NaN or infinite components take no part; a
-shorter vector is padded with zeros; components beyond 2**31 are held at that bound; a row is
-no candidate for queries of its own id; a repeated candidate row counts as often as it occurs,
+shorter vector is padded with zeros; scores are exact at every size, beyond 64 bits in products
+too, and a component of 2**62 or more or a result that is no long ends the query with an error
+that names its row; a row is no candidate for queries of its own id; a repeated candidate row counts as often as it occurs,
 a repeated query row once; ties go to the smaller id; an empty table gives an empty table.
 """
 
@@ -31,14 +32,17 @@ EVERY = 50
 PIVOTS = 64
 SAMPLE = 4_096
 CHUNK = 4_096
-_EDGE = 2**31
+_EDGE = 2.0**62
+_LONG = 2**63 - 1
 
 
 def quantised(rows: DataFrame) -> DataFrame:
     """vec_id and v (floor(256 x) as longs) of the vectors that take part."""
     x = F.col("embedding")
     good = x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < float("inf")))
-    whole = F.transform(x, lambda c: F.greatest(F.least(F.floor(c.cast("double") * 256), F.lit(_EDGE)), F.lit(-_EDGE)).cast("long"))
+    wide = F.raise_error(F.concat(F.lit("vec_id "), F.col("vec_id").cast("string"), F.lit(": a component of 2^62 or more")))
+    scaled = F.transform(x, lambda c: c.cast("double") * 256)
+    whole = F.transform(scaled, lambda c: F.when(F.abs(c) < _EDGE, F.floor(c).cast("long")).otherwise(wide.cast("long")))
     return rows.filter(good & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
 
 
@@ -76,11 +80,14 @@ def nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def best_of(ids: np.ndarray, data: np.ndarray, asked: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(position of the query, vec_id, score) of each query's best k rows; ids ascend, so ties keep the smaller."""
-    exact = max(np.abs(data).max(initial=0), 1) * max(np.abs(queries).max(initial=0), 1) * max(1, data.shape[1]) < 2**53
-    if exact:
+    # Python numbers: their product does not wrap around.
+    largest = int(np.abs(data).max(initial=0)) * int(np.abs(queries).max(initial=0)) * max(1, data.shape[1])
+    if largest < 2**53:
         scores = (queries @ data.T).astype(np.int64)
-    else:
+    elif largest <= _LONG:
         scores = queries.astype(np.int64) @ data.astype(np.int64).T
+    else:
+        scores = _wide_products(queries, data)
     lowest = np.iinfo(np.int64).min
     scores[asked[:, None] == ids[None, :]] = lowest
     if len(ids) > 4 * k:
@@ -93,9 +100,22 @@ def best_of(ids: np.ndarray, data: np.ndarray, asked: np.ndarray, queries: np.nd
     rank = np.arange(len(row)) - np.searchsorted(row, row)
     found = rank < k
     row, column = row[found], column[found]
+    beyond = np.abs(scores[row, column]) == _LONG
+    if beyond.any():
+        raise OverflowError(f"the score of vec_id {ids[column[beyond][0]]} for query {asked[row[beyond][0]]} is no long")
     return row, ids[column], scores[row, column]
 
 
+def _wide_products(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Exact inner products of components below 2**62, held at +-_LONG where they are larger."""
+    held = data.astype(np.int64).astype(object).T
+    scores = np.empty((len(queries), len(data)), dtype=np.int64)
+    for s in range(0, len(queries), 16):  # Python numbers take room: few queries at a time
+        block = queries[s : s + 16].astype(np.int64).astype(object) @ held
+        scores[s : s + 16] = np.clip(block, -_LONG, _LONG).astype(np.int64)
+    return scores
+
+
 def _solve(width: int, k: int):
     """Streams a partition sorted by (cell, chunk, kind): rows of kind 0 are the chunk, kind 1 asks it."""
 
@@ -149,6 +169,7 @@ def top_k(rows: DataFrame, k: int = K, every: int = EVERY, pivots: int = PIVOTS,
     summary = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("radius"), F.max("norm").alias("longest")).toArrow()  # a row per pivot
     radius, longest, parts = np.full(len(centres), -np.inf), np.zeros(len(centres)), np.ones(len(centres), dtype=np.int64)
     at = summary["cell"].to_numpy()
+    far = np.sqrt((centres**2).sum(axis=1))
     radius[at], longest[at] = summary["radius"].to_numpy(), summary["longest"].to_numpy()
     parts[at] = -(-summary["n"].to_numpy() // chunk)
     dealt = F.element_at(F.array(*[F.lit(int(p)) for p in parts]), F.col("cell").cast("int") + 1)
@@ -170,7 +191,8 @@ def top_k(rows: DataFrame, k: int = K, every: int = EVERY, pivots: int = PIVOTS,
             bound = np.array([-np.inf if b is None else float(b) for b in batch.column("bound").to_pylist()])
             norm = np.sqrt((q**2).sum(axis=1))[:, None]
             reach = np.minimum(q @ centres.T + norm * radius, norm * longest)
-            row, cell = np.nonzero((reach * (1 + 1e-9) + 1e-6 * np.abs(reach) + 1 >= bound[:, None]) & np.isfinite(radius))
+            slack = 1 + 1e-6 * np.abs(reach) + 1e-9 * norm * (far + np.maximum(radius, 0))  # rounding of sums and of norms
+            row, cell = np.nonzero((reach + slack >= bound[:, None]) & np.isfinite(radius))
             many = parts[cell]
             row, cell = np.repeat(row, many), np.repeat(cell, many)
             part = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)

@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 import xxhash
 
 from loanproof.llm import bpe, licenses, lm, packing, quality, rules, secrets, simhash, topk, toxicity
@@ -137,6 +139,32 @@ def test_secret_entropy_and_redaction(odd):
     assert clean[0].text is None and clean[10].text == dict(texts_of(odd))[10]
 
 
+def test_secrets_beside_allowed_words_and_base_spans(spark):
+    random = "q8Zk2Lm9Xw4Tn7Vb1Rc5"
+    texts = [
+        f"EXAMPLE_DB={random}",
+        f"AKIA{'B7' * 8}/{random}",
+        f"see {random}/AKIA{'B7' * 8}",
+        "id=550e8400-e29b-41d4-a716-446655440000",
+        "token=abcdefgh1234567890 and example/placeholder/0123456789abc",
+    ]
+    want = ["EXAMPLE_DB=[SECRET]", "[SECRET][SECRET]", "see [SECRET][SECRET]", texts[3], "[SECRET] and example/placeholder/0123456789abc"]
+    named = [(i, t, "kept", "free", "a.b", [1]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(named, "doc_id long, text string, _text string, _found string, `base.x` string, spans array<int>")
+    clean = secrets.redact(docs)
+    assert clean.columns == docs.columns
+    for r, t in zip(sorted(rows(clean)), want):
+        assert (r.text, r[2:]) == (t, ("kept", "free", "a.b", [1]))
+
+
+def test_long_candidate(spark):
+    rng = np.random.default_rng(3)
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"))
+    block = "".join(letters[rng.integers(0, 64, 1_000_000)])
+    docs = spark.createDataFrame([(1, f"head {block} tail {block}", "x")], "doc_id long, text string, lang string")
+    assert rows(secrets.redact(docs))[0].text == "head [SECRET] tail [SECRET]"
+
+
 def test_entropy_of_windows(spark):
     def best(text):
         return max(sum(-n / 20 * math.log2(n / 20) for n in Counter(text[k : k + 20]).values()) for k in range(len(text) - 19))
@@ -318,6 +346,44 @@ def test_top_k_against_all_pairs(spark):
     assert len(rows(topk.top_k(df.filter("vec_id in (0, 3)")))) == 1
 
 
+def test_top_k_of_large_components(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((300, 4)) * 10.0 ** rng.integers(0, 7, (300, 1))
+    wholes = {i: [math.floor(256 * c) for c in v] for i, v in enumerate(x.tolist())}
+    table = spark.createDataFrame([*enumerate(x.tolist()), (None, [1.0] * 4)], "vec_id long, embedding array<double>")
+    want = []
+    for q in range(0, 300, 50):
+        scores = sorted((-sum(a * b for a, b in zip(wholes[q], v)), i) for i, v in wholes.items() if i != q)
+        want += [(q, rank + 1, i, -score) for rank, (score, i) in enumerate(scores[:5])]
+    assert sorted(tuple(r) for r in rows(topk.top_k(table, pivots=4, chunk=64))) == want
+    # Products beyond 64 bits that cancel out stay exact; what does not fit ends with the row's name.
+    big = np.array([[2.0**61, -(2.0**61), 3.0], [2.0**61, 2.0**61, 0.0]])
+    assert topk._wide_products(np.array([[2.0**60, 2.0**60, 5.0]]), big).tolist() == [[15, topk._LONG]]
+    with pytest.raises(OverflowError, match="vec_id 9"):
+        topk.best_of(np.array([8, 9]), big, np.array([0]), np.array([[2.0**60, 2.0**60, 5.0]]), 1)
+    with pytest.raises(Exception, match="vec_id 7: a component"):
+        rows(topk.top_k(spark.createDataFrame([(7, [1e30]), (50, [1.0])], "vec_id long, embedding array<double>")))
+
+
+def test_bpe_newer_letters_equal_library():
+    whole, coder = tokenizer(WORD_BPE), bpe.encoder(tokenizer_path(WORD_BPE))
+    odd = regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, [*range(1, 0xD800), *range(0xE000, 0x110000)])))
+    odd = [c for c in odd if unicodedata.category(c) == "Cn"]
+    assert odd
+    for c in odd:
+        for text in (f"a{c}b", f"9{c}{c}!", f"{c} {c}x"):
+            assert coder.encode_ids(text) == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_long_white_space():
+    whole, encode = tokenizer(BYTE_BPE), packing.byte_encoder(tokenizer_path(BYTE_BPE))
+    wide = packing.LONG_SPACE
+    texts = [" " * 1_000_000 + "a", "a" + "\t" * 1_000_000, "\n" * wide, "x" + " " * wide + "b" + " " * (wide - 1) + "c"]
+    texts += [" \n" * wide + "<|endoftext|>" + " " * wide + " 's 7", "a" + "\u3000" * wide + "\x85" * 3 + "!" + " " * wide]
+    for text in texts:
+        assert encode(text).tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_empty_tables(none, labels):
     path = tokenizer_path(BYTE_BPE)
     found = [bpe.bpe_digest(none, tokenizer_path(WORD_BPE)), packing.pack(none, path), simhash.near_duplicates(none), simhash.drop_near_duplicates(none), secrets.secret_scan(none), secrets.redact(none), quality.quality_scores(none, labels), toxicity.toxicity_scores(none, labels), rules.quality_rules(none, labels), licenses.license_scan(none), lm.corpus_scores(none, path)]
