@@ -1,20 +1,20 @@
 """Distance to the nearest other row, exact, without comparing all pairs.
 
 Rows that agree on all fields collapse first; their distance is 0. The distinct points are
-cut into boxes of bounded size along quantiles. Each point finds its nearest other point in
-its own box, which bounds the distance, and then visits only the boxes that this bound
-reaches. A box a bound does not reach cannot hold a nearer point, so nothing is missed.
+cut into regions along the quantiles of a sample, so that a region fits a task. Each point
+finds its nearest other point in its own region, which bounds the distance, and then visits
+only the regions that this bound reaches. Within a region the same is done once more with
+boxes. What a bound does not reach cannot hold a nearer point, so nothing is missed.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,15 +23,14 @@ from loanproof.operators.prep import scale_values
 from loanproof.session import materialize, ship_package, small_table
 
 # Points one box may hold, and visits one task answers at a time.
-BOX_POINTS = 1_000
+BOX_POINTS = 250
 VISITS = 20_000
-# Dimensions cut in one round (2 ** CUTS boxes each), and dimensions looked at in one round.
-CUTS = 3
-LOOK = 12
-# Split tables up to this many boxes are broadcast (some 200 bytes each); beyond, joined by key.
-BROADCAST_BOXES = 50_000
-# Points that give a first bound to a point alone in its box.
-ANCHORS = 256
+# Points of a region, the unit that one task holds; a table beyond the number of regions has larger ones.
+REGION_POINTS = 16_384
+MOST_REGIONS = 4_096
+# Sampled points per region that place the cuts, and the coordinates that the sample may have in all.
+SAMPLED = 64
+SAMPLE_CELLS = 4_000_000
 
 CUTOFFS = (0.01, 0.05, 0.10, 0.25)
 
@@ -50,89 +49,67 @@ def _dims(points: DataFrame) -> list[str]:
     return [c for c in points.columns if c.startswith("x")]
 
 
-def _split_round(points: DataFrame, dims: Sequence[str], looked: Sequence[int], limit: int) -> DataFrame | None:
-    """Cuts for every box above the limit: (box, d0, c0, d1, c1, ..), or None if there is none.
+def _halves(points: np.ndarray) -> tuple[int, float] | None:
+    """The widest dimension and its cut, with points on both sides of it; None if all points agree."""
+    low = points.min(axis=0)
+    dim = int(np.argmax(points.max(axis=0) - low))
+    values = points[:, dim]
+    above = values[values > low[dim]]
+    if not len(above):
+        return None
+    return dim, float(max(np.partition(values, len(values) // 2)[len(values) // 2], above.min()))
 
-    The widest dimensions of a box are cut in half. A cut must lie above the smallest value,
-    or it would part nothing: where the median does not, a higher quantile or the largest
-    value does, so two points that differ in a looked-at dimension always part.
-    """
-    probs = [0.5, 0.75, 0.9, 1.0]
-
-    def side(i: int) -> Column:
-        d = dims[i]
-        high = F.filter(F.percentile_approx(d, probs, 1_000), lambda e: e > F.min(d))
-        return F.struct(
-            (F.max(d) - F.min(d)).alias("width"),
-            F.lit(i).alias("dim"),
-            F.coalesce(F.try_element_at(high, F.lit(1)), F.max(d)).alias("cut"),
-        )
 
-    full = materialize(points.groupBy("box").agg(F.count("*").alias("n")).filter(F.col("n") > limit).select("box"))
-    boxes = full.count()
-    if boxes == 0:
-        return None
-    inside = points.join(_known_size(full, boxes), "box", "left_semi")
-    sized = inside.groupBy("box").agg(*[side(i).alias(f"s{i}") for i in looked])
-    widest = F.sort_array(F.array(*[F.col(f"s{i}") for i in looked]), asc=False)
-    large = sized.select("box", F.filter(widest, lambda s: s["width"] > 0).alias("s"))
-    pick = []
-    for k in range(min(CUTS, len(looked))):
-        one = F.try_element_at("s", F.lit(k + 1))
-        pick += [one["dim"].alias(f"d{k}"), one["cut"].alias(f"c{k}")]
-    splits = materialize(large.filter(F.size("s") > 0).select("box", *pick))
-    cut = splits.count()
-    return _known_size(splits, cut) if cut else None
-
-
-def _known_size(table: DataFrame, rows: int) -> DataFrame:
-    """The table with a broadcast hint while its counted rows stay under the bound."""
-    return F.broadcast(table) if rows <= BROADCAST_BOXES else table
-
-
-def _cut_dims(rounds: Sequence[DataFrame]) -> list[int]:
-    """The dimensions that any box was cut along; at most one number per dimension."""
-    used: set[int] = set()
-    for splits in rounds:
-        cut = F.explode(F.array(*[c for c in splits.columns if c.startswith("d")]))
-        used |= {r["d"] for r in splits.select(cut.alias("d")).distinct().collect() if r["d"] is not None}
-    return sorted(used)
-
-
-def _descend(
-    points: DataFrame, splits: DataFrame, dims: Sequence[str], radius: str | None = None, gaps: Sequence[int] = ()
-) -> DataFrame:
-    """One level down: the box of each point or, with a radius, all boxes within reach.
+def _region_tree(sample: np.ndarray, regions: int) -> list[tuple[int, float, int, int]]:
+    """Nodes (dim, cut, below, above) that cut the sample into regions; a child -1 - r is region r."""
+    nodes: list[tuple[int, float, int, int]] = []
+    made = 0
+
+    def grow(points: np.ndarray, wanted: int) -> int:
+        nonlocal made
+        cut = _halves(points) if wanted > 1 and len(points) > 1 else None
+        if cut is None:
+            made += 1
+            return -made
+        at = len(nodes)
+        nodes.append((*cut, 0, 0))
+        right = points[:, cut[0]] >= cut[1]
+        more = min(max(round(wanted * right.mean()), 1), wanted - 1)
+        nodes[at] = (*cut, grow(points[~right], wanted - more), grow(points[right], more))
+        return at
+
+    grow(sample, regions)
+    return nodes
+
+
+def _reached(tree: Sequence[tuple[int, float, int, int]], x: np.ndarray, radius: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(region, numbers of the points within their radius of it); the radius 0 gives the own region alone.
 
-    The path to a box adds one 0/1 sign per cut. With a radius, a column per dimension in
-    ``gaps`` holds how far the point lies outside the box along it; a box is within reach
-    while the root of their squares is.
+    Going down, each point carries how far it lies outside the cell along each dimension.
     """
-    cuts = [c for c in splits.columns if c.startswith("c")]
-    joined = points.join(splits, "box", "left")
-    for k in range(len(cuts)):
-        at = F.element_at(F.array(*dims), F.col(f"d{k}") + 1)
-        joined = joined.withColumn(f"a{k}", F.when(F.col(f"d{k}").isNotNull(), at - F.col(f"c{k}")))
-    own = [F.when(F.col(f"a{k}").isNotNull(), (F.col(f"a{k}") >= 0).cast("int")) for k in range(len(cuts))]
-    drop = [f"{p}{k}" for p in "adc" for k in range(len(cuts))]
-    if radius is None:
-        signs = F.concat(*[F.coalesce(bit.cast("string"), F.lit("")) for bit in own])
-        return joined.withColumn("box", F.concat("box", signs)).drop(*drop)
-    for k, bit in enumerate(own):
-        # Both sides of a cut, unless the other side is out of reach along this dimension alone.
-        near = F.abs(F.col(f"a{k}")) <= F.col(radius)
-        sides = F.when(bit.isNull(), F.array(F.lit(-1))).when(near, F.array(bit, 1 - bit)).otherwise(F.array(bit))
-        joined = joined.withColumn(f"b{k}", F.explode(sides))
-        gap = F.when(F.col(f"b{k}") == bit, 0.0).otherwise(F.abs(F.col(f"a{k}")))
-        joined = joined.withColumns(
-            {f"g{i}": F.when(F.col(f"d{k}") == i, F.greatest(f"g{i}", gap)).otherwise(F.col(f"g{i}")) for i in gaps}
-        )
-    square = reduce(lambda a, b: a + b, [F.col(f"g{i}") * F.col(f"g{i}") for i in gaps])
-    signs = F.concat(
-        *[F.when(F.col(f"b{k}") >= 0, F.col(f"b{k}").cast("string")).otherwise("") for k in range(len(cuts))]
-    )
-    reached = joined.filter(square <= F.col(radius) * F.col(radius))
-    return reached.withColumn("box", F.concat("box", signs)).drop(*drop, *[f"b{k}" for k in range(len(cuts))])
+    open_cells = [(0 if tree else -1, np.arange(len(x)), np.zeros_like(x))]
+    while open_cells:
+        node, mine, gaps = open_cells.pop()
+        if node < 0:
+            yield -1 - node, mine
+            continue
+        dim, cut, below, above = tree[node]
+        right = x[mine, dim] >= cut
+        outside = np.maximum(gaps[:, dim], np.abs(x[mine, dim] - cut))
+        square = (gaps * gaps).sum(axis=1) - gaps[:, dim] ** 2 + outside**2
+        near = (radius[mine] > 0) & (square <= (radius[mine] * (1 + 1e-9)) ** 2)
+        for child, home in ((below, ~right), (above, right)):
+            keep = home | near
+            if keep.any():
+                held = gaps[keep]
+                held[:, dim] = np.where(home[keep], held[:, dim], outside[keep])
+                open_cells.append((child, mine[keep], held))
+
+
+def _coordinates(table: pa.Table | pa.RecordBatch) -> np.ndarray:
+    x = table.column("x")
+    flat = (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x).flatten()
+    return flat.to_numpy(zero_copy_only=False).reshape(table.num_rows, -1) if table.num_rows else np.zeros((0, 0))
 
 
 def _nearest(targets: np.ndarray, queries: np.ndarray, skip_same: bool) -> np.ndarray:
@@ -154,90 +131,155 @@ def _nearest(targets: np.ndarray, queries: np.ndarray, skip_same: bool) -> np.nd
         if skip_same:
             sq[np.arange(len(block)), start + np.arange(len(block))] = np.inf
         best = sq.argmin(axis=1)
-        out[start : start + step] = np.sqrt(((block - t[best]) ** 2).sum(axis=1))
+        out[start : start + step] = np.sqrt(((queries[start : start + step] - targets[best]) ** 2).sum(axis=1))
     return out
 
 
+def _boxes(points: np.ndarray, limit: int) -> list[np.ndarray]:
+    """Numbers of the points of each box of at most ``limit`` points, cut in half along the widest dimension."""
+    done, todo = [], [np.arange(len(points))]
+    while todo:
+        mine = todo.pop()
+        cut = _halves(points[mine]) if len(mine) > limit else None
+        if cut is None:
+            done.append(mine)
+            continue
+        right = points[mine, cut[0]] >= cut[1]
+        todo += [mine[~right], mine[right]]
+    return done
+
+
+def _search(targets: np.ndarray, queries: np.ndarray | None, radius: np.ndarray, limit: int) -> np.ndarray:
+    """Distance of each query to its nearest target within its radius, else infinite.
+
+    Without ``queries`` the targets seek each other.
+    """
+    boxes = _boxes(targets, limit)
+    seek = targets if queries is None else queries
+    best = np.full(len(seek), np.inf)
+    home = np.full(len(seek), -1)
+    if queries is None:
+        for k, box in enumerate(boxes):
+            best[box], home[box] = _nearest(targets[box], targets[box], True), k
+    for k, box in enumerate(boxes):
+        held = targets[box]
+        outside = np.maximum(np.maximum(held.min(axis=0) - seek, seek - held.max(axis=0)), 0.0)
+        reach = np.minimum(best, radius) * (1 + 1e-9)
+        mine = np.flatnonzero((home != k) & ((outside * outside).sum(axis=1) <= reach * reach))
+        if len(mine):
+            best[mine] = np.minimum(best[mine], _nearest(held, seek[mine], False))
+    return best
+
+
+def _region_kernel(tree: Sequence[tuple[int, float, int, int]]) -> Callable:
+    """Adds the region of each point."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _coordinates(batch)
+            region = np.zeros(len(x), dtype=np.int32)
+            for r, mine in _reached(tree, x, np.zeros(len(x))):
+                region[mine] = r
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(region)], names=[*batch.schema.names, "region"])
+
+    return run
+
+
+def _visit_kernel(tree: Sequence[tuple[int, float, int, int]], counted: bool) -> Callable:
+    """The visits of each point to regions other than its own, or how many each region gets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, home = _coordinates(batch), batch.column("region").to_numpy()
+            for r, mine in _reached(tree, x, batch.column("radius").to_numpy()):
+                mine = mine[home[mine] != r]
+                if counted:
+                    yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([len(mine)], pa.int64())], names=["region", "n"])
+                elif len(mine):
+                    got = batch.take(pa.array(mine))
+                    columns = [pa.repeat(r, len(mine)).cast(pa.int32()), *[got.column(c) for c in ("point", "x", "radius")]]
+                    yield pa.RecordBatch.from_arrays(columns, names=["region", "point", "x", "radius"])
+
+    return run
+
+
 def nearest_other_distance(
     points: DataFrame,
     row_id: str,
     reach: float | str | None = None,
     box_points: int = BOX_POINTS,
     visits: int = VISITS,
+    region_points: int = REGION_POINTS,
 ) -> DataFrame:
     """(point, copies, distance) per distinct point: Euclidean distance to the nearest other row.
 
     ``points`` holds the id and the coordinates x0, x1, .. A point with copies has distance
-    0; a table with a single row gives NULL. With ``reach`` only distances up to it are
+    0; a table with a single row gives NULL, and so does a point with a missing coordinate,
+    which is near to nothing. With ``reach`` only distances up to it are
     exact, and a larger one is known to be larger: that is all a count below a cutoff needs.
     ``reach='median'`` takes the median of the first bounds (at least 0.25), which the true
     median cannot exceed.
     """
     dims = _dims(points)
-    distinct = points.groupBy(*dims).agg(F.count("*").alias("copies"), F.min(row_id).alias("point"))
-    boxed = materialize(distinct.withColumn("box", F.lit("b")))
-    groups = [range(i, min(i + LOOK, len(dims))) for i in range(0, len(dims), LOOK)]
-    rounds: list[DataFrame] = []
-    idle = turn = 0
-    while idle < len(groups):
-        splits = _split_round(boxed, dims, groups[turn % len(groups)], box_points)
-        turn += 1
-        if splits is None:
-            idle += 1
-            continue
-        idle = 0
-        rounds.append(splits)
-        boxed = materialize(_descend(boxed, splits, dims))
-
-    anchors = np.array([list(r) for r in boxed.select(*dims).limit(ANCHORS).collect()], dtype=float)
-    own_type = T.StructType([*boxed.schema.fields, T.StructField("bound", T.DoubleType(), True)])
+    grouped = points.groupBy(*dims).agg(F.count("*").alias("copies"), F.min(row_id).alias("point"))
+    distinct = materialize(grouped.select("point", "copies", F.array(*dims).alias("x")))
+    ship_package(distinct.sparkSession)  # the kernels below live in this package
+    whole = F.forall("x", lambda e: e.isNotNull() & (F.abs(e) < math.inf))
+    placed, unplaced = distinct.filter(whole), distinct.filter(~whole)
+    size = placed.count()
+    regions = min(MOST_REGIONS, math.ceil(size / region_points))
+    tree: list[tuple[int, float, int, int]] = []
+    if regions > 1:
+        share = min(1.0, min(SAMPLED * regions, SAMPLE_CELLS // len(dims)) / size)
+        sampled = placed.filter(F.pmod(F.xxhash64("x"), F.lit(1 << 40)) <= int(share * (1 << 40)))
+        tree = _region_tree(_coordinates(sampled.select("x").toArrow()), regions)
+    id_type = points.schema[row_id].dataType.simpleString()
+    boxed = placed.mapInArrow(_region_kernel(tree), T.StructType([*placed.schema.fields, T.StructField("region", T.IntegerType())]))
+    far = math.inf if reach in (None, "median") else float(reach)
 
-    def own_box(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf[dims].to_numpy(dtype=float)
-        if len(x) > 1:
-            return pdf.assign(bound=_nearest(x, x, True))
-        far = np.sqrt(((anchors - x[0]) ** 2).sum(axis=1))
-        return pdf.assign(bound=far[far > 0].min(initial=np.inf))
+    def own_region(table: pa.Table) -> pa.Table:
+        x = _coordinates(table)
+        return table.append_column("bound", pa.array(_search(x, None, np.full(len(x), far), box_points)))
 
-    ship_package(boxed.sparkSession)  # the kernels below live in this package
     # Copies are at distance 0 already, but they stay as targets for other points.
-    local = materialize(boxed.groupBy("box").applyInPandas(own_box, own_type))
+    local = boxed.groupBy("region").applyInArrow(own_region, T.StructType([*boxed.schema.fields, T.StructField("bound", T.DoubleType())]))
+    local = materialize(local)
     own = local.select("point", F.when(F.col("copies") > 1, 0.0).otherwise(F.col("bound")).alias("distance"), "copies")
+    lone = F.when(F.col("copies") > 1, 0.0).otherwise(math.inf)
+    own = own.unionByName(unplaced.select("point", lone.alias("distance"), "copies"))
     if reach == "median":
-        reach = max(_median_ends(own)[1] or math.inf, max(CUTOFFS))
-    bound = F.col("bound") if reach is None else F.least("bound", F.lit(float(reach)))
-    gaps = _cut_dims(rounds)
-    visiting = local.filter("copies = 1").select(
-        F.lit("b").alias("box"),
-        F.col("box").alias("home"),
-        "point",
-        *dims,
-        (bound * (1 + 1e-9) + 1e-9).alias("radius"),
-        *[F.lit(0.0).alias(f"g{i}") for i in gaps],
-    )
-    for splits in rounds:
-        visiting = _descend(visiting, splits, dims, "radius", gaps)
-    visiting = materialize(visiting.filter("box <> home").select("box", "point", *dims))
-
-    # A box that many points visit answers them in shares; its own points go to each share.
-    shares = visiting.groupBy("box").agg(F.ceil(F.count("*") / F.lit(visits)).cast("int").alias("shares"))
-    seekers = visiting.join(shares, "box").withColumn("share", F.pmod(F.xxhash64("point"), F.col("shares")).cast("int"))
-    members = boxed.join(shares, "box").select(
-        "box", *dims, F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share")
-    )
-
-    def answer(seek: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        got = _nearest(held[dims].to_numpy(dtype=float), seek[dims].to_numpy(dtype=float), False)
-        return pd.DataFrame({"point": seek["point"], "distance": got})
+        far = max(_median_ends(own.filter(F.col("distance") < math.inf))[1] or math.inf, max(CUTOFFS))
+    both = own
+    if tree:
+        visiting = local.filter("copies = 1").select("region", "point", "x", F.least("bound", F.lit(far)).alias("radius"))
+        # A region that many points visit answers them in shares; its own points go to each share.
+        counts = visiting.select("region", "x", "radius").mapInArrow(_visit_kernel(tree, True), "region int, n long")
+        shares = materialize(
+            counts.groupBy("region").agg(F.ceil(F.sum("n") / F.lit(visits)).cast("int").alias("shares")).filter("shares > 0")
+        )
+        seekers = (
+            visiting.mapInArrow(_visit_kernel(tree, False), f"region int, point {id_type}, x array<double>, radius double")
+            .join(F.broadcast(shares), "region")
+            .withColumn("share", F.pmod(F.xxhash64("x"), F.col("shares")).cast("int"))
+        )
+        members = local.join(F.broadcast(shares), "region").select(
+            "region", "x", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share")
+        )
 
-    id_type = points.schema[row_id].dataType.simpleString()
-    answers = (
-        seekers.select("box", "share", "point", *dims)
-        .groupBy("box", "share")
-        .cogroup(members.groupBy("box", "share"))
-        .applyInPandas(answer, f"point {id_type}, distance double")
-    )
-    both = own.unionByName(answers.withColumn("copies", F.lit(None).cast("bigint")))
+        def answer(seek: pa.Table, held: pa.Table) -> pa.Table:
+            got = np.zeros(0)
+            if seek.num_rows:
+                got = _search(_coordinates(held), _coordinates(seek), seek.column("radius").to_numpy(), box_points)
+            return pa.table({"point": seek.column("point"), "distance": pa.array(got)})
+
+        answers = (
+            seekers.select("region", "share", "point", "x", "radius")
+            .groupBy("region", "share")
+            .cogroup(members.groupBy("region", "share"))
+            .applyInArrow(answer, f"point {id_type}, distance double")
+        )
+        found = answers.filter(F.col("distance") < math.inf)
+        both = own.unionByName(found.withColumn("copies", F.lit(None).cast("bigint")))
     best = both.groupBy("point").agg(F.min("distance").alias("d"), F.max("copies").alias("copies"))
     return best.select("point", "copies", F.when(F.col("d") < math.inf, F.col("d")).alias("distance"))
 

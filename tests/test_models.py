@@ -148,6 +148,32 @@ def test_nearest_other_row(spark, box):
         assert r["distance"] == pytest.approx(want[r["point"]], abs=1e-12)
 
 
+@pytest.mark.parametrize("reach", [None, 0.3])
+def test_nearest_other_row_in_many_regions(spark, reach):
+    rng = np.random.default_rng(9)
+    cloud = np.round(rng.normal(size=(400, 3)), 2)
+    cloud[::7, 1] = 0.0
+    rows = [(i, *map(float, r)) for i, r in enumerate(cloud)] + [(900, None, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "id int, x0 double, x1 double, x2 double")
+    found = {r["point"]: r for r in neighbours.nearest_other_distance(df, "id", reach, box_points=10, visits=25, region_points=30).collect()}
+    assert found.pop(900)["distance"] is None
+    for k, want in enumerate(brute(cloud)):
+        if k in found and (reach is None or want <= reach):
+            assert found[k]["distance"] == pytest.approx(want, abs=1e-12)
+        elif k in found:
+            assert found[k]["distance"] is None or found[k]["distance"] > reach
+
+
+def test_visits_are_not_written_per_box(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(rng.normal(size=(600, 8)))], "id int, " + ", ".join(f"x{i} double" for i in range(8)))
+    written = []
+    real = neighbours.materialize
+    monkeypatch.setattr(neighbours, "materialize", lambda d: written.append(real(d)) or written[-1])
+    assert neighbours.nearest_other_distance(df, "id", box_points=10, region_points=100).count() == 600
+    assert max(w.count() for w in written) <= 600
+
+
 def test_nearest_of_one_row(spark):
     df = spark.createDataFrame([(1, 0.0)], "id int, x0 double")
     assert neighbours.nearest_other_distance(df, "id").first()["distance"] is None
