@@ -296,7 +296,7 @@ def near_duplicate_screen(
     """
     points, medians = standardized(raw, columns, row_id)
     first = materialize(nearest_other_distance(points, row_id, "median", **limits))
-    after, _ = standardized(survivors, columns, row_id, medians)
+    after, _ = standardized(materialize(survivors.select(row_id, *columns)), columns, row_id, medians)
     second = materialize(nearest_other_distance(after, row_id, 0.10, **limits))
 
     low, high = _median_ends(first)
