@@ -29,6 +29,9 @@ MLLIB_MAX_DEPTH = 30
 # Each row keeps its node in every tree, cut by a checkpoint every few passes, so that the trees do not
 # travel with the tasks; the larger room for statistics serves more nodes a pass.
 TREE_RUN = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 1024}
+# A round of boosting grows one shallow tree, which is cheaper to send than a node number per row is to
+# keep; the running predictions are cut by a checkpoint every few rounds.
+BOOST_RUN = {"cacheNodeIds": False, "checkpointInterval": 20}
 
 
 @dataclass(frozen=True)
@@ -386,7 +389,7 @@ def boosted_model(
     depth: int = 3,
     seed: int = 7,
 ) -> VectorModel:
-    estimator = GBTClassifier(**TREE_RUN, maxIter=rounds, stepSize=step, maxDepth=depth, seed=seed)
+    estimator = GBTClassifier(**BOOST_RUN, maxIter=rounds, stepSize=step, maxDepth=depth, seed=seed)
     return _fit_vector_model(estimator, train, columns, target)
 
 

@@ -210,3 +210,17 @@ def test_registered_runs_have_full_sizes(spark, folder, monkeypatch):
     sizes_of(models, "tune", "challengers")
     sizes_of(models, "forest_model", "forest_model")
     sizes_of(models, "boosted_model", "boosted_model")
+
+
+def test_boosting_keeps_no_node_number_per_row(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    rows = [(float(a), float(b), int(a + b > 1.1)) for a, b in rng.random((300, 2))]
+    train = spark.createDataFrame(rows, "a double, b double, y int")
+    kept = []
+    real = models._fit_vector_model
+    monkeypatch.setattr(models, "_fit_vector_model", lambda e, *rest: kept.append(e.getCacheNodeIds()) or real(e, *rest))
+    mine = models.boosted_model(train, ["a", "b"], "y", rounds=3)
+    monkeypatch.setattr(models, "BOOST_RUN", models.TREE_RUN)
+    before = models.boosted_model(train, ["a", "b"], "y", rounds=3)
+    assert kept == [False, True]
+    assert mine.model.toDebugString.split("\n")[1:] == before.model.toDebugString.split("\n")[1:]
