@@ -57,6 +57,16 @@ def test_every_date_text_goes_through_the_strict_parser(spark, folder, apps):
     assert found.exceptAll(wanted).count() == wanted.exceptAll(found).count() == 0
 
 
+def test_reports_build_the_application_table_once(spark, folder, monkeypatch):
+    built = []
+    real = src.build_applications
+    monkeypatch.setattr(src, "build_applications", lambda *a: built.append(a) or real(*a))
+    monkeypatch.setattr(queries, "REPORTS", ("population_summary", "threshold_sweep", "score_rows"))
+    rows = {r["report"]: r["rows"] for r in queries.report_sink(spark, folder).collect()}
+    assert rows == {"population_summary": 3, "threshold_sweep": 91, "score_rows": 1363}
+    assert len(built) == 1 and not queries._written
+
+
 def test_triples_and_missing_cells_in_signatures(spark):
     rows = [(3, "a", None), (1, "a", None), (2, "a", None), (4, "b", 1), (5, "b", 2)]
     df = spark.createDataFrame(rows, "id int, k string, v int")
