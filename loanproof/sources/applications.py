@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from loanproof.schema import APPS, ApplicationSchema
 from loanproof.session import small_table
+from loanproof.sources.digests import file_digests
 
 
 class SchemaMismatch(ValueError):
@@ -210,12 +211,11 @@ def table_fingerprint(df: DataFrame) -> DataFrame:
 
 
 def file_fingerprint(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 per input file, for bit-exact identity of small deliveries."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(
+    """SHA-256 per input file, for bit-exact identity of deliveries."""
+    return file_digests(spark, path).select(
         F.element_at(F.split("path", "/"), -1).alias("file"),
         F.col("length").alias("bytes"),
-        F.sha2("content", 256).alias("sha256"),
+        "sha256",
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 import pytest
@@ -12,7 +13,7 @@ from loanproof.operators import audit, population
 from loanproof.schema import APPS, LOAN_BOOK
 from loanproof.session import shared_dir
 from loanproof.sources import applications as src
-from loanproof.sources import sinks
+from loanproof.sources import digests, sinks
 
 
 def test_known_sizes(apps):
@@ -108,3 +109,30 @@ def test_scores_are_written_by_quarter(spark, apps):
     assert back.count() == scored.count() and "quarter" in back.columns
     plan = back.filter("quarter = '1998Q1'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(quarter" in plan
+
+
+def test_no_task_reads_a_whole_large_file(spark, tmp_path, monkeypatch):
+    """Files beyond the bytes of a link, one with a space in its name, go through several tasks."""
+    monkeypatch.setattr(digests, "LINK", 1000)
+    texts = {"a.parquet": bytes(range(256)) * 13, "b c.parquet": b"x" * 1000, "e.parquet": b"y" * 2001}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text)
+    rounds, kept = [], digests.materialize
+
+    def seen(df):
+        rounds.append(kept(df))
+        return rounds[-1]
+
+    monkeypatch.setattr(digests, "materialize", seen)
+    found = {r["file"]: (r["bytes"], r["sha256"]) for r in src.file_fingerprint(spark, f"{tmp_path}/*.parquet").collect()}
+    assert found == {n: (len(t), hashlib.sha256(t).hexdigest()) for n, t in texts.items()}
+    read = [{r["path"]: r["at"] for r in x.collect()} for x in rounds]
+    steps = [now[p] - before[p] for before, now in zip(read, read[1:]) for p in now]
+    assert len(read) == 5 and max(steps) == 1000
+
+
+def test_digest_states_go_on():
+    state = digests.begun()
+    for piece in (b"a" * 63, b"", b"b", b"c" * 130):
+        state = digests.added(state, [piece])
+    assert digests.ended(state) == hashlib.sha256(b"a" * 63 + b"b" + b"c" * 130).hexdigest()
