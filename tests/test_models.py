@@ -224,3 +224,26 @@ def test_boosting_keeps_no_node_number_per_row(spark, monkeypatch):
     before = models.boosted_model(train, ["a", "b"], "y", rounds=3)
     assert kept == [False, True]
     assert mine.model.toDebugString.split("\n")[1:] == before.model.toDebugString.split("\n")[1:]
+
+
+def test_mutual_information_counts_bins_in_the_tasks(spark):
+    """Missing values are a bin of their own, NaN lies above all cuts, and no row is copied per feature."""
+    rng = np.random.default_rng(8)
+    nan, y = float("nan"), rng.integers(0, 2, 300).tolist()
+    a = [None if i % 11 == 0 else nan if i % 13 == 0 else round(float(rng.normal()) + v, 1) for i, v in enumerate(y)]
+    rows = [(v, x, int(rng.integers(3))) for v, x in zip(y, a)] + [(None, 0.5, 1)]
+    df = spark.createDataFrame(rows, "t int, a double, `b c` int").repartition(3)
+    made = prep.mutual_information(df, ["a", "b c"], "t")
+    assert "Generate" not in made._jdf.queryExecution().executedPlan().toString()
+    cuts = prep.quantile_map(df, ["a", "b c"], [i / 10 for i in range(1, 10)])
+    want = {}
+    for k, name in enumerate(["a", "b c"], 1):
+        edges = {x for x in cuts[name].values() if x == x}
+        bins = [None if r[k] is None else len(edges) if r[k] != r[k] else sum(x < r[k] for x in edges) for r in rows[:-1]]
+        want[name] = 0.0
+        for b in set(bins):
+            for side in (0, 1):
+                n = sum(x == b and v == side for x, v in zip(bins, y))
+                if n:
+                    want[name] += n / 300 * np.log(n * 300 / (bins.count(b) * y.count(side)))
+    assert {r["feature"]: r["mutual_information"] for r in made.collect()} == pytest.approx(want)
