@@ -37,6 +37,7 @@ import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -45,7 +46,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanproof.llm.common import Memo, fold, lower_words, texts
+from loanproof.llm.common import Memo, fold, texts
 from loanproof.llm.packing import byte_encoder
 from loanproof.session import shared_dir
 
@@ -67,6 +68,8 @@ RATE = 0.02
 COMMON = 1 << 17
 GRAMS = 1 << 18
 _FLUSH = 500_000
+_PART = 1 << 22
+_ABOUT = 1 << 12
 _STOP = CLASSES - 1
 
 
@@ -82,14 +85,41 @@ def _sums(held: Counter, names: list[str], kind: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(held.keys(), kind), pa.array(held.values(), pa.int64())], names=names)
 
 
+def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in parts of some ``_PART`` bytes, one row at least."""
+    rows = max(1, len(batch) * _PART // max(batch.nbytes, 1))
+    for k in range(0, len(batch), rows):
+        yield batch.slice(k, rows)
+
+
+def laid_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts as ``lower_words`` cuts them, end to end, and how many each text has."""
+    raw = column.cast(pa.large_binary())
+    bounds = np.frombuffer(raw.buffers()[1], dtype=np.int64)[raw.offset : raw.offset + len(raw) + 1]
+    data = np.frombuffer(raw.buffers()[2] or b"", dtype=np.uint8)[bounds[0] : bounds[-1]]
+    bounds = bounds - bounds[0]
+    inside = (data != 32) & (data - np.uint8(9) > 4)
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    heads = bounds[:-1][bounds[:-1] < len(data)]  # a text ends the last word of the text before
+    begins[heads] = inside[heads]
+    letters = data[inside]
+    letters += (letters - np.uint8(65) < 26).view(np.uint8) << 5
+    ends = np.append(np.flatnonzero(begins[inside]), len(letters)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(letters)])
+    return words, np.diff(np.searchsorted(np.flatnonzero(begins), bounds))
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c) over the words of all texts; each task adds up before the shuffle, in bounded space."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                held.update(lower_words(text))
+            for part in parts(batch):
+                words, counts = laid_words(part.column("text"))[0].value_counts().flatten()
+                for word, c in zip(words.to_pylist(), counts.to_pylist()):
+                    held[word] += c
                 if len(held) > _FLUSH:
                     yield _sums(held, ["word", "c"], pa.binary())
                     held = Counter()
@@ -200,8 +230,10 @@ def make_speller(path: str, singles: np.ndarray, grams: dict[int, int], rooms: d
 
 
 SHAPES = {"first": (CLASSES, WIDTH), "last": (LASTS, WIDTH), "place": (SPAN, WIDTH), "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH), "o": (WIDTH, WIDTH), "out": (WIDTH, CLASSES), "bias": (CLASSES,)}
-_MASK = np.triu(np.full((SPAN, SPAN), -1e9, dtype=np.float32), 1)
+_PAST = np.tril(np.ones((SPAN, SPAN), dtype=np.float32))
 _ONES = np.ones(CLASSES, dtype=np.float32)
+_SCALE = np.float32(1 / math.sqrt(WIDTH))
+_BITS = np.float32(1 / math.log(2))  # powers of two are faster than those of e
 #: Windows that attention runs over at once: their logits stay in the processor's cache.
 ABREAST = 64
 
@@ -218,46 +250,112 @@ def flatten(weights: dict[str, np.ndarray]) -> np.ndarray:
 
 
 def unflatten(flat: np.ndarray) -> dict[str, np.ndarray]:
-    out, at = {}, 0
+    out, at, flat = {}, 0, flat.astype(np.float32)
     for name, shape in SHAPES.items():
         size = math.prod(shape)
-        out[name], at = flat[at : at + size].reshape(shape).astype(np.float32), at + size
+        out[name], at = flat[at : at + size].reshape(shape), at + size
     return out
 
 
+class Mixed(NamedTuple):
+    """What attention makes of windows, one row a word; rows end with a one, so that sums and biases come with the products."""
+
+    x: np.ndarray
+    heads: np.ndarray  # from x to queries (scaled), keys, values and the one
+    qkv: np.ndarray  # n x SPAN x (three widths and the one)
+    past: np.ndarray  # exponentials of the scores, zero ahead of a word
+    sums: np.ndarray  # their sums by row
+    mixed: np.ndarray
+    h: np.ndarray
+
+
+def _wider(m: np.ndarray, corner: int, rows: int = 0) -> np.ndarray:
+    """A matrix with one more column, and ``rows`` more rows, of zeros that end in ``corner``."""
+    out = np.zeros((len(m) + rows, m.shape[1] + 1), dtype=m.dtype)
+    out[: len(m), :-1] = m
+    if rows:
+        out[-1, -1] = corner
+    else:
+        out[:, -1] = corner
+    return out
+
+
+def _turned(m: np.ndarray) -> np.ndarray:
+    """Each matrix transposed and laid out anew, which small products read faster."""
+    return np.ascontiguousarray(m.transpose(0, 2, 1))
+
+
+def mix(w: dict[str, np.ndarray], first: np.ndarray, last: np.ndarray) -> Mixed:
+    """Masked attention over windows (n x SPAN words)."""
+    x = _wider(w["first"], 1).take(first, axis=0)
+    x += _wider(w["last"], 0).take(last, axis=0)
+    x += _wider(w["place"], 0)
+    x = x.reshape(-1, WIDTH + 1)
+    heads = _wider(np.concatenate([w["q"] * _SCALE, w["k"], w["v"]], axis=1), 1, 1)
+    qkv = (x @ heads).reshape(-1, SPAN, 3 * WIDTH + 1)
+    past = qkv[:, :, :WIDTH] @ _turned(qkv[:, :, WIDTH : 2 * WIDTH])
+    if past.max(initial=0) > 30:
+        np.minimum(past, 30, out=past)
+    np.exp(past, out=past)
+    past *= _PAST
+    mixed = (past @ qkv[:, :, 2 * WIDTH :]).reshape(-1, WIDTH + 1)
+    sums = mixed[:, -1:].copy()
+    mixed /= sums
+    h = mixed @ _wider(w["o"], 0, 1)
+    h += x
+    return Mixed(x, heads, qkv, past, sums, mixed, h)
+
+
+def classifier(w: dict[str, np.ndarray]) -> np.ndarray:
+    """From ``Mixed.h`` to the logits of the next class."""
+    return np.concatenate([w["out"], w["bias"][None]])
+
+
 def attend(w: dict[str, np.ndarray], first: np.ndarray, last: np.ndarray) -> tuple:
-    """Masked attention over windows (n x SPAN words): logits of the next class and what the gradient needs."""
-    x = w["first"][first] + w["last"][last] + w["place"]
-    q, k, v = x @ w["q"], x @ w["k"], x @ w["v"]
-    scores = q @ k.transpose(0, 2, 1)
-    scores *= np.float32(1 / math.sqrt(WIDTH))
-    scores += _MASK
-    np.exp(np.minimum(scores, 30, out=scores), out=scores)
-    scores /= scores.sum(axis=2, keepdims=True)
-    mixed = scores @ v
-    h = x + mixed @ w["o"]
-    return h @ w["out"] + w["bias"], x, q, k, v, scores, mixed, h
+    """Logits of the next class, and what the gradient needs."""
+    held = mix(w, first, last)
+    return (held.h @ classifier(w)).reshape(*first.shape, CLASSES), held
 
 
 def gradient(w: dict[str, np.ndarray], first: np.ndarray, last: np.ndarray, target: np.ndarray, valid: np.ndarray) -> dict[str, np.ndarray]:
-    """Gradient of the mean cross entropy over valid places."""
-    logits, x, q, k, v, a, mixed, h = attend(w, first, last)
-    p = np.exp(logits - logits.max(axis=2, keepdims=True))
-    p /= p.sum(axis=2, keepdims=True)
-    p[np.arange(len(first))[:, None], np.arange(SPAN), target] -= 1
-    p *= (valid / max(1, valid.sum()))[:, :, None]
-    rows = lambda m: m.reshape(-1, m.shape[-1])
+    """Gradient of the mean cross entropy over valid places.
+
+    Rows are scaled where they are narrow: neither the softmax over the classes nor the one of
+    attention is divided out, and the slope through the latter comes from dm . mixed.
+    """
+    x, heads, qkv, past, sums, mixed, h = mix(w, first, last)
+    logits = h @ (classifier(w) * _BITS)
+    ones = _ONES.astype(logits.dtype, copy=False)
+    with np.errstate(over="ignore"):
+        p = np.exp2(logits)
+        whole = p @ ones
+    if not 1e-30 < whole.min() <= whole.max() < 1e30:
+        p = np.exp2(logits - logits.max(axis=1, keepdims=True))
+        whole = p @ ones
+    p.reshape(-1)[np.arange(0, p.size, CLASSES) + target.ravel()] -= whole
+    part = (valid.ravel() / max(1, valid.sum()) / whole).astype(p.dtype, copy=False)
     dh = p @ w["out"].T
-    g = {"out": rows(h).T @ rows(p), "bias": rows(p).sum(axis=0), "o": rows(mixed).T @ rows(dh)}
-    dm = dh @ w["o"].T
-    da = dm @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True)) / math.sqrt(WIDTH)
-    dv, dq, dk = a.transpose(0, 2, 1) @ dm, ds @ k, ds.transpose(0, 2, 1) @ q
-    g |= {"q": rows(x).T @ rows(dq), "k": rows(x).T @ rows(dk), "v": rows(x).T @ rows(dv)}
-    dx = dh + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
-    g["place"] = dx.sum(axis=0)
-    for name, seen in (("first", first), ("last", last)):
-        g[name] = (np.arange(len(w[name]))[:, None] == seen.ravel()).astype(np.float32) @ rows(dx)
+    dh *= part[:, None]
+    g = {"out": (p.T @ (h[:, :-1] * part[:, None])).T, "bias": part @ p, "o": (mixed.T @ dh)[:-1]}
+    dm = dh @ _wider(w["o"].T, 0)
+    dm /= sums
+    dm[:, -1] = -np.einsum("ij,ij->i", dm, mixed)
+    dm = dm.reshape(-1, SPAN, WIDTH + 1)
+    ds = dm @ _turned(qkv[:, :, 2 * WIDTH :])
+    ds *= past
+    d = np.empty((len(first), SPAN, 3 * WIDTH), dtype=x.dtype)
+    np.matmul(ds, qkv[:, :, WIDTH : 2 * WIDTH], out=d[:, :, :WIDTH])
+    np.matmul(ds.transpose(0, 2, 1), qkv[:, :, :WIDTH], out=d[:, :, WIDTH : 2 * WIDTH])
+    np.matmul(past.transpose(0, 2, 1), dm[:, :, :-1], out=d[:, :, 2 * WIDTH :])
+    d = d.reshape(-1, 3 * WIDTH)
+    g["q"], g["k"], g["v"] = np.split((x.T @ d)[:-1], 3, axis=1)
+    g["q"] = g["q"] * _SCALE
+    dx = d @ heads[:-1, :-1].T
+    dx += dh
+    g["place"] = dx.reshape(-1, SPAN * WIDTH).sum(axis=0).reshape(SPAN, WIDTH)
+    cells = np.concatenate([first.ravel().astype(np.intp), last.ravel() + np.intp(CLASSES)])[:, None] * WIDTH + np.arange(WIDTH)
+    seen = np.bincount(cells.ravel(), np.concatenate([dx, dx]).ravel(), (CLASSES + LASTS) * WIDTH)
+    g["first"], g["last"] = np.split(seen.reshape(-1, WIDTH), [CLASSES])
     return g
 
 
@@ -269,23 +367,6 @@ def record(group: int, last: int, c: int) -> bytes:
     return struct.pack("<BBq", group, last, c)
 
 
-def next_logits(w: dict[str, np.ndarray], first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """The logits of ``attend`` in fewer passes, for scoring."""
-    x = (w["first"][first] + w["last"][last] + w["place"]).reshape(-1, WIDTH)
-    q, k, v = (np.reshape(x @ m, (-1, SPAN, WIDTH)) for m in (w["q"] * np.float32(1 / math.sqrt(WIDTH)), w["k"], w["v"]))
-    scores = q @ k.transpose(0, 2, 1)
-    scores += _MASK
-    if scores.max() > 30:
-        np.minimum(scores, 30, out=scores)
-    np.exp(scores, out=scores)
-    mixed = (scores @ v).reshape(-1, WIDTH)
-    mixed /= (scores @ _ONES[:SPAN]).reshape(-1, 1)
-    x += mixed @ w["o"]
-    logits = x @ w["out"]
-    logits += w["bias"]
-    return logits.reshape(-1, SPAN, CLASSES)
-
-
 class Model(NamedTuple):
     speller: Speller
     weights: dict[str, np.ndarray]
@@ -305,45 +386,113 @@ def turns(words: int, shift: int, turn: int) -> range:
     return range((shift + turn) % ROUNDS * SPAN, words + 1, ROUNDS * SPAN)
 
 
+def coded(docs: DataFrame, sent: Broadcast) -> DataFrame:
+    """One row per text: what training and scoring read of its words, and what their counts alone make of it.
+
+    ``marks`` holds two bytes for each word and the end, class and slot; ``rare`` the words whose counts were not
+    sent out, with their classes; ``base`` and ``score`` the sums over all others, without the classes' chances.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, part, row = sent.value, TaskContext.get().partitionId() << 40, 0
+        memo = Memo(model.entry, 300_000)
+        stop = record(_STOP, 0, model.ends)
+        share = (1 - model.speller.fresh) / np.maximum(model.speller.tokens, 1)
+        floor = model.total + PSEUDO * (model.kinds + 1)
+        for batch in batches:
+            for piece in parts(batch):
+                words, sizes = laid_words(piece.column("text"))
+                kinds = words.dictionary_encode()
+                facts = np.frombuffer(b"".join([memo[w] for w in kinds.dictionary.to_pylist()]) + stop, dtype=_FIELDS)
+                group, c = facts["group"].copy(), facts["c"].copy()
+                common = c >= 0
+                base = np.where(common, np.log10((np.maximum(c, 0) + PSEUDO) / floor), 0.0)
+                score = np.where(common & (group != _STOP), np.log10(np.maximum(c, 1) * share[group] + 1e-300), 0.0)
+                begin = np.append(0, np.cumsum(sizes + 1))  # of each text, with its end
+                line = np.insert(kinds.indices.to_numpy(), np.cumsum(sizes), len(facts) - 1)
+                marks = (group + facts["last"].astype("<u2") * 256)[line]
+                spots = np.flatnonzero(~common[line])
+                kept = line[spots]
+                rare = pa.StructArray.from_arrays([kinds.dictionary.take(pa.array(kept)), pa.array(group[kept], pa.int32())], names=["word", "class"])
+                columns = [
+                    pa.array(part + row + np.arange(len(piece))),
+                    piece.column("doc_id"),
+                    pa.array([zlib.crc32(x) for x in piece.column("text").cast(pa.binary()).to_pylist()], pa.int64()),
+                    pa.Array.from_buffers(pa.binary(), len(piece), [None, pa.py_buffer((2 * begin).astype(np.int32)), pa.py_buffer(marks)]),
+                    pa.array(sizes + 1),
+                    pa.array(np.add.reduceat((c > 0).astype(np.int64)[line], begin[:-1])),
+                    pa.array(np.add.reduceat(base[line], begin[:-1])),
+                    pa.array(np.add.reduceat(score[line], begin[:-1])),
+                    pa.ListArray.from_arrays(pa.array(np.searchsorted(spots, begin), pa.int32()), rare),
+                ]
+                row += len(piece)
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "shift", "marks", "n_tokens", "n_known", "base", "score", "rare"])
+
+    return docs.mapInArrow(run, "row long, doc_id long, shift long, marks binary, n_tokens long, n_known long, base double, score double, rare array<struct<word:binary,class:int>>")
+
+
+def laid_marks(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The marks (class, slot) of all texts, end to end, and where each text begins; the last bound is the end."""
+    bounds = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)[bounds[0] : bounds[-1]]
+    return data.reshape(-1, 2), (bounds - bounds[0]) // 2
+
+
+def windows(marks: np.ndarray, bounds: np.ndarray, shifts: list[int], turn: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Marks of a round's windows, the word before the window first, and the number of targets in each; some at a time."""
+    held = [turns(n - 1, shift, turn) for n, shift in zip(np.diff(bounds).tolist(), shifts)]
+    many = [len(x) for x in held]
+    begin = np.fromiter(chain.from_iterable(held), dtype=np.int64, count=sum(many))
+    sizes = np.minimum(np.repeat(np.diff(bounds), many) - begin, SPAN)
+    begin += np.repeat(bounds[:-1], many)
+    line = np.concatenate([np.array([[_STOP, 0]], dtype=np.uint8), marks])  # before each text lies an end
+    columns = np.arange(SPAN + 1)
+    for k in range(0, len(begin), _ABOUT):
+        size = sizes[k : k + _ABOUT]
+        past = columns > size[:, None]
+        at = begin[k : k + _ABOUT, None] + columns
+        at[past] = 0
+        yield line[at], size
+
+
 def train_round(docs: DataFrame, model: Broadcast, weights: dict[str, np.ndarray], turn: int) -> dict[str, np.ndarray]:
-    """One round: every task learns from its windows of all its documents, Spark averages the weights."""
+    """One round over texts or what ``coded`` made of them: every task learns from its windows of all its
+    documents, Spark averages the weights."""
+    if "marks" not in docs.columns:
+        docs = coded(docs.select(F.lit(None).cast("long").alias("doc_id"), "text"), model)
     start = flatten(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, flat, stop = Memo(model.value.entry, 200_000), start.astype(np.float64), record(_STOP, 0, 0)
-        first, second, steps, windows = np.zeros_like(flat), np.zeros_like(flat), 0, 0
-
-        def step(held: list[bytes]) -> None:
-            nonlocal flat, first, second, steps
-            marks = np.full((len(held), SPAN + 1, 2), (_STOP, 0))
-            valid = np.zeros((len(held), SPAN), dtype=np.float32)
-            for n, records in enumerate(held):  # the word before the window, then its words
-                line = np.frombuffer(records, dtype=_FIELDS)
-                marks[n, : len(line), 0], marks[n, : len(line), 1] = line["group"], line["last"]
-                valid[n, : len(line) - 1] = 1
+        flat = start.astype(np.float64)
+        first, second, steps, seen = np.zeros_like(flat), np.zeros_like(flat), 0, 0
+        columns = np.arange(SPAN)
+
+        def step(marks: np.ndarray, sizes: np.ndarray) -> None:
+            nonlocal flat, first, second, steps, seen
+            valid = (columns < sizes[:, None]).astype(np.float32)
             slope = flatten(gradient(unflatten(flat), marks[:, :-1, 0], marks[:, :-1, 1], marks[:, 1:, 0], valid)).astype(np.float64)
             steps += 1
-            first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
-            flat = flat - RATE * (first / (1 - 0.9**steps)) / (np.sqrt(second / (1 - 0.99**steps)) + 1e-8)
-
-        held: list[bytes] = []
+            seen += len(marks)
+            first *= 0.9
+            first += 0.1 * slope
+            second *= 0.99
+            second += 0.01 * slope**2
+            flat -= RATE / (1 - 0.9**steps) * first / (np.sqrt(second / (1 - 0.99**steps)) + 1e-8)
+
+        marks, sizes = np.empty((0, SPAN + 1, 2), dtype=np.uint8), np.empty(0, dtype=np.int64)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                words = lower_words(text)
-                shift = zlib.crc32(text.encode("utf-8", "surrogatepass"))
-                for begin in turns(len(words), shift, turn):
-                    line = [memo[x] for x in words[max(0, begin - 1) : begin + SPAN]]
-                    held.append(stop * (begin == 0) + b"".join(line) + stop * (len(words) < begin + SPAN))
-                    windows += 1
-                    if len(held) == BATCH:
-                        step(held)
-                        held = []
-        if held:
-            step(held)
-        if windows:
-            yield pa.RecordBatch.from_arrays([pa.array([windows], pa.int64()), pa.array([flat], pa.list_(pa.float64()))], names=["windows", "flat"])
-
-    learned = docs.select("text").mapInArrow(run, "windows long, flat array<double>")
+            for more, its in windows(*laid_marks(batch.column("marks")), batch.column("shift").to_pylist(), turn):
+                marks, sizes = np.concatenate([marks, more]), np.concatenate([sizes, its])
+                whole = len(marks) // BATCH * BATCH
+                for k in range(0, whole, BATCH):
+                    step(marks[k : k + BATCH], sizes[k : k + BATCH])
+                marks, sizes = marks[whole:], sizes[whole:]
+        if len(marks):
+            step(marks, sizes)
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([flat], pa.list_(pa.float64()))], names=["windows", "flat"])
+
+    learned = docs.select("shift", "marks").mapInArrow(run, "windows long, flat array<double>")
     means = learned.select("windows", F.posexplode("flat").alias("at", "value")).groupBy("at").agg((F.sum(F.col("value") * F.col("windows")) / F.sum("windows")).alias("value"))
     got = means.toArrow().sort_by("at")  # one row per weight
     return unflatten(got["value"].to_numpy()) if len(got) else weights
@@ -358,20 +507,20 @@ def class_scores(w: dict[str, np.ndarray], groups: np.ndarray, lasts: np.ndarray
     before, behind = np.empty_like(groups), np.empty_like(lasts)
     before[1:], behind[1:] = groups[:-1], lasts[:-1]
     before[starts], behind[starts] = _STOP, 0
-    got, columns = np.zeros(len(groups), dtype=np.float32), np.arange(SPAN)
+    got, columns, last_layer = np.zeros(len(groups), dtype=np.float32), np.arange(SPAN), classifier(w) * _BITS
     for k in range(0, len(line), ABREAST):
         owner, step = line[k : k + ABREAST], number[k : k + ABREAST, None]
         place = step * STRIDE + columns
         valid = place < sizes[owner][:, None]
         at = np.where(valid, starts[owner][:, None] + place, 0)
-        logits = next_logits(w, before[at], behind[at])
-        target = np.take_along_axis(logits, groups[at][:, :, None], axis=2)[:, :, 0]
-        if logits.max() > 60:
-            np.minimum(logits, 60, out=logits)
-        np.exp(logits, out=logits)
-        chance = target - np.log(logits @ _ONES)
-        fresh = valid & ((step == 0) | (columns >= SPAN - STRIDE))
-        got[at[fresh]] = chance[fresh] / math.log(10)
+        fresh = np.flatnonzero(valid & ((step == 0) | (columns >= SPAN - STRIDE)))
+        spots = at.ravel()[fresh]
+        logits = mix(w, before[at], behind[at]).h[fresh] @ last_layer
+        target = logits[np.arange(len(spots)), groups[spots]]
+        if logits.max() > 86:
+            np.minimum(logits, 86, out=logits)
+        np.exp2(logits, out=logits)
+        got[spots] = (target - np.log2(logits @ _ONES)) * math.log10(2)
     return got
 
 
@@ -430,51 +579,27 @@ def corpus_scores(docs: DataFrame, path: str) -> DataFrame:
     model = Model(speller, {}, common, total, kinds, ends)
     prior = speller.tokens + 1.0
     prior[_STOP] += ends
-    taught = spark.sparkContext.broadcast(model)
+    sent = spark.sparkContext.broadcast(model)
+    lines = written(coded(docs, sent))
     weights = initial(prior / prior.sum())
     for turn in range(ROUNDS):
-        weights = train_round(train, taught, weights, turn)
-
-    sent = spark.sparkContext.broadcast(model._replace(weights=weights))
-    floor = total + PSEUDO * (kinds + 1)
+        weights = train_round(lines.filter(~is_held), sent, weights, turn)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, part, row = sent.value, TaskContext.get().partitionId() << 40, 0
-        memo = Memo(model.entry, 300_000)
-        stop = record(_STOP, 0, model.ends)
-        share = (1 - model.speller.fresh) / np.maximum(model.speller.tokens, 1)
         for batch in batches:
-            for k in range(0, len(batch), 256):
-                piece = batch.slice(k, 256)
-                lines = [lower_words(t) for t in piece.column("text").to_pylist()]
-                flat = np.frombuffer(b"".join([b"".join([memo[w] for w in words]) + stop for words in lines]), dtype=_FIELDS)
-                groups, c = flat["group"].copy(), flat["c"].copy()
-                words = np.array([len(line) + 1 for line in lines])
-                begin = np.cumsum(words) - words
-                score = class_scores(model.weights, groups, flat["last"].copy(), words).astype(np.float64)
-                common = c >= 0
-                base = np.where(common, np.log10((np.maximum(c, 0) + PSEUDO) / floor), 0.0)
-                score += np.where(common & (groups != _STOP), np.log10(np.maximum(c, 1) * share[groups] + 1e-300), 0.0)
-                spots = np.flatnonzero(~common)
-                bounds = np.searchsorted(spots, np.append(begin, len(flat)))
-                every = [w for line in lines for w in (*line, b"")]
-                rare = pa.StructArray.from_arrays([pa.array([every[i] for i in spots.tolist()], pa.binary()), pa.array(groups[spots], pa.int32())], names=["word", "class"])
-                columns = [
-                    pa.array(part + row + np.arange(len(piece))),
-                    piece.column("doc_id"),
-                    pa.array(words),
-                    pa.array(np.add.reduceat((c > 0).astype(np.int64), begin)),
-                    pa.array(np.add.reduceat(base, begin)),
-                    pa.array(np.add.reduceat(score, begin)),
-                    pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), rare),
-                ]
-                row += len(piece)
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "rare"])
-
-    scored = written(docs.mapInArrow(run, "row long, doc_id long, n_tokens long, n_known long, base double, score double, rare array<struct<word:binary,class:int>>"))
-    rare_words = scored.select("row", F.explode("rare").alias("one")).select("row", "one.*")
+            for piece in parts(batch):
+                marks, bounds = laid_marks(piece.column("marks"))
+                got = class_scores(weights, marks[:, 0].copy(), marks[:, 1].copy(), np.diff(bounds)).astype(np.float64)
+                score = pa.array(piece.column("score").to_numpy() + np.add.reduceat(got, bounds[:-1]))
+                names = [n for n in piece.schema.names if n not in ("marks", "score")]
+                yield pa.RecordBatch.from_arrays([*(piece.column(n) for n in names), score], names=[*names, "score"])
+
+    kinds_of = "row long, doc_id long, n_tokens long, n_known long, base double, score double"
+    scored = written(lines.select("row", "doc_id", "n_tokens", "n_known", "base", "score", "marks").mapInArrow(run, kinds_of))
+    rare_words = lines.select("row", F.explode("rare").alias("one")).select("row", "one.*")
     new = spelled(rare_words.select("word").distinct().join(counts, "word", "left_anti"), facts, sent)
     lexicon = counts.select("word", "c", F.lit(None).cast("double").alias("spelled")).unionByName(new.withColumn("c", F.lit(None).cast("long")))
+    floor = total + PSEUDO * (kinds + 1)
     shares = F.array(*[F.lit(float(x)) for x in (1 - speller.fresh) / np.maximum(speller.tokens, 1)])
     rest = rare_words.join(lexicon, "word", "left").groupBy("row").agg(
         F.count("c").alias("more"),
@@ -482,7 +607,7 @@ def corpus_scores(docs: DataFrame, path: str) -> DataFrame:
         F.sum(F.coalesce(F.log10(F.col("c") * F.element_at(shares, F.col("class") + 1)), "spelled")).alias("rest_score"),
     )
     none = F.lit(0.0)
-    return scored.drop("rare").join(rest, "row", "left").select(
+    return scored.join(rest, "row", "left").select(
         "doc_id",
         is_held.alias("held_out"),
         "n_tokens",
