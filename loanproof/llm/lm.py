@@ -92,6 +92,11 @@ def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(k, rows)
 
 
+def plain(column: pa.Array) -> list[bytes]:
+    """The values as Python objects; ``to_pylist`` makes a scalar of each first, at ten times the cost."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def laid_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words of all texts as ``lower_words`` cuts them, end to end, and how many each text has."""
     raw = column.cast(pa.large_binary())
@@ -118,7 +123,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in parts(batch):
                 words, counts = laid_words(part.column("text"))[0].value_counts().flatten()
-                for word, c in zip(words.to_pylist(), counts.to_pylist()):
+                for word, c in zip(plain(words), counts.to_numpy().tolist()):
                     held[word] += c
                 if len(held) > _FLUSH:
                     yield _sums(held, ["word", "c"], pa.binary())
@@ -132,25 +137,45 @@ def spell(path: str, word: bytes) -> list[int]:
     return byte_encoder(path).ordinary(" " + word.decode("utf-8", "replace"))
 
 
+def added(slots: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct slots and their sums."""
+    order = np.argsort(slots)
+    slots, n = slots[order], n[order]
+    begins = np.flatnonzero(np.append(True, slots[1:] != slots[:-1]))[: len(slots)]
+    return slots[begins], np.add.reduceat(n, begins) if len(n) else n
+
+
+def spelling_slots(words: list[list[int]], c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What words of these pieces and counts add to which slots; later pieces, pairs and triples as ``steps`` says."""
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    ids = np.fromiter(chain.from_iterable(words), dtype=np.int64, count=sizes.sum())
+    ends = np.cumsum(sizes) - 1
+    heads = ids[ends + 1 - sizes]
+    after, before = np.append(ids, 0)[1:], np.append(0, ids)[:-1]
+    after[ends], before[ends + 1 - sizes] = VOCABULARY, _WIDE
+    pairs = (ids + 4) * _WIDE + after
+    slots = [heads, _WIDE + heads, 2 * _WIDE + heads, 3 * _WIDE + after, pairs, (before + 1) * _WIDE * _WIDE + pairs]
+    n = [c, np.ones_like(c), (c == 1).astype(np.int64), np.ones(3 * len(ids), dtype=np.int64)]
+    return np.concatenate(slots), np.concatenate(n)
+
+
 def piece_counts(counts: DataFrame, path: str) -> DataFrame:
     """(slot, n): per first piece tokens, words and words seen once; later pieces, pairs and triples once a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        none = (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))
+        held, fresh, size = none, [], 0  # added up, not yet added, their number
         for batch in batches:
-            for word, c in zip(batch.column("word").to_pylist(), batch.column("c").to_pylist()):
-                ids = [*spell(path, word), VOCABULARY]
-                held[ids[0]] += c
-                held[_WIDE + ids[0]] += 1
-                held[2 * _WIDE + ids[0]] += c == 1
-                for piece, pair, triple in steps(ids[:-1]):
-                    held[3 * _WIDE + piece] += 1
-                    held[pair] += 1
-                    held[triple] += 1
-            if len(held) > _FLUSH:
-                yield _sums(held, ["slot", "n"], pa.int64())
-                held = Counter()
-        yield _sums(held, ["slot", "n"], pa.int64())
+            for part in parts(batch):
+                fresh.append(spelling_slots([spell(path, w) for w in plain(part.column("word"))], part.column("c").to_numpy()))
+                size += len(fresh[-1][0])
+                if size > 2 * _FLUSH:
+                    held, fresh, size = added(*map(np.concatenate, zip(held, *fresh))), [], 0
+                if len(held[0]) > _FLUSH:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["slot", "n"])
+                    held = none
+        held = added(*map(np.concatenate, zip(held, *fresh)))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["slot", "n"])
 
     return counts.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
 
@@ -403,7 +428,7 @@ def coded(docs: DataFrame, sent: Broadcast) -> DataFrame:
             for piece in parts(batch):
                 words, sizes = laid_words(piece.column("text"))
                 kinds = words.dictionary_encode()
-                facts = np.frombuffer(b"".join([memo[w] for w in kinds.dictionary.to_pylist()]) + stop, dtype=_FIELDS)
+                facts = np.frombuffer(b"".join([memo[w] for w in plain(kinds.dictionary)]) + stop, dtype=_FIELDS)
                 group, c = facts["group"].copy(), facts["c"].copy()
                 common = c >= 0
                 base = np.where(common, np.log10((np.maximum(c, 0) + PSEUDO) / floor), 0.0)
@@ -597,7 +622,9 @@ def corpus_scores(docs: DataFrame, path: str) -> DataFrame:
     kinds_of = "row long, doc_id long, n_tokens long, n_known long, base double, score double"
     scored = written(lines.select("row", "doc_id", "n_tokens", "n_known", "base", "score", "marks").mapInArrow(run, kinds_of))
     rare_words = lines.select("row", F.explode("rare").alias("one")).select("row", "one.*")
-    new = spelled(rare_words.select("word").distinct().join(counts, "word", "left_anti"), facts, sent)
+    # Only held-out texts hold new words: the words of all others were counted.
+    unseen = lines.filter(is_held).select(F.explode("rare.word").alias("word")).distinct()
+    new = spelled(unseen.join(counts, "word", "left_anti"), facts, sent)
     lexicon = counts.select("word", "c", F.lit(None).cast("double").alias("spelled")).unionByName(new.withColumn("c", F.lit(None).cast("long")))
     floor = total + PSEUDO * (kinds + 1)
     shares = F.array(*[F.lit(float(x)) for x in (1 - speller.fresh) / np.maximum(speller.tokens, 1)])

@@ -10,11 +10,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 import xxhash
 
 from loanproof.llm import bpe, licenses, lm, packing, quality, rules, secrets, simhash, topk, toxicity
+from loanproof.llm.common import lower_words
 from loanproof.llm.queries import tokenizer_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -230,6 +232,50 @@ def test_language_model_windows_equal_one_by_one():
             assert got[begin + t] == pytest.approx((logits[groups[begin + t]] - np.log(np.exp(logits).sum())) / math.log(10), abs=1e-3)
 
 
+def test_language_model_reads_a_text_once(spark, docs):
+    path = tokenizer_path(BYTE_BPE)
+    texts = [t for _, t in texts_of(docs)] + ["a\x0bB", " x", "y ", "Zz\x85[@`{ z", ""]
+    column = pa.array(["skipped words", *texts])[1:]  # a slice, as parts of a batch are
+    words, sizes = lm.laid_words(column)
+    assert sizes.tolist() == [len(lower_words(t)) for t in texts]
+    assert lm.plain(words) == [w for t in texts for w in lower_words(t)]
+
+    speller = lm.make_speller(path, np.ones((4, lm._WIDE)), {}, {})
+    model = lm.Model(speller, {}, {b"the": 7, b"words": 2}, 9, 2, 3)
+    sent = spark.sparkContext.broadcast(model)
+    plain = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    lines = lm.coded(plain, sent).persist()
+    for r in lines.collect():
+        own = lower_words(texts[r.doc_id])
+        facts = [np.frombuffer(model.entry(w), dtype=lm._FIELDS)[0] for w in own]
+        marks = [(f["group"], f["last"]) for f in facts] + [(lm._STOP, 0)]
+        assert list(zip(*[iter(bytes(r.marks))] * 2)) == marks
+        assert [(bytes(x["word"]), x["class"]) for x in r.rare] == [(w, f["group"]) for w, f in zip(own, facts) if f["c"] < 0]
+        assert (r.n_tokens, r.n_known, r.shift) == (len(own) + 1, sum(f["c"] > 0 for f in facts) + 1, zlib.crc32(texts[r.doc_id].encode()))
+        held, bounds = lm.laid_marks(pa.array([b"", bytes(r.marks)])[1:])
+        for turn in range(lm.ROUNDS):
+            got = [(m, n) for some, sizes in lm.windows(held, bounds, [r.shift], turn) for m, n in zip(some.tolist(), sizes.tolist())]
+            line = [(lm._STOP, 0), *marks]
+            want = [line[b : b + lm.SPAN + 1] for b in lm.turns(len(own), r.shift, turn)]
+            assert [[tuple(x) for x in m[: n + 1]] for m, n in got] == want
+
+    start = lm.initial(np.full(lm.CLASSES, 1 / lm.CLASSES))
+    by_text, by_marks = (lm.flatten(lm.train_round(d, sent, start, 0)) for d in (plain, lines))
+    assert (by_text == by_marks).all() and not (by_text == lm.flatten(start)).all()
+
+
+def test_language_model_piece_slots():
+    words, c = [[5, 9, 9], [5], [lm.VOCABULARY - 1, 5]], np.array([4, 1, 1])
+    want = Counter()
+    for ids, n in zip(words, c.tolist()):
+        want.update({ids[0]: n, lm._WIDE + ids[0]: 1, 2 * lm._WIDE + ids[0]: int(n == 1)})
+        for piece, pair, triple in lm.steps(ids):
+            want.update([3 * lm._WIDE + piece, pair, triple])
+    slots, n = lm.added(*lm.spelling_slots(words, c))
+    assert dict(zip(slots.tolist(), n.tolist())) == dict(want)
+    assert [len(x) for x in lm.added(*lm.spelling_slots([], c[:0]))] == [0, 0]
+
+
 def test_language_model_gradient():
     rng = np.random.default_rng(2)
     w = {n: x.astype(np.float64) for n, x in lm.initial(np.full(lm.CLASSES, 1 / lm.CLASSES)).items()}
