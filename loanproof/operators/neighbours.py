@@ -20,11 +20,13 @@ from pyspark.sql import types as T
 
 from loanproof.operators.ordering import quantile_map
 from loanproof.operators.prep import scale_values
-from loanproof.session import materialize, ship_package, small_table
+from loanproof.session import let_go, materialize, materialize_packed, small_table
 
 # Points one box may hold, and visits one task answers at a time.
 BOX_POINTS = 250
-VISITS = 20_000
+VISITS = 65_536
+# Rounds that the visits of all points are dealt to; each looks anew for the points that visit its regions.
+MOST_ROUNDS = 8
 # Points of a region, the unit that one task holds; a table beyond the number of regions has larger ones.
 REGION_POINTS = 16_384
 MOST_REGIONS = 4_096
@@ -185,13 +187,18 @@ def _region_kernel(tree: Sequence[tuple[int, float, int, int]]) -> Callable:
     return run
 
 
-def _visit_kernel(tree: Sequence[tuple[int, float, int, int]], counted: bool) -> Callable:
-    """The visits of each point to regions other than its own, or how many each region gets."""
+def _visit_kernel(tree: Sequence[tuple[int, float, int, int]], counted: bool, turn: tuple[int, int] = (1, 0)) -> Callable:
+    """The visits of each point to regions other than its own, or how many each region gets.
+
+    ``turn`` names the regions that have visitors now: those whose number leaves the second on division by the first.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, home = _coordinates(batch), batch.column("region").to_numpy()
             for r, mine in _reached(tree, x, batch.column("radius").to_numpy()):
+                if r % turn[0] != turn[1]:
+                    continue
                 mine = mine[home[mine] != r]
                 if counted:
                     yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([len(mine)], pa.int64())], names=["region", "n"])
@@ -222,8 +229,9 @@ def nearest_other_distance(
     """
     dims = _dims(points)
     grouped = points.groupBy(*dims).agg(F.count("*").alias("copies"), F.min(row_id).alias("point"))
-    distinct = materialize(grouped.select("point", "copies", F.array(*dims).alias("x")))
-    ship_package(distinct.sparkSession)  # the kernels below live in this package
+    distinct = materialize_packed(grouped.select("point", "copies", F.array(*dims).alias("x")))
+    del grouped
+    let_go(points)  # the shuffle that collapsed the copies
     whole = F.forall("x", lambda e: e.isNotNull() & (F.abs(e) < math.inf))
     placed, unplaced = distinct.filter(whole), distinct.filter(~whole)
     size = placed.count()
@@ -243,7 +251,8 @@ def nearest_other_distance(
 
     # Copies are at distance 0 already, but they stay as targets for other points.
     local = boxed.groupBy("region").applyInArrow(own_region, T.StructType([*boxed.schema.fields, T.StructField("bound", T.DoubleType())]))
-    local = materialize(local)
+    local = materialize_packed(local)
+    let_go(points)
     own = local.select("point", F.when(F.col("copies") > 1, 0.0).otherwise(F.col("bound")).alias("distance"), "copies")
     lone = F.when(F.col("copies") > 1, 0.0).otherwise(math.inf)
     own = own.unionByName(unplaced.select("point", lone.alias("distance"), "copies"))
@@ -254,17 +263,8 @@ def nearest_other_distance(
         visiting = local.filter("copies = 1").select("region", "point", "x", F.least("bound", F.lit(far)).alias("radius"))
         # A region that many points visit answers them in shares; its own points go to each share.
         counts = visiting.select("region", "x", "radius").mapInArrow(_visit_kernel(tree, True), "region int, n long")
-        shares = materialize(
-            counts.groupBy("region").agg(F.ceil(F.sum("n") / F.lit(visits)).cast("int").alias("shares")).filter("shares > 0")
-        )
-        seekers = (
-            visiting.mapInArrow(_visit_kernel(tree, False), f"region int, point {id_type}, x array<double>, radius double")
-            .join(F.broadcast(shares), "region")
-            .withColumn("share", F.pmod(F.xxhash64("x"), F.col("shares")).cast("int"))
-        )
-        members = local.join(F.broadcast(shares), "region").select(
-            "region", "x", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share")
-        )
+        counts = counts.groupBy("region").agg(F.sum("n").alias("n")).filter("n > 0")
+        shares = materialize(counts.withColumn("shares", F.ceil(F.col("n") / F.lit(visits)).cast("int")))
 
         def answer(seek: pa.Table, held: pa.Table) -> pa.Table:
             got = np.zeros(0)
@@ -272,14 +272,28 @@ def nearest_other_distance(
                 got = _search(_coordinates(held), _coordinates(seek), seek.column("radius").to_numpy(), box_points)
             return pa.table({"point": seek.column("point"), "distance": pa.array(got)})
 
-        answers = (
-            seekers.select("region", "share", "point", "x", "radius")
-            .groupBy("region", "share")
-            .cogroup(members.groupBy("region", "share"))
-            .applyInArrow(answer, f"point {id_type}, distance double")
-        )
-        found = answers.filter(F.col("distance") < math.inf)
-        both = own.unionByName(found.withColumn("copies", F.lit(None).cast("bigint")))
+        # A round of regions has about as many visits as there are points; its shuffles go before the next.
+        rounds = min(MOST_ROUNDS, math.ceil((shares.agg(F.sum("n")).first()[0] or 0) / size))
+        for turn in range(rounds):
+            open_shares = F.broadcast(shares.filter(F.col("region") % rounds == turn).drop("n"))
+            seekers = (
+                visiting.mapInArrow(_visit_kernel(tree, False, (rounds, turn)), f"region int, point {id_type}, x array<double>, radius double")
+                .join(open_shares, "region")
+                .withColumn("share", F.pmod(F.xxhash64("x"), F.col("shares")).cast("int"))
+            )
+            members = local.join(open_shares, "region").select(
+                "region", "x", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share")
+            )
+            answers = (
+                seekers.select("region", "share", "point", "x", "radius")
+                .groupBy("region", "share")
+                .cogroup(members.groupBy("region", "share"))
+                .applyInArrow(answer, f"point {id_type}, distance double")
+            )
+            found = materialize(answers.filter(F.col("distance") < math.inf).groupBy("point").agg(F.min("distance").alias("distance")))
+            both = both.unionByName(found.withColumn("copies", F.lit(None).cast("bigint")))
+            del open_shares, seekers, members, answers, found
+            let_go(points)
     best = both.groupBy("point").agg(F.min("distance").alias("d"), F.max("copies").alias("copies"))
     return best.select("point", "copies", F.when(F.col("d") < math.inf, F.col("d")).alias("distance"))
 
@@ -294,28 +308,26 @@ def near_duplicate_screen(
     The second pass fills with the medians of the first and scales anew, and looks no
     farther than its cutoff. Distances are counted per point with its number of copies.
     """
+    spark = raw.sparkSession
+    exact = pairs.select(F.col("pairs").cast("double")).first()[0]
+    unique = materialize_packed(survivors.select(row_id, *columns))
+    let_go(raw)
     points, medians = standardized(raw, columns, row_id)
     first = materialize(nearest_other_distance(points, row_id, "median", **limits))
-    after, _ = standardized(materialize(survivors.select(row_id, *columns)), columns, row_id, medians)
-    second = materialize(nearest_other_distance(after, row_id, 0.10, **limits))
-
     low, high = _median_ends(first)
     median = None if low is None else (low + high) / 2
     counts = first.agg(
         *[F.coalesce(F.sum(F.when(F.col("distance") < c, F.col("copies"))), F.lit(0)).cast("double").alias(_within(c)) for c in cutoffs]
-    )
-    left = second.agg(
-        F.coalesce(F.sum(F.when(F.col("distance") < 0.10, F.col("copies"))), F.lit(0)).cast("double").alias(f"{_within(0.10)}_after_removal")
-    )
-
-    def long(df: DataFrame) -> DataFrame:
-        return df.unpivot([], df.columns, "check", "value")
-
-    middle = small_table(
-        raw.sparkSession, {"check": "string", "value": "double"}, [("median_nearest_distance", median)]
-    )
-    exact = pairs.select(F.lit("exact_duplicate_pairs").alias("check"), F.col("pairs").cast("double").alias("value"))
-    return exact.unionByName(middle).unionByName(long(counts)).unionByName(long(left))
+    ).first()
+    del points, first
+    let_go(raw)  # each pass leaves its shuffles and tables before the next begins
+    after, _ = standardized(unique, columns, row_id, medians)
+    second = nearest_other_distance(after, row_id, 0.10, **limits)
+    left = second.agg(F.coalesce(F.sum(F.when(F.col("distance") < 0.10, F.col("copies"))), F.lit(0)).cast("double")).first()[0]
+    checks = [("exact_duplicate_pairs", exact), ("median_nearest_distance", median), *counts.asDict().items(), (f"{_within(0.10)}_after_removal", left)]
+    del unique, after, second
+    let_go(raw)
+    return small_table(spark, {"check": "string", "value": "double"}, checks)
 
 
 def _within(cutoff: float) -> str:
