@@ -104,3 +104,15 @@ def test_odd_rows(spark, loans):
     twice = model.score(loans.unionByName(loans).withColumn("score", F.lit("old")))
     assert twice.count() == 2400 and twice.groupBy("id").agg(F.count_distinct("score").alias("n")).agg(F.max("n")).first()[0] == 1
     assert twice.columns == [*loans.columns, "score"]
+
+
+def test_equal_rows_go_down_as_one_line(loans, monkeypatch):
+    """Runs of equal rows have at most 16 rows, lose none, and fewer lines are walked than there are rows."""
+    bins, y = np.repeat(np.array([[1, 2], [1, 3], [1, 3]], np.uint8), [40, 3, 2], axis=0), np.repeat(np.array([0, 1, 0], np.uint8), [40, 3, 2])
+    assert forest.runs(bins, y).tolist() == [0, 16, 32, 40, 43]
+    assert forest._POISSON.max() * 16 <= 255
+    copies = loans.filter("id < 300").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(40))))
+    test = loans.filter("id >= 800")
+    few = scores(forest.fit_forest(copies, NAMES, "y", 6, 30, 7, small=500), test)
+    monkeypatch.setattr(forest, "runs", lambda bins, y: np.arange(len(y)))
+    assert few == pytest.approx(scores(forest.fit_forest(copies, NAMES, "y", 6, 30, 7, small=500), test), abs=1e-12)
